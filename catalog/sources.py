@@ -116,12 +116,12 @@ def pair_file_round_trip(spark, sf_dir):
 
 @query(
     "skip_log_round_trip",
-    S.WEAK_JUDGED + "SELECT id, outcome FROM judged WHERE outcome NOT IN ('ok', 'failed')",
+    S.WEAK_JUDGED + f"SELECT id, outcome, {S.REASON} AS reason FROM judged WHERE outcome NOT IN ('ok', 'failed')",
 )
 def skip_log_round_trip(spark, sf_dir):
     path = scratch_path(spark, "skipped.jsonl")
     sinks.write_skipped(Q.skipped(Q.classify(weak_docs(spark, sf_dir))), path)
-    return spark.read.schema("id bigint, outcome string, reason string").json(path).select("id", "outcome")
+    return spark.read.schema("id bigint, outcome string, reason string").json(path)
 
 
 @query(

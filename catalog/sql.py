@@ -72,6 +72,14 @@ compared AS (
 judged AS (SELECT *, CASE {' '.join(rules)} ELSE 'ok' END AS outcome FROM compared)"""
 
 
+REASON = """CASE outcome
+      WHEN 'empty' THEN 'empty response'
+      WHEN 'too_short' THEN 'too short (' || n_chars || ' chars)'
+      WHEN 'ratio' THEN 'length ratio too low (' || printf('%.2f', length_ratio) || ')'
+      WHEN 'similar' THEN 'too similar to chosen (Jaccard=' || printf('%.2f', jaccard) || ')'
+      ELSE '' END"""
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 

@@ -67,12 +67,7 @@ def length_measures(spark, sf_dir):
 
 @query(
     "reason_texts",
-    S.WEAK_JUDGED + """SELECT id, CASE outcome
-      WHEN 'empty' THEN 'empty response'
-      WHEN 'too_short' THEN 'too short (' || n_chars || ' chars)'
-      WHEN 'ratio' THEN 'length ratio too low (' || printf('%.2f', length_ratio) || ')'
-      WHEN 'similar' THEN 'too similar to chosen (Jaccard=' || printf('%.2f', jaccard) || ')'
-      ELSE '' END AS reason FROM judged""",
+    S.WEAK_JUDGED + f"SELECT id, {S.REASON} AS reason FROM judged",
 )
 def reason_texts(spark, sf_dir):
     return classify(weak_docs(spark, sf_dir)).select("id", reason_text().alias("reason"))

@@ -93,6 +93,13 @@ def read_json_array(
     return rows.select(*names, _position()) if with_position else rows
 
 
+def _first_file(spark: SparkSession, path: str) -> str | None:
+    """The path itself, or the first data file by name of a folder; None if there is none."""
+    if not is_directory(spark, path):
+        return path
+    return min(spark.read.text(path).inputFiles(), default=None)
+
+
 def _array_files(spark: SparkSession, path: str) -> DataFrame:
     """Per file: does its first non-blank character open an array?"""
     first = F.min_by(F.substring("line", 1, 1), F.col(POSITION))
@@ -103,14 +110,11 @@ def is_json_array(spark: SparkSession, path: str) -> bool:
     """Look at the first non-blank character. In a folder the first file decides; if it is an array,
     all files must be, and a folder that mixes both forms is rejected. (An array among JSON-lines
     files needs no check: its pieces turn up as bad lines.)"""
-    require_path(spark, path)
-    files = sorted(spark.read.text(path).inputFiles())
-    if not files:
-        return False
-    head = _lines(spark, files[0] if is_directory(spark, path) else path).select("line").first()
+    first = _first_file(spark, require_path(spark, path))
+    head = _lines(spark, first).select("line").first() if first else None
     if head is None or not head.line.startswith("["):
         return False
-    if len(files) > 1:
+    if first != path:
         other = _array_files(spark, path).where(~F.col("array")).first()
         if other is not None:
             raise ValueError(f"{path} mixes JSON arrays and JSON lines: {other.file}")
@@ -136,9 +140,10 @@ def require_fields(spark: SparkSession, path: str, names: list[str], in_each: bo
     null value counts as present. ``in_each``: every one of the five must have them, else it is
     enough that one does. An empty input passes."""
     if is_json_array(spark, path):
-        record = spark.read.options(multiLine=True, singleVariantColumn="v").json(path)
-        keys = F.json_object_keys(F.to_json("v"))
-        heads = record.limit(_HEAD).select(keys.alias("keys")).collect()
+        whole = spark.read.text(_first_file(spark, path), wholetext=True)
+        first = F.array(*[F.get_json_object("value", f"$[{i}]") for i in range(_HEAD)])
+        records = whole.select(F.explode(first).alias("r")).where(F.col("r").isNotNull())
+        heads = records.select(F.json_object_keys("r").alias("keys")).collect()
     else:
         found = _lines(spark, path).select(F.json_object_keys("line").alias("keys"))
         heads = found.where(F.col("keys").isNotNull()).limit(_HEAD).collect()
