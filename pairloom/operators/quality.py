@@ -6,10 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.config import READY_AT, Quality
+from pairloom.functions.once import computed_once
 from pairloom.functions.text import length_ratio, overlap, strip, tokens, two_decimals
 
 OK, FAILED = "ok", "failed"
 EMPTY, TOO_SHORT, RATIO, SIMILAR = "empty", "too_short", "ratio", "similar"
+EVIDENCE = ("n_chars", "length_ratio", "jaccard")
 
 
 def classify(
@@ -41,13 +43,13 @@ def classify(
         cheap = cheap.when(F.col("n_chars") < cfg.min_rejected_length, TOO_SHORT)
     if cfg.min_length_ratio:
         cheap = cheap.when(F.col("length_ratio") < F.lit(float(cfg.min_length_ratio)), RATIO)
-    judged = measured.select("*", cheap.alias("_cheap"))
+    sifted = measured.select("*", cheap.alias("_cheap"))
 
     if not (cfg.skip_if_too_similar or evidence):
-        result = judged.select("*", F.lit(None).cast("double").alias("jaccard"))
+        result = sifted.select("*", F.lit(None).cast("double").alias("jaccard"))
     else:
         needed = rejected.isNotNull() if evidence else F.col("_cheap").isNull()
-        worded = judged.select(
+        worded = sifted.select(
             "*",
             F.when(needed, tokens("chosen")).alias("_chosen_words"),
             F.when(needed, tokens(rejected)).alias("_rejected_words"),
@@ -62,7 +64,8 @@ def classify(
         too_similar = F.col("jaccard") > F.lit(float(cfg.similarity_threshold))
         outcome = F.coalesce(outcome, F.when(too_similar, SIMILAR))
     outcome = F.coalesce(outcome, F.lit(OK))
-    return result.select(*df.columns, outcome.alias("outcome"), "n_chars", "length_ratio", "jaccard")
+    judged = result.select(*df.columns, outcome.alias("outcome"), *EVIDENCE)
+    return computed_once(judged, "outcome", *EVIDENCE)
 
 
 def reason_text() -> Column:

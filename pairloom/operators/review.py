@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.config import SELECTION_SEED
+from pairloom.functions.once import computed_once
 from pairloom.functions.text import length_ratio, overlap, tokens
 from pairloom.operators.sampling import sample_n
 
@@ -13,8 +14,7 @@ MEASURES = ("chosen_chars", "rejected_chars", "length_ratio", "jaccard")
 _SCALE = 10_000.0
 
 
-def review_view(pairs: DataFrame) -> DataFrame:
-    """Every pair with both texts and the four measures a reviewer looks at."""
+def _measured(pairs: DataFrame) -> DataFrame:
     worded = pairs.select(
         "*", tokens("chosen").alias("_chosen_words"), tokens("rejected").alias("_rejected_words")
     )
@@ -27,6 +27,11 @@ def review_view(pairs: DataFrame) -> DataFrame:
     )
 
 
+def review_view(pairs: DataFrame) -> DataFrame:
+    """Every pair with both texts and the four measures a reviewer looks at."""
+    return computed_once(_measured(pairs), *MEASURES)
+
+
 def pair_stats(pairs: DataFrame, probabilities: tuple[float, float, float] = (0.1, 0.5, 0.9)) -> DataFrame:
     """Per measure: count, min, mean, max and the percentiles p10, p50, p90.
 
@@ -36,13 +41,10 @@ def pair_stats(pairs: DataFrame, probabilities: tuple[float, float, float] = (0.
     those counts. A plain percentile would send all distinct values from every task to one.
     Minimum, mean and maximum are of the exact values.
     """
-    measured = review_view(pairs).select(
-        F.explode(
-            F.array(
-                *[F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("x")) for m in MEASURES]
-            )
-        ).alias("m")
-    ).select("m.measure", "m.x")
+    per_measure = F.array(
+        *[F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("x")) for m in MEASURES]
+    )
+    measured = _measured(pairs).select(F.explode(per_measure).alias("m")).select("m.measure", "m.x")
     step = F.floor(F.col("x") * F.lit(_SCALE) + F.lit(0.5))
     values = measured.where(F.col("x").isNotNull()).groupBy("measure", step.alias("step")).agg(
         F.count("*").alias("n"),
