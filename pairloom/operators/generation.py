@@ -50,7 +50,7 @@ def extract_content(body: Column) -> Column:
 
 def _attempts(make_generator: MakeGenerator, cfg: Generation, key: str):
     """The per-task function. All it needs is inside, so it travels without this package."""
-    max_retries, delay, timeout = cfg.max_retries, cfg.retry_delay, cfg.request_timeout
+    max_retries, delay, timeout, flush_at = cfg.max_retries, cfg.retry_delay, cfg.request_timeout, 500
 
     def status_of(error: Exception) -> str:
         # By class name along the inheritance, so that any HTTP client's errors are understood.
@@ -81,8 +81,11 @@ def _attempts(make_generator: MakeGenerator, cfg: Generation, key: str):
             except (ValueError, LookupError, TypeError, AttributeError):
                 return None, "bad_format"
 
+        def log_frame(log: list[tuple]) -> pd.DataFrame:
+            return pd.DataFrame(log, columns=[key, "attempt", "content", "status"])
+
         for batch in batches:
-            log = []
+            log: list[tuple] = []
             for k, body in zip(batch[key], batch["request"]):
                 for attempt in range(max_retries):
                     content, status = attempt_once(body)
@@ -91,7 +94,10 @@ def _attempts(make_generator: MakeGenerator, cfg: Generation, key: str):
                         break
                     if attempt + 1 < max_retries:
                         time.sleep(delay)
-            yield pd.DataFrame(log, columns=[key, "attempt", "content", "status"])
+                if len(log) >= flush_at:  # long replies must not pile up
+                    yield log_frame(log)
+                    log = []
+            yield log_frame(log)
 
     return run
 
@@ -107,7 +113,8 @@ def generate(
     is run again meets the same prompts. Keep speculative execution off here.
     """
     requests = prompts.select(key, F.to_json(request(F.col("prompt"), cfg.request)).alias("request"))
-    spread = requests.repartition(cfg.concurrency, key) if cfg.concurrency else requests.repartition(key)
+    # A stated number, as adaptive execution would merge tasks by bytes, and here calls count.
+    tasks = cfg.concurrency or int(prompts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     schema = T.StructType(
         [
             prompts.schema[key],
@@ -116,7 +123,7 @@ def generate(
             T.StructField("status", T.StringType()),
         ]
     )
-    return spread.mapInPandas(_attempts(make_generator, cfg, key), schema)
+    return requests.repartition(tasks, key).mapInPandas(_attempts(make_generator, cfg, key), schema)
 
 
 def generate_to_table(

@@ -12,9 +12,9 @@ from pairloom.functions.text import strip
 from pairloom.operators.generation import MakeGenerator, attach, generate_to_table
 from pairloom.operators.keys import with_content_key
 from pairloom.operators.quality import accepted, classify, readiness, run_summary, skipped
-from pairloom.operators.sampling import head_n, sample_n
+from pairloom.operators.sampling import TOP_K_ROWS, head_n, sample_n
 from pairloom.operators.validate import drop_blank, require_columns, to_pairs
-from pairloom.sources.paths import path_exists
+from pairloom.sources.paths import path_exists, written_once
 from pairloom.sources.records import (
     POSITION,
     read_records,
@@ -65,6 +65,8 @@ def select_records(df: DataFrame, fields: Fields, selection: Selection) -> DataF
         pairs = with_content_key(pairs)
     if cut_by_order or not selection.shuffle:
         return pairs
+    if not fields.key and (selection.max_samples or 0) > TOP_K_ROWS:
+        pairs = written_once(pairs, "keyed-records")  # the cut is searched for in several passes
     return sample_n(pairs, selection.max_samples, selection.seed, "id")
 
 

@@ -9,6 +9,7 @@ from pairloom.operators.keys import with_content_key
 from pairloom.operators.sampling import head_n, split_exact
 from pairloom.operators.templates import format_prompt
 from pairloom.operators.validate import require_columns, to_pairs
+from pairloom.sources.paths import written_once
 from pairloom.sources.records import POSITION, read_pairs
 
 
@@ -16,8 +17,8 @@ def prepare(df: DataFrame, cfg: Training = Training(), template: Column | str |
     """Limit, check, render, project, split, in this order; returns ``id, prompt, chosen, rejected,
     split``.
 
-    Without a key column the pairs are keyed by content, which costs a shuffle of the texts; name a
-    key in ``cfg.fields`` to save it.
+    Without a key column the pairs are keyed by content, which costs a shuffle of the texts and a
+    table in the shared folder; name a key in ``cfg.fields`` to save both.
     """
     fields = cfg.fields
     if cfg.max_samples is not None:
@@ -31,6 +32,8 @@ def prepare(df: DataFrame, cfg: Training = Training(), template: Column | str |
     pairs = to_pairs(df, fields, ("id",) if fields.key else ())
     if not fields.key:
         pairs = with_content_key(pairs, ("prompt", "chosen", "rejected"))
+        if cfg.eval_split:
+            pairs = written_once(pairs, "keyed-pairs")  # the split is searched for in several passes
     rendered = format_prompt(pairs, cfg.family, template, cfg.system)
     return split_exact(rendered, cfg.eval_split, cfg.seed, "id")
 

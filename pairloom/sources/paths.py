@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -39,3 +39,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the folder all executors share; a local one only if none is configured."""
     base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="pairloom-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def written_once(df: DataFrame, label: str) -> DataFrame:
+    """The rows written to the shared folder and read back: for a result that several jobs read and
+    that is dear to compute. Readers then scan only the columns they need, and a lost executor
+    costs no recomputation."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
