@@ -47,9 +47,9 @@ def _jsonl_with_faults(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _json_arrays(spark: SparkSession, sf_dir: str) -> str:
-    """Documents as JSON array files of at most 250 records each."""
+    """Documents as JSON array files of at most 2,000 records each."""
     path = scratch_path(spark, "records.json")
-    chunks = sft_docs(spark, sf_dir).groupBy(F.expr("id div 250").alias("chunk"))
+    chunks = sft_docs(spark, sf_dir).groupBy(F.expr("id div 2000").alias("chunk"))
     array = chunks.agg(F.to_json(F.collect_list(F.struct("id", "instruction", "output"))).alias("value"))
     array.select(F.concat(F.lit("\n  "), "value").alias("value")).write.option("maxRecordsPerFile", 1).text(path)
     return path

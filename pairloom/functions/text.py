@@ -43,7 +43,7 @@ def token_set(c: Column | str) -> Column:
 
 
 def word_count(c: Column | str) -> Column:
-    return F.size(tokens(c))
+    return F.array_size(tokens(c))
 
 
 def overlap(a: Column | str, b: Column | str) -> Column:
@@ -53,9 +53,9 @@ def overlap(a: Column | str, b: Column | str) -> Column:
     to columns first: each is read more than once here.
     """
     a, b = _col(a), _col(b)
-    either_empty = (F.size(a) == 0) | (F.size(b) == 0)
+    either_empty = (F.array_size(a) == 0) | (F.array_size(b) == 0)
     return F.when(either_empty, F.lit(0.0)).otherwise(
-        F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b))
+        F.array_size(F.array_intersect(a, b)) / F.array_size(F.array_union(a, b))
     )
 
 

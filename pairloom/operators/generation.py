@@ -191,6 +191,7 @@ def status_counts(responses: DataFrame) -> DataFrame:
 
 
 def observe_counts(classified: DataFrame, name: str = "outcomes") -> tuple[DataFrame, Observation]:
-    """The same rows with the run counters collected on the side by whatever job runs them."""
+    """The same rows with the run counters collected on the side by whatever job runs them. Let that
+    job's last stage do the observing: only there is a task that runs twice counted once."""
     observation = Observation(name)
     return classified.observe(observation, *outcome_counts()), observation

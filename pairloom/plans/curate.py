@@ -32,13 +32,20 @@ class Curation:
     generation: Generation = field(default_factory=Generation)
     quality: Quality = field(default_factory=Quality)
     log_skipped: bool = True
+    # Is the source a JSON file or folder? None: if its name ends in .json or .jsonl.
+    json_source: bool | None = None
 
 
 def load_records(
-    spark: SparkSession, source: str, fields: Fields, split: str | None = None
+    spark: SparkSession,
+    source: str,
+    fields: Fields,
+    split: str | None = "train",
+    json_source: bool | None = None,
 ) -> DataFrame:
-    """Records of a JSON file or folder, or of a named table, with the mapped fields checked."""
-    if source.endswith((".json", ".jsonl")):
+    """Records of a JSON file or folder, or of one split of a named table, with the mapped fields
+    checked."""
+    if source.endswith((".json", ".jsonl")) if json_source is None else json_source:
         require_fields(spark, source, fields.names)
         names = fields.names + ([fields.key] if fields.key else [])
         return read_records(spark, source, record_schema(names), with_position=True)[0]
@@ -82,7 +89,7 @@ def build_pairs(
     cfg: Curation = Curation(),
     make_generator: MakeGenerator | None = None,
     responses: DataFrame | None = None,
-    split: str | None = None,
+    split: str | None = "train",
     resume: bool = False,
 ) -> DataFrame:
     """Run the whole job into the folder ``out`` and return its summary with readiness band.
@@ -96,7 +103,8 @@ def build_pairs(
     if (make_generator is None) == (responses is None):
         raise ValueError("Give either a generator or an attempt log")
     out = out.rstrip("/")
-    records = select_records(load_records(spark, source, cfg.fields, split), cfg.fields, cfg.selection)
+    loaded = load_records(spark, source, cfg.fields, split, cfg.json_source)
+    records = select_records(loaded, cfg.fields, cfg.selection)
     if make_generator is not None:
         kept = f"{out}/records"
         if not (resume and path_exists(spark, f"{kept}/_SUCCESS")):

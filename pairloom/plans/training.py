@@ -32,8 +32,9 @@ def prepare(df: DataFrame, cfg: Training = Training(), template: Column | str |
     pairs = to_pairs(df, fields, ("id",) if fields.key else ())
     if not fields.key:
         pairs = with_content_key(pairs, ("prompt", "chosen", "rejected"))
-        if cfg.eval_split:
-            pairs = written_once(pairs, "keyed-pairs")  # the split is searched for in several passes
+    if cfg.eval_split and (cfg.max_samples is not None or not fields.key):
+        # The split is searched for in several passes, which must not repeat the cut or the keying.
+        pairs = written_once(pairs, "training-pairs")
     rendered = format_prompt(pairs, cfg.family, template, cfg.system)
     return split_exact(rendered, cfg.eval_split, cfg.seed, "id")
 

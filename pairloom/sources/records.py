@@ -64,7 +64,7 @@ def read_jsonl(
         POSITION, "line", F.explode(F.array(F.from_json(wrapped, envelope, _STRICT_JSON))).alias("r")
     )
     record, end = F.get("r", F.lit(0)), F.get("r", F.lit(1))
-    good = F.coalesce((F.size("r") == 2) & record.isNotNull() & (end[_END] == 1), F.lit(False))
+    good = F.coalesce((F.array_size("r") == 2) & record.isNotNull() & (end[_END] == 1), F.lit(False))
 
     columns = [F.col("record")[f.name].alias(f.name) for f in fields]
     if with_position:

@@ -96,6 +96,23 @@ def test_selection(spark, source):
     assert select_records(records, Fields(), Selection(max_samples=0)).count() == 0
 
 
+def test_json_under_another_name(spark, source, tmp_path):
+    other = tmp_path / "records.txt"
+    other.write_text(open(source).read())
+    assert load_records(spark, str(other), Fields(), json_source=True).count() == 104
+
+
+def test_large_sample_is_cut_over_written_keys(spark, source, monkeypatch):
+    from pairloom.operators import sampling
+    from pairloom.plans import curate
+
+    records = load_records(spark, source, Fields())
+    small = {r.id for r in select_records(records, Fields(), Selection(max_samples=20)).collect()}
+    monkeypatch.setattr(sampling, "TOP_K_ROWS", 5)
+    monkeypatch.setattr(curate, "TOP_K_ROWS", 5)
+    assert {r.id for r in select_records(records, Fields(), Selection(max_samples=20)).collect()} == small
+
+
 def test_keyed_table(spark):
     df = spark.range(20).selectExpr("id k", "concat('p', id) instruction", "'c' output")
     df.createOrReplaceTempView("sft")
@@ -104,5 +121,8 @@ def test_keyed_table(spark):
     assert sorted((r.id, r.prompt) for r in rows) == [(i, f"p{i}") for i in range(4)]
     with pytest.raises(FieldMappingError):
         load_records(spark, "sft", Fields("instruction", "answer"))
+    df.selectExpr("*", "if(k < 5, 'test', 'train') split").createOrReplaceTempView("sft_split")
+    assert load_records(spark, "sft_split", fields).count() == 15
+    assert load_records(spark, "sft_split", fields, "test").count() == 5
     with pytest.raises(ValueError):
         select_records(df, Fields(), Selection(max_samples=4, shuffle=False))

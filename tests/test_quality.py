@@ -131,3 +131,20 @@ def test_columns_and_projection(spark):
     with pytest.raises(FieldMappingError) as e:
         require_columns(df, ["instruction", "answer"])
     assert e.value.missing == ["answer"] and e.value.found == df.columns
+
+
+def test_filters_do_not_repeat_the_word_overlap(spark, tmp_path):
+    path = str(tmp_path / "pairs")
+    pairs(spark, [r[:2] for r in BOUNDARIES]).write.parquet(path)
+    judged = classify(spark.read.parquet(path))
+    for df in (judged, accepted(judged), skipped(judged), judged.where("jaccard > 0.5 and outcome = 'ok'")):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("array_intersect") == 1 and plan.count("split(") == 2
+        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_counting_reads_only_what_it_needs(spark, tmp_path):
+    path = str(tmp_path / "pairs")
+    pairs(spark, [r[:2] for r in BOUNDARIES]).write.parquet(path)
+    plan = run_summary(classify(spark.read.parquet(path)))._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<chosen:string,rejected:string>" in plan

@@ -61,3 +61,30 @@ def test_null_text(spark):
 
 def test_length_ratio_of_empty_chosen(spark):
     assert evaluate(spark, [("", "abc")], X.length_ratio("c0", "c1")) == [(3.0,)]
+
+
+def test_random_texts(spark):
+    import random
+
+    rng = random.Random(7)
+    letters = "abcXYZ.,'-0189\u00e9\u00df\u00c9\u0394\u03c9\u0416\u044f\u8a9e"
+    texts = [
+        "".join(rng.choice(SPACES) if rng.random() < 0.3 else rng.choice(letters) for _ in range(rng.randrange(30)))
+        for _ in range(1500)
+    ]
+    pairs = list(zip(texts, texts[1:] + texts[:1]))
+    got = evaluate(spark, pairs, X.strip("c0"), X.tokens("c0"), X.jaccard("c0", "c1"))
+    for (a, b), (stripped, words, similarity) in zip(pairs, got):
+        x, y = set(a.lower().split()), set(b.lower().split())
+        assert (stripped, words) == (a.strip(), a.lower().split())
+        assert similarity == (len(x & y) / len(x | y) if x and y else 0.0)
+
+
+def test_null_overlap_in_either_null_mode(spark):
+    null = F.lit(None).cast("string")
+    for ansi in ("true", "false"):
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        try:
+            assert spark.range(1).select(X.jaccard(null, F.lit("a")), X.word_count(null)).first() == (None, None)
+        finally:
+            spark.conf.unset("spark.sql.ansi.enabled")
