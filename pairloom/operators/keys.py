@@ -38,11 +38,14 @@ def with_content_key(
         return rows.select(key.alias(name), *columns)
 
     few = numbered(keyed.where(F.col("copies") <= chunk), F.lit(1).cast("bigint"), F.col("copies"))
+    # A stated number of tasks: adaptive execution would merge the chunks, which are small until they
+    # are written out.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     starts = F.sequence(F.lit(1).cast("bigint"), F.col("copies"), F.lit(chunk).cast("bigint"))
     chunks = (
         keyed.where(F.col("copies") > chunk)
         .select(*columns, "digest", "copies", F.explode(starts).alias("start"))
-        .repartition("digest", "start")
+        .repartition(tasks, "digest", "start")
     )
     many = numbered(chunks, F.col("start"), F.least(F.col("start") + (chunk - 1), F.col("copies")))
     return few.unionByName(many)

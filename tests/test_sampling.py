@@ -107,7 +107,10 @@ def test_content_keys_of_hot_content(spark):
         F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("p"), (F.col("id") % 50).cast("string"))).alias("prompt"),
         F.lit("c").alias("chosen"),
     )
-    keyed = with_content_key(df, chunk=64).collect()
+    made = with_content_key(df, chunk=64)
+    per_task = [r["count"] for r in made.where("prompt = 'hot'").groupBy(F.spark_partition_id()).count().collect()]
+    assert max(per_task) <= 500  # the copies do not end up in one task
+    keyed = made.collect()
     assert len(keyed) == 2000 == len({r.id for r in keyed})
     hot = sorted(int(r.id.split("-")[1]) for r in keyed if r.prompt == "hot")
     assert hot == list(range(1, 1001))
