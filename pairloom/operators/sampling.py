@@ -15,11 +15,14 @@ from pyspark.sql import functions as F
 
 from pairloom.functions.order import seeded_hash
 
-# Up to this many rows Spark's top-k (a heap per task, merged in one) is the cheap way to a limit.
-TOP_K_ROWS = 10_000
+# Spark's top-k keeps k rows per task and merges them all in one task: the cheap way to a few rows of
+# a small table, and a bottleneck for many rows or, with whole rows, many tasks.
+TOP_K_ROWS = 1_000
+TOP_K_BYTES = 4 * 1024**3
 # A search for a rank ends in one small sort; this bounds it.
 SEARCH_ROWS = 100_000
-_DIGITS = 4
+# Hex digits per round of the search: 4,096 counts, few enough to combine well within each task.
+_DIGITS = 3
 
 
 def _check_n(n: int | None) -> None:
@@ -27,24 +30,37 @@ def _check_n(n: int | None) -> None:
         raise ValueError(f"A limit must not be negative, got {n}")
 
 
+def _is_small(df: DataFrame) -> bool:
+    """By the optimizer's estimate of the plan's size, which for files comes from their sizes."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= TOP_K_BYTES
+
+
 def _literal(value) -> Column:
     if isinstance(value, Row):
         return F.struct(*[F.lit(value[name]).alias(name) for name in value.__fields__])
     return F.lit(value)
 
 
-def _pick(values: DataFrame, rank: int) -> object:
-    """The value at 1-based ``rank`` of a set known to be small."""
-    return values.orderBy("k").offset(rank - 1).limit(1).first()["k"]
+def _not_unique() -> ValueError:
+    return ValueError("The key is not unique: more than one row shares the key at the cut")
+
+
+def _pick(values: DataFrame, rank: int) -> object | None:
+    """The value at 1-based ``rank`` by a top-k of the values alone; None if there are fewer."""
+    at = values.orderBy("k").offset(rank - 1).limit(2).collect()
+    if len(at) == 2 and at[0]["k"] == at[1]["k"]:
+        raise _not_unique()
+    return at[0]["k"] if at else None
 
 
 def hash_at_rank(hashes: DataFrame, rank_of_total) -> str | None:
     """The n-th smallest of a column ``k`` of md5 strings, where ``rank_of_total(total)`` gives n.
     None if that is all rows (or more); "" if it is none.
 
-    Rows are counted per leading four hex digits (at most 65,536 counts, combined before the
-    shuffle); the count that passes n names the prefix to look into. md5 spreads unique keys evenly,
-    so each round narrows 65,536-fold: two rounds serve some 10^14 rows.
+    Rows are counted per leading hex digits (at most 4,096 counts, combined before the shuffle); the
+    count that passes n names the prefix to look into. md5 spreads unique keys evenly, so each round
+    narrows 4,096-fold: two rounds serve some 10^12 rows.
     """
     prefix, rank = "", None
     while True:
@@ -66,7 +82,7 @@ def hash_at_rank(hashes: DataFrame, rank_of_total) -> str | None:
         if c.n <= SEARCH_ROWS:
             return _pick(within.where(F.col("k").startswith(prefix)), rank)
         if len(prefix) >= 32:
-            raise ValueError("The key is not unique: more than one row shares the key at the cut")
+            raise _not_unique()
 
 
 def value_at_rank(df: DataFrame, order: Column, n: int, tasks: int | None = None) -> object | None:
@@ -95,7 +111,7 @@ def value_at_rank(df: DataFrame, order: Column, n: int, tasks: int | None = None
         if r.n <= SEARCH_ROWS:
             return _pick(values, rank)
         if r.low == r.high:
-            raise ValueError("The key is not unique: more than one row shares the key at the cut")
+            raise _not_unique()
 
 
 def shuffle(df: DataFrame, key: str, seed: int) -> DataFrame:
@@ -104,11 +120,14 @@ def shuffle(df: DataFrame, key: str, seed: int) -> DataFrame:
 
 
 def sample_n(df: DataFrame, n: int | None, seed: int, key: str) -> DataFrame:
-    """The first n rows of the seeded order (None: all). A large sample comes back unsorted."""
+    """The first n rows of the seeded order (None: all). Out of a large table, or if many, they come
+    back unsorted."""
     _check_n(n)
     if n is None:
         return df
-    if n <= TOP_K_ROWS:
+    if n == 0:
+        return df.limit(0)
+    if n <= TOP_K_ROWS and _is_small(df):
         return shuffle(df, key, seed).limit(n)
     order = seeded_hash(key, seed)
     cut = hash_at_rank(df.select(order.alias("k")), lambda total: n)
@@ -120,9 +139,14 @@ def head_n(df: DataFrame, n: int | None, key: str) -> DataFrame:
     _check_n(n)
     if n is None:
         return df
-    if n <= TOP_K_ROWS:
+    if n == 0:
+        return df.limit(0)
+    if n <= TOP_K_ROWS and _is_small(df):
         return df.orderBy(key).limit(n)
-    cut = value_at_rank(df, F.col(key), n)
+    if n <= TOP_K_ROWS:  # top-k of the keys alone
+        cut = _pick(df.select(F.col(key).alias("k")), n)
+    else:
+        cut = value_at_rank(df, F.col(key), n)
     return df if cut is None else df.where(F.col(key) <= _literal(cut))
 
 

@@ -45,6 +45,18 @@ def test_head(table, n, small_limits):
     assert ids(L.head_n(table.repartition(5), n, "id")) == list(range(min(n, 3000)))
 
 
+def test_few_rows_of_a_large_table(table, monkeypatch):
+    """Only keys are merged; the rows are found by a filter."""
+    monkeypatch.setattr(L, "TOP_K_BYTES", 0)
+    for n in (0, 1, 40, 3000, 4000):
+        assert ids(L.head_n(table, n, "id")) == list(range(min(n, 3000)))
+        want = sorted(sorted(range(3000), key=lambda i: draw(42, i))[:n])
+        assert ids(L.sample_n(table, n, 42, "id")) == want
+    for df in (L.head_n(table, 40, "id"), L.sample_n(table, 40, 42, "id")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "TakeOrdered" not in plan and "Exchange" not in plan
+
+
 def test_head_by_struct_and_string(spark, small_limits):
     df = spark.range(500).select("id", F.struct(F.lit("f").alias("file"), F.col("id").alias("row")).alias("position"), F.format_string("%05d", "id").alias("name"))
     assert ids(L.head_n(df, 321, "position")) == list(range(321))
@@ -59,6 +71,16 @@ def test_cut_through_equal_keys_is_an_error(spark, small_limits):
         L.head_n(same, 50, "id")
 
 
+def test_cut_between_equal_keys_among_others_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(L, "TOP_K_BYTES", 0)
+    double = spark.range(100).select((F.col("id") / 2).cast("int").alias("id"))
+    with pytest.raises(ValueError, match="not unique"):
+        L.head_n(double, 51, "id")
+    assert ids(L.head_n(double, 50, "id")) == sorted([*range(25)] * 2)
+    with pytest.raises(ValueError, match="not unique"):
+        L.sample_n(double, 51, 1, "id")
+
+
 def test_none_and_negative(table):
     assert L.sample_n(table, None, 1, "id") is table and L.head_n(table, None, "id") is table
     for f in (lambda: L.sample_n(table, -1, 1, "id"), lambda: L.head_n(table, -1, "id")):
