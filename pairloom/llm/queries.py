@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pairloom.llm import bpe, quality
 from pairloom.llm.exact_dedup import exact_duplicates
 from pairloom.llm.line_dedup import drop_frequent_lines
-from pairloom.llm.shared import whole
+from pairloom.llm.shared import fold_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,6 +26,13 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def bpe_ranks() -> str:
+    """The rank file of the installed public tokenizers."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -65,3 +73,21 @@ def line_dedup(spark, sf_dir):
 )
 def exact_dedup(spark, sf_dir):
     return exact_duplicates(table(spark, sf_dir, "documents"), digest_all=True)
+
+
+@query("op2_byte_bpe")
+def byte_bpe(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.encode(docs, bpe_ranks(), digests=True)
+
+
+@query("op9_quality_nbsvm")
+def quality_nbsvm(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.with_quality(docs, model).select(
+        "doc_id",
+        (fold_of(F.col("doc_id"), 5) == 0).alias("held_out"),
+        F.col("_score").alias("score"),
+        (F.col("_score") >= 0.3).cast("int").alias("predicted"),
+    )
