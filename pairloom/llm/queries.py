@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pairloom.llm import bpe, quality
 from pairloom.llm.exact_dedup import exact_duplicates
 from pairloom.llm.line_dedup import drop_frequent_lines
+from pairloom.llm.ngram_join import similarity_components
 from pairloom.llm.shared import fold_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +92,8 @@ def quality_nbsvm(spark, sf_dir):
         F.col("_score").alias("score"),
         (F.col("_score") >= 0.3).cast("int").alias("predicted"),
     )
+
+
+@query("op10_ngram_join")
+def ngram_join(spark, sf_dir):
+    return similarity_components(table(spark, sf_dir, "documents").select("doc_id", "text"), size=5, similarity=(80, 100))
