@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import bpe, quality
+from pairloom.llm import bpe, html_text, quality
 from pairloom.llm.exact_dedup import exact_duplicates
 from pairloom.llm.line_dedup import drop_frequent_lines
 from pairloom.llm.ngram_join import similarity_components
@@ -97,3 +97,9 @@ def quality_nbsvm(spark, sf_dir):
 @query("op10_ngram_join")
 def ngram_join(spark, sf_dir):
     return similarity_components(table(spark, sf_dir, "documents").select("doc_id", "text"), size=5, similarity=(80, 100))
+
+
+@query("op1_html_text")
+def html_main_text(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
