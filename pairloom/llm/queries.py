@@ -11,6 +11,7 @@ from pairloom.llm import bpe, html_text, quality
 from pairloom.llm.exact_dedup import exact_duplicates
 from pairloom.llm.line_dedup import drop_frequent_lines
 from pairloom.llm.ngram_join import similarity_components
+from pairloom.llm.pii import TYPES, replace_private_data
 from pairloom.llm.shared import fold_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +104,11 @@ def ngram_join(spark, sf_dir):
 def html_main_text(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html_text.extract(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op3_private_data")
+def private_data(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = replace_private_data(docs, key="a key of the caller")
+    count = lambda t: F.coalesce(F.get(F.filter("_entities", lambda e: e["kind"] == t), F.lit(0))["count"], F.lit(0)).alias(f"n_{t}")
+    return made.select("doc_id", "text", (F.size("_entities") > 0).alias("changed"), *[count(t) for t in TYPES])
