@@ -2,9 +2,9 @@
 
 Indicators of n-grams (bytes, and whether words repeat their neighbours) are scaled by the log ratio of their
 counts in the two classes; a linear model of hinge loss is then fitted by dual coordinate descent, and
-its margin turned into a probability. The counts are taken over all labelled training rows, combined per
-task before the shuffle; they number at most FEATURES. The fit takes a bounded sample (sample_rows per class, by hash
-order), so it fits one task. Scoring is one narrow pass.
+its margin turned into a probability. The counts are taken over the labelled training rows (label_rows of them, if there are
+more), combined per task before the shuffle; they number at most FEATURES. The fit takes a smaller sample (sample_rows per
+class, by hash order), so it fits one task. Scoring is one narrow pass.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ _REPEATS = 64
 FEATURES = 2 * _GRAMS + _REPEATS
 #: Labelled rows of each class that the support vectors are fitted on, at most; as many more calibrate.
 SAMPLE_ROWS = 3000
+#: Labelled training rows that the counts are taken of, at most.
+LABEL_ROWS = 200_000
 
 
 def indicators(texts: list[str]):
@@ -48,11 +50,16 @@ def indicators(texts: list[str]):
             yield np.flatnonzero(seen)
 
 
-def _labelled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, folds: int) -> DataFrame:
-    """Training rows: fold 0 is held out; rows without a text's key or with a label other than 0 or 1 are left out."""
-    known = labels.select(F.col(key).alias("_key"), F.col(label).cast("int").alias("_label")).where("_label in (0, 1)")
+def _labelled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, folds: int, label_rows: int) -> DataFrame:
+    """Training rows: fold 0 is held out; labels other than 0 and 1 do not count, and of several of one key the
+    smallest does. The labels used are bounded (by a hash, if there are more), so they are broadcast and no text is shuffled."""
+    known = labels.select(F.col(key).alias("_key"), F.col(label).cast("int").alias("_label")).where("_label in (0, 1) and _key is not null")
+    known = known.where(fold_of(F.col("_key"), folds) != 0).groupBy("_key").agg(F.min("_label").alias("_label"))
+    there = known.count()
+    if there > label_rows:
+        known = known.where(F.pmod(F.xxhash64(F.lit(3), F.col("_key")), F.lit(1 << 40)) < int(label_rows / there * (1 << 40)))
     rows = docs.select(F.col(key).alias("_key"), whole(F.col(text)).alias("_text"))
-    return rows.where(fold_of(F.col("_key"), folds) != 0).join(known, "_key")
+    return rows.join(F.broadcast(known), "_key")
 
 
 def class_counts(rows: DataFrame) -> DataFrame:
@@ -116,14 +123,14 @@ def calibration(margins: np.ndarray, labels: np.ndarray, weights: np.ndarray) ->
     return float(theta[0] / spread), float(theta[1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", folds: int = 5, sample_rows: int = SAMPLE_ROWS, cost: float = 0.02) -> dict:
+def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", folds: int = 5, sample_rows: int = SAMPLE_ROWS, label_rows: int = LABEL_ROWS, cost: float = 0.02) -> dict:
     """The model: {"weights": array of FEATURES numbers (log ratios multiplied in), "bias", "slope", "intercept", "prior"}.
 
     Fold 0 by crc32 of the key is never seen. With no labelled row, or labels of one class only, the weights are
     zero and every score is the share of label 1 (one half if there is none).
     """
     spark = docs.sparkSession
-    rows = _labelled(docs, labels, key, text, label, folds)
+    rows = _labelled(docs, labels, key, text, label, folds, label_rows)
     # Counts of classes, and the counts of features: at most FEATURES rows come to the driver.
     counts = class_counts(rows).toPandas()
     sizes = {r["_label"]: r["count"] for r in rows.groupBy("_label").count().collect()}
