@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.llm import bpe, html_text, quality
+from pairloom.llm.decontaminate import find_leaks
 from pairloom.llm.exact_dedup import exact_duplicates
 from pairloom.llm.line_dedup import drop_frequent_lines
 from pairloom.llm.ngram_join import similarity_components
@@ -112,3 +113,8 @@ def private_data(spark, sf_dir):
     made = replace_private_data(docs, key="a key of the caller")
     count = lambda t: F.coalesce(F.get(F.filter("_entities", lambda e: e["kind"] == t), F.lit(0))["count"], F.lit(0)).alias(f"n_{t}")
     return made.select("doc_id", "text", (F.size("_entities") > 0).alias("changed"), *[count(t) for t in TYPES])
+
+
+@query("op8_latent_leaks")
+def latent_leaks(spark, sf_dir):
+    return find_leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
