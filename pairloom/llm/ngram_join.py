@@ -9,11 +9,13 @@ agree. Those three subsets of two pieces, for each part, are a set's signatures.
 A subset without any shingle says nothing. So instances have some parts more than needed, and a set with
 too many parts that have an empty subset is dealt again with other hashes; a pair can only be missed by a dealing if
 both its sets are in that state, and both are then dealt again. After the last dealing the empty subsets count too.
+In the larger bands one part more is kept, so that similar sets share at least two signatures.
 
 Signatures travel packed, many in a row, to buckets that number with the data; what many sets of one task share is
-sent once. What comes back are the classes of equal sets that share a signature. They are compared with a leader of
-each signature's group, by rounds, and merged; only pairs that are still in different components are then compared
-with each other. Every link is decided by exact intersection of whole sets.
+sent once. What comes back are the classes of equal sets that share a signature. Of a signature with few classes all pairs
+are candidates; the classes of one with many are compared with a leader, by rounds, and merged, and only what is
+then still in different components is compared pair by pair. Candidates pass a bound (the distance of two histograms of
+the shingles is at most that of the sets); every link is then decided by exact intersection of whole sets.
 """
 
 from __future__ import annotations
@@ -34,7 +36,13 @@ from pairloom.llm.words import mix, shingles_of, steps, words_of
 DEALINGS = 6
 #: Signatures that a task gathers before it packs them, and that a bucket gets on average.
 GATHERED = 1 << 20
-BUCKET = 500_000
+BUCKET = 2_000_000
+#: Classes of a signature that are compared pair by pair at once, at most.
+FEW = 24
+#: From this size on, similar sets share two signatures.
+TWICE = 48
+#: Places of a class's histogram.
+PLACES = 256
 #: Rounds with leaders before the rest is compared pair by pair, at most.
 LEADER_ROUNDS = 6
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
@@ -42,12 +50,12 @@ _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(
 
 @cache
 def bands(p: int, q: int, top: int) -> list[tuple[int, int, int, int, int]]:
-    """(lowest size, highest size, differences, parts, parts more than needed) of each band up to size top."""
+    """(lowest size, highest size, differences, parts, parts that may have an empty subset) of each band up to size top."""
     out, low = [], 1
     while low <= top:
         high = low * q * q // (p * p)
         k = (q - p) * 2 * high // (q + p)
-        least, more = k // 2 + 1, 0
+        least, more = k // 2 + 1 + (low >= TWICE), 0
         for _ in range(4):  # so many parts of the smallest sets here are expected to have an empty subset
             size = max(1.0, 0.8 * low) / (least + more)
             more = int(np.ceil((least + more) * 3 * np.exp(-2 * size / 3))) if least > 8 else 0
@@ -98,38 +106,70 @@ def _class(held: np.ndarray) -> int:
     return int(mix(np.array([total & 2**64 - 1], np.uint64)).view(np.int64)[0])
 
 
+def _histogram(held: np.ndarray) -> bytes:
+    """How many shingles fall to each place, 255 at most: places differ by no more in sum than two sets do."""
+    return np.minimum(np.bincount((held >> np.uint64(56)).astype(np.int64), minlength=PLACES), 255).astype(np.uint8).tobytes()
+
+
 def shingle_classes(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
-    """(_key, _n shingles, _class) of every row; _class is null for empty sets."""
+    """(_key, _n shingles, _class, _histogram) of every row; null class and histogram for empty sets."""
 
     def run(batches):
         for pdf in batches:
             held = list(_sets(pdf["_text"].to_list(), size))
             n = np.array([len(h) for h in held], np.int64)
-            yield pd.DataFrame({"_key": pdf["_key"].to_numpy(), "_n": n, "_class": pd.array([_class(h) if len(h) else None for h in held], "Int64")})
+            of = pd.array([_class(h) if len(h) else None for h in held], "Int64")
+            yield pd.DataFrame({"_key": pdf["_key"].to_numpy(), "_n": n, "_class": of, "_histogram": [_histogram(h) if len(h) else None for h in held]})
 
     rows = docs.select(F.col(key).alias("_key"), whole(F.col(text)).alias("_text"))
-    return rows.mapInPandas(run, f"_key {rows.schema['_key'].dataType.simpleString()}, _n long, _class long")
+    return rows.mapInPandas(run, f"_key {rows.schema['_key'].dataType.simpleString()}, _n long, _class long, _histogram binary")
+
+
+def _groups(signs: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the rows by sign, and where in that order a sign begins."""
+    order = np.argsort(signs)
+    held = signs[order]
+    return order, np.concatenate(([True], held[1:] != held[:-1]))
+
+
+def _packed(bucket: int, signs: np.ndarray, owners: np.ndarray) -> tuple:
+    """A row: 40 bits of each sign as bytes, the owners, and which of them each sign has."""
+    table, which = np.unique(owners, return_inverse=True)
+    small = signs.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
+    return bucket, small.tobytes(), table.tobytes(), which.astype(np.uint32 if len(table) > 65535 else np.uint16).tobytes()
+
+
+def _unpacked(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    signs, owners = [], []
+    for small, table, which in zip(pdf["signs"], pdf["owners"], pdf["which"]):
+        n = len(small) // 5
+        wide = np.zeros((n, 8), np.uint8)
+        wide[:, :5] = np.frombuffer(small, np.uint8).reshape(n, 5)
+        signs.append(wide.reshape(-1).view("<u8"))
+        owners.append(np.frombuffer(table, np.int64)[np.frombuffer(which, np.uint16 if len(which) == 2 * n else np.uint32)])
+    return np.concatenate(signs), np.concatenate(owners)
 
 
 def _pack(signs: np.ndarray, owners: np.ndarray, buckets: int) -> pd.DataFrame:
-    """Rows (bucket, signs, owners) of what was gathered. A signature of several classes here is told at once, in
-    the row of bucket -1, and sent on with one of them only, marked by its lowest bit."""
-    signs = signs & np.uint64(2**64 - 2)
-    order = np.lexsort((owners, signs))
-    signs, owners = signs[order], owners[order]
-    new = np.concatenate(([True], (signs[1:] != signs[:-1]) | (owners[1:] != owners[:-1])))
-    signs, owners = signs[new], owners[new]
-    first = np.concatenate(([True], signs[1:] != signs[:-1]))
-    group = np.cumsum(first) - 1
-    several = (np.bincount(group) > 1)[group]
-    rows = [(-1, signs[several].tobytes(), owners[several].tobytes())] if several.any() else []
-    signs, owners = (signs | several.astype(np.uint64))[first], owners[first]
-    home = (mix(signs >> np.uint64(1)) % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(home, kind="stable")
-    edges = np.searchsorted(home[order], np.arange(buckets + 1))
+    """Rows (bucket, signs, owners, which) of what was gathered. A signature of several classes here is told at once, in
+    a row whose bucket is negative, and sent on with one of them only, marked by its lowest bit."""
+    home = ((signs >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
+    signs = (signs & np.uint64((1 << 40) - 2)) | home.astype(np.uint64) << np.uint64(40)
+    order, first = _groups(signs, owners)
     signs, owners = signs[order], owners[order]
-    rows += [(b, signs[x:y].tobytes(), owners[x:y].tobytes()) for b, (x, y) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())) if y > x]
-    return pd.DataFrame(rows, columns=["bucket", "signs", "owners"])
+    several = np.diff(np.append(np.flatnonzero(first), len(signs))) > 1
+    told = several[np.cumsum(first) - 1]
+    rows = []
+
+    def add(signs, owners, sign):
+        home = (signs >> np.uint64(40)).astype(np.int64)
+        edges = np.flatnonzero(np.concatenate(([True], home[1:] != home[:-1], [True]))) if len(home) else []
+        for x, y in zip(edges[:-1], edges[1:]):
+            rows.append(_packed(int(home[x]) if sign > 0 else -1 - int(home[x]), signs[x:y], owners[x:y]))
+
+    add(signs[told], owners[told], -1)
+    add((signs | told.astype(np.uint64))[first], owners[first], 1)
+    return pd.DataFrame(rows, columns=["bucket", "signs", "owners", "which"])
 
 
 def packed_signatures(docs: DataFrame, text: str, size: int, p: int, q: int, buckets: int) -> DataFrame:
@@ -151,27 +191,24 @@ def packed_signatures(docs: DataFrame, text: str, size: int, p: int, q: int, buc
         if n:
             yield _pack(np.concatenate(signs), np.concatenate(owners), buckets)
 
-    return docs.select(whole(F.col(text)).alias("_text")).mapInPandas(run, "bucket int, signs binary, owners binary")
+    return docs.select(whole(F.col(text)).alias("_text")).mapInPandas(run, "bucket int, signs binary, owners binary, which binary")
 
 
 def _shared(pdf: pd.DataFrame) -> pd.DataFrame:
     """(sign, class) of the signatures that several classes have, of one bucket."""
-    signs = np.frombuffer(b"".join(pdf["signs"]), np.uint64)
-    owners = np.frombuffer(b"".join(pdf["owners"]), np.int64)
-    if pdf["bucket"].iloc[0] >= 0:
-        told, plain = (signs & np.uint64(1)).astype(bool), signs >> np.uint64(1)
-        order = np.lexsort((owners, plain))
-        plain, owners, told = plain[order], owners[order], told[order]
-        first = np.concatenate(([True], plain[1:] != plain[:-1]))
+    signs, owners = _unpacked(pdf)
+    bucket = int(pdf["bucket"].iloc[0])
+    if bucket >= 0:
+        told, plain = (signs & np.uint64(1)).astype(bool), signs & ~np.uint64(1)
+        order, first = _groups(plain, owners)
         group = np.cumsum(first) - 1
-        new = first | np.concatenate(([True], owners[1:] != owners[:-1]))
-        # Told classes have others beside them in their own task already, so one told class is enough.
-        many = (np.bincount(group, weights=new) > 1)[group] | (np.bincount(group, weights=told) > 0)[group]
-        keep = many & ~told
+        # Told classes have others beside them in their own task already.
+        many = (np.bincount(group) > 1) | (np.bincount(group, weights=told[order]) > 0)
+        keep = order[many[group] & ~told[order]]
         signs, owners = plain[keep], owners[keep]
     else:
-        signs = signs >> np.uint64(1)
-    return pd.DataFrame({"sign": signs.astype(np.int64), "class": owners})
+        bucket = -1 - bucket
+    return pd.DataFrame({"sign": (signs | np.uint64(bucket) << np.uint64(40)).astype(np.int64), "class": owners}).drop_duplicates()
 
 
 def sharing_classes(packed: DataFrame) -> DataFrame:
@@ -213,15 +250,43 @@ def _common(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
+@F.pandas_udf(T.LongType())
+def _distance(a: pd.Series, b: pd.Series) -> pd.Series:
+    if not len(a):
+        return pd.Series([], dtype="int64")
+    x, y = (np.frombuffer(b"".join(s), np.uint8).reshape(-1, PLACES).astype(np.int16) for s in (a, b))
+    return pd.Series(np.abs(x - y).sum(axis=1, dtype=np.int64))
+
+
+def _likely(pairs: DataFrame, sketches: DataFrame, p: int, q: int) -> DataFrame:
+    """Of pairs (a, b) with sizes na, nb those that sizes and histograms leave possible."""
+    fits = pairs.where(q * F.least("na", "nb") >= p * F.greatest("na", "nb")).select("a", "b", "na", "nb")
+    joined = fits.join(sketches.select(F.col("class").alias("a"), F.col("histogram").alias("_ha")), "a")
+    joined = joined.join(sketches.select(F.col("class").alias("b"), F.col("histogram").alias("_hb")), "b")
+    near = joined.select("a", "b", "na", "nb", _distance("_ha", "_hb").alias("_d"))
+    return near.where(F.col("_d") * (p + q) <= (F.col("na") + F.col("nb")) * (q - p)).drop("_d")
+
+
 def _links(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
     """Of pairs (a, b) with sizes na, nb those that are similar."""
-    fits = pairs.where(q * F.least("na", "nb") >= p * F.greatest("na", "nb")).select("a", "b", "na", "nb")
-    joined = fits.join(sets.select(F.col("class").alias("a"), F.col("set").alias("_sa")), "a")
+    joined = pairs.join(sets.select(F.col("class").alias("a"), F.col("set").alias("_sa")), "a")
     joined = joined.join(sets.select(F.col("class").alias("b"), F.col("set").alias("_sb")), "b")
     common = joined.select("a", "b", "na", "nb", _common("_sa", "_sb").alias("c"))
     return common.where(F.col("c") * q >= (F.col("na") + F.col("nb") - F.col("c")) * p).select("a", "b")
 
 
+def _pairs_of_few(pending: DataFrame, p: int, q: int) -> DataFrame:
+    """Candidates among the classes of each signature that has at most FEW: those that share as many signatures as
+    similar sets of their size do. A pair that also shares a signature of many classes is found there."""
+    few = pending.groupBy("sign").count().where((F.col("count") > 1) & (F.col("count") <= FEW)).select("sign")
+    held = pending.join(few, "sign", "left_semi").groupBy("sign").agg(F.sort_array(F.collect_list(F.struct("class", "n"))).alias("x"))
+    two = F.flatten(F.transform("x", lambda a, i: F.transform(F.slice("x", i + F.lit(2), F.lit(FEW)), lambda b: F.struct(a.alias("a"), b.alias("b")))))
+    each = held.select(F.explode(two).alias("y")).select(F.col("y.a.class").alias("a"), F.col("y.b.class").alias("b"), F.col("y.a.n").alias("na"), F.col("y.b.n").alias("nb"))
+    least = next(low for low, *_ in bands(p, q, 1 << 10) if low >= TWICE)
+    shared = each.groupBy("a", "b", "na", "nb").count()
+    return shared.where((F.col("count") > 1) | (F.greatest("na", "nb") < least)).drop("count")
+
+
 def _merge(roots: DataFrame, links: DataFrame) -> DataFrame:
     """Roots (class, root) after links between classes."""
     ends = links.join(roots.select(F.col("class").alias("a"), F.col("root").alias("ra")), "a")
@@ -244,42 +309,46 @@ def similarity_components(
     """
     p, q = similarity
     base = written(shingle_classes(docs, key, text, size), "op10-classes")
-    classes = base.where("_class is not null").groupBy(F.col("_class").alias("class")).agg(F.max("_n").alias("n"), F.min("_key").alias("_least"))
+    filled = base.where("_class is not null").select(F.col("_class").alias("class"), "_n", "_key", F.col("_histogram").alias("histogram"))
+    classes = filled.groupBy("class").agg(F.max("_n").alias("n"), F.min("_key").alias("_least"))
     total = base.agg(F.sum("_n")).first()[0] or 0
     buckets = max(8, -(-total // BUCKET))
-    pending = written(sharing_classes(packed_signatures(docs, text, size, p, q, buckets)), "op10-shared")
-    involved = written(pending.select("class").distinct(), "op10-involved")
-    sets = written(class_sets(docs, text, size, involved), "op10-sets")
-    roots = written(classes.join(involved, "class", "left_semi").select("class", F.col("class").alias("root"), "n"), "op10-roots")
-    pending = pending.join(roots, "class")
-
+    shared = written(sharing_classes(packed_signatures(docs, text, size, p, q, buckets)), "op10-shared")
+    involved = written(classes.join(shared.select("class").distinct(), "class", "left_semi").select("class", F.col("class").alias("root"), "n"), "op10-involved")
+    sketches = written(filled.join(involved, "class", "left_semi").groupBy("class").agg(F.any_value("histogram").alias("histogram")), "op10-sketches")
+    pending = written(shared.join(involved, "class"), "op10-pending")
+
+    def settle(roots: DataFrame, pairs: DataFrame) -> DataFrame:
+        likely = written(_likely(pairs, sketches, p, q), "op10-likely")
+        wanted = likely.select(F.col("a").alias("class")).unionByName(likely.select(F.col("b").alias("class"))).distinct()
+        sets = written(class_sets(docs, text, size, wanted), "op10-sets")
+        return _merge(roots, written(_links(likely, sets, p, q), "op10-links"))
+
+    roots = settle(involved, _pairs_of_few(pending, p, q))
+    many = pending.groupBy("sign").count().where(F.col("count") > FEW).select("sign")
+    large = pending.select("sign", "class").join(many, "sign", "left_semi")
     for turn in range(LEADER_ROUNDS + 1):
-        # How many pairs of different components would there be, signature by signature?
-        parts = pending.groupBy("sign", "root").count().groupBy("sign").agg(F.sum("count").alias("c"), F.sum(F.col("count") * F.col("count")).alias("cc"))
-        open_ = parts.where("c * c > cc")
-        size_of = open_.agg(F.sum((F.col("c") * F.col("c") - F.col("cc")) / 2).alias("pairs"), F.sum("c").alias("rows")).first()
-        if not size_of["pairs"]:
+        fresh = large.join(roots, "class")
+        mixed = fresh.groupBy("sign").agg(F.min("root").alias("_x"), F.max("root").alias("_y")).where("_x != _y").select("sign")
+        large = written(fresh.join(mixed, "sign", "left_semi"), "op10-large")
+        # How many pairs of different components are there, signature by signature?
+        parts = large.groupBy("sign", "root").count().groupBy("sign").agg(F.sum("count").alias("c"), F.sum(F.col("count") * F.col("count")).alias("cc"))
+        left = parts.agg(F.sum((F.col("c") * F.col("c") - F.col("cc")) / 2).alias("pairs"), F.sum("c").alias("rows")).first()
+        if not left["pairs"]:
             break
-        last = turn == LEADER_ROUNDS or size_of["pairs"] <= 2 * size_of["rows"]
-        if last:
-            left = pending.join(open_, "sign", "left_semi") if turn else pending
-            one = left.select("sign", F.col("class").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"))
-            two = left.select("sign", F.col("class").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"))
-            pairs = one.join(two, "sign").where("ra < rb").select("a", "b", "na", "nb").distinct()
-        else:
-            order = F.xxhash64(F.lit(turn), F.col("class"))
-            leaders = pending.join(open_, "sign", "left_semi").groupBy("sign").agg(F.min(F.struct(order.alias("o"), F.col("class"), F.col("root"), F.col("n"))).alias("l"))
-            led = pending.join(leaders, "sign").where("root != l.root").groupBy(F.col("class").alias("a"), F.col("n").alias("na"), F.col("l.class").alias("b"), F.col("l.n").alias("nb")).count()
-            # Of its leaders, each class is compared with the one it shares most signatures with.
-            best = led.where(q * F.least("na", "nb") >= p * F.greatest("na", "nb")).groupBy("a", "na").agg(F.max(F.struct("count", "b", "nb")).alias("x"))
-            pairs = best.select("a", "na", F.col("x.b").alias("b"), F.col("x.nb").alias("nb"))
-        links = written(_links(pairs, sets, p, q), "op10-links")
-        roots = _merge(roots, links)
+        last = turn == LEADER_ROUNDS or left["pairs"] <= FEW * left["rows"]
         if last:
+            one = large.select("sign", F.col("class").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"))
+            two = large.select("sign", F.col("class").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"))
+            roots = settle(roots, one.join(two, "sign").where("ra < rb").select("a", "b", "na", "nb").distinct())
             break
-        fresh = pending.select("sign", "class").join(roots, "class")
-        mixed = fresh.groupBy("sign").agg(F.min("root").alias("_x"), F.max("root").alias("_y")).where("_x != _y").select("sign")
-        pending = written(fresh.join(mixed, "sign", "left_semi"), "op10-pending")
+        order = F.xxhash64(F.lit(turn), F.col("class"))
+        leaders = large.groupBy("sign").agg(F.min(F.struct(order.alias("o"), F.col("class"), F.col("root"), F.col("n"))).alias("l"))
+        led = large.join(leaders, "sign").where("root != l.root").groupBy(F.col("class").alias("a"), F.col("n").alias("na"), F.col("l.class").alias("b"), F.col("l.n").alias("nb")).count()
+        # Of its leaders, each class is compared with the one it shares most signatures with.
+        best = led.where(q * F.least("na", "nb") >= p * F.greatest("na", "nb")).groupBy("a", "na").agg(F.max(F.struct("count", "b", "nb")).alias("x"))
+        roots = settle(roots, best.select("a", "na", F.col("x.b").alias("b"), F.col("x.nb").alias("nb")))
+        large = large.select("sign", "class")
 
     every = classes.join(roots.select("class", "root"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     least = every.groupBy("root").agg(F.min("_least").alias("_component"))
