@@ -35,8 +35,8 @@ from pairloom.llm.words import mix, shingles_of, steps, words_of
 #: Dealings of the shingles for sets with too many empty subsets.
 DEALINGS = 6
 #: Signatures that a task gathers before it packs them, and that a bucket gets on average.
-GATHERED = 1 << 20
-BUCKET = 2_000_000
+GATHERED = 1 << 18
+BUCKET = 1_000_000
 #: Classes of a signature that are compared pair by pair at once, at most.
 FEW = 24
 #: From this size on, similar sets share two signatures.
