@@ -11,6 +11,7 @@ from pairloom.llm import bpe, html_text, quality
 from pairloom.llm.decontaminate import find_leaks
 from pairloom.llm.exact_dedup import exact_duplicates
 from pairloom.llm.line_dedup import drop_frequent_lines
+from pairloom.llm.lm import score_texts
 from pairloom.llm.ngram_join import similarity_components
 from pairloom.llm.pii import TYPES, replace_private_data
 from pairloom.llm.shared import fold_of
@@ -118,3 +119,8 @@ def private_data(spark, sf_dir):
 @query("op8_latent_leaks")
 def latent_leaks(spark, sf_dir):
     return find_leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op7_context_mixing")
+def context_mixing(spark, sf_dir):
+    return score_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))
