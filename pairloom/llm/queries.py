@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pairloom.llm import bpe, html_text, quality
 from pairloom.llm.decontaminate import find_leaks
 from pairloom.llm.exact_dedup import exact_duplicates
+from pairloom.llm.licenses import find_licenses
 from pairloom.llm.line_dedup import drop_frequent_lines
 from pairloom.llm.lm import score_texts
 from pairloom.llm.ngram_join import similarity_components
@@ -124,3 +125,8 @@ def latent_leaks(spark, sf_dir):
 @query("op7_context_mixing")
 def context_mixing(spark, sf_dir):
     return score_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op4_license_scan")
+def license_scan(spark, sf_dir):
+    return find_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
