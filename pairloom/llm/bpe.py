@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pairloom.llm.shared import whole
+from pairloom.llm.shared import add_columns, whole
 from pairloom.llm.words import steps
 
 #: Slices whose merges a task keeps.
@@ -247,36 +247,33 @@ def _vocabulary(held) -> Vocabulary:
     return _HELD["made"]
 
 
-def encode(docs: DataFrame, vocabulary: str, text: str = "text", digests: bool = False) -> DataFrame:
-    """docs with n_tokens, ids (array of ids) and offsets (byte places of the tokens, one more than ids);
-    with digests, ids_sha256 (ids as little-endian unsigned 32-bit integers) and decoded_sha256 (decoded
-    bytes) instead of the arrays. The text itself is dropped from the result.
+def encode(docs: DataFrame, vocabulary: str, text: str = "text", arrays: bool = True, digests: bool = False) -> DataFrame:
+    """docs without the text but with n_tokens; with arrays, ids (array of ids) and offsets (byte places of the tokens,
+    one more than ids); with digests, ids_sha256 (ids as little-endian unsigned 32-bit integers) and decoded_sha256 (the
+    bytes decoded from them).
 
     vocabulary is a file of `base64 rank` lines on the driver; it has a fixed size and is broadcast.
-    Null counts as empty; an empty text has no tokens; texts of any length are encoded whole. Columns of
-    docs remain; those named like a result must not exist. One narrow pass, no shuffle.
+    Null counts as empty; an empty text has no tokens; texts of any length are encoded whole. Other columns
+    remain; none may be named like a result. One narrow pass, no shuffle.
     """
     with open(vocabulary, "rb") as f:
         held = docs.sparkSession.sparkContext.broadcast(f.read())
-    rest = [f for f in docs.schema.fields if f.name != text]
-    added = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "n_tokens long, ids array<int>, offsets array<long>"
-    schema = T.StructType(rest + T._parse_datatype_string(added).fields)
-
-    def run(batches):
-        vocab = _vocabulary(held)
-        for pdf in batches:
-            texts = pdf.pop("_whole_text").to_list()
-            rows = []
-            for ids in vocab.encode(texts):
-                at = vocab.offsets(ids)
-                if digests:
-                    rows.append((len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(vocab.decode(ids, at)).hexdigest()))
-                else:
-                    rows.append((len(ids), ids.astype(np.int32), at))
-            names = [f.name for f in schema.fields[-3:]]
-            yield pd.concat([pdf.reset_index(drop=True), pd.DataFrame(rows, columns=names)], axis=1)
-
-    return docs.select(*[F.col(f"`{f.name}`") for f in rest], whole(F.col(text)).alias("_whole_text")).mapInPandas(run, schema)
+    added = ["n_tokens long"] + ["ids array<int>, offsets array<long>"] * arrays + ["ids_sha256 string, decoded_sha256 string"] * digests
+
+    def run(texts):
+        vocab, rows = _vocabulary(held), []
+        for ids in vocab.encode(texts):
+            at = vocab.offsets(ids)
+            row = [len(ids)]
+            if arrays:
+                row += [ids.astype(np.int32), at]
+            if digests:
+                row += [hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(vocab.decode(ids, at)).hexdigest()]
+            rows.append(row)
+        return list(zip(*rows)) if rows else [[]] * (1 + 2 * arrays + 2 * digests)
+
+    rest = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != text], F.col(text).alias("_source"))
+    return add_columns(rest, whole(F.col("_source")), run, ", ".join(added)).drop("_source")
 
 
 def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm.shared import whole, written
+from pairloom.llm.shared import add_rows, whole, written
 from pairloom.llm.words import mix, steps, words_of
 
 FEATURES = 1 << 17
@@ -256,9 +256,9 @@ def find_leaks(
     spark: SparkSession = docs.sparkSession
     held = benchmark.select(F.col(item).alias("_item"), whole(F.col(item_text)).alias("_text"))
     held = written(held.where(F.trim("_text") != "").withColumn("_n", F.monotonically_increasing_id()), "op8-items")
-    rows = docs.select(F.col(key).alias(key), whole(F.col(text)).alias("_text"))
+    rows = docs.select(F.col(key).alias(key), F.col(text).alias("_source"))
     kind = dict(benchmark.dtypes)[item]
-    schema = f"`{key}` {dict(docs.dtypes)[key]}, _n int, _block int, cosine double, common double, answer_common double, first_word int, last_word int"
+    added = "_n int, _block int, cosine double, common double, answer_common double, first_word int, last_word int"
     counts, number = document_frequency(docs, text)
     idf = inverse_frequency(counts, number)
     place, matrix = latent_space(held, "_text", idf)
@@ -274,16 +274,15 @@ def find_leaks(
         names = spark.createDataFrame([(b, i, x) for i, x in enumerate(block.pop("items"))], f"_block int, _n int, `{item}` {kind}")
         shared = spark.sparkContext.broadcast((block, idf, place, matrix))
 
-        def run(batches, b=b, shared=shared):
+        def run(texts, b=b, shared=shared):
             block, idf, place, matrix = shared.value
-            for pdf in batches:
-                found = list(_search(pdf["_text"].to_list(), block, idf, place, matrix, cosine))
-                found = [f for f in found if f[3] >= sure or f[3] >= likely and f[4] >= answer]
-                keys = pdf[key].to_numpy()
-                yield pd.DataFrame([(keys[f[0]], f[1], b, *f[2:]) for f in found], columns=[key, "_n", "_block", "cosine", "common", "answer_common", "first_word", "last_word"])
+            found = list(_search(texts, block, idf, place, matrix, cosine))
+            found = [(f[0], f[1], b, *f[2:]) for f in found if f[3] >= sure or f[3] >= likely and f[4] >= answer]
+            at, *columns = zip(*found) if found else ([],) * 8
+            return at, columns
 
-        one = rows.mapInPandas(run, schema).join(F.broadcast(names), ["_block", "_n"]).drop("_block", "_n")
+        one = add_rows(rows, whole(F.col("_source")), run, added).join(F.broadcast(names), ["_block", "_n"]).drop("_block", "_n", "_source")
         out = one if out is None else out.unionByName(one)
     if out is None:
-        out = spark.createDataFrame([], schema).withColumn(item, F.lit(None).cast(kind)).drop("_block", "_n")
+        out = spark.createDataFrame([], f"`{key}` {dict(docs.dtypes)[key]}, {added}").withColumn(item, F.lit(None).cast(kind)).drop("_block", "_n")
     return out.select(key, item, "cosine", "common", "answer_common", "first_word", "last_word")

@@ -11,12 +11,10 @@ from __future__ import annotations
 import html
 import re
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from pairloom.llm.shared import whole
+from pairloom.llm.shared import add_columns, whole
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>?""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
@@ -242,12 +240,5 @@ def extract(pages: DataFrame, html_column: str = "html", text: str = "text") ->
     no-break) inside a block becomes one space. Broken markup is read as far as it goes; a page of any length is read
     whole. Other columns stay; a former column named like the text is replaced.
     """
-    rest = [f for f in pages.schema.fields if f.name not in (html_column, text)]
-    schema = T.StructType(rest + [T.StructField(text, T.StringType())])
-
-    def run(batches):
-        for pdf in batches:
-            raw = pdf.pop("_html")
-            yield pd.concat([pdf, pd.DataFrame({text: [main_text(x) for x in raw]}, index=pdf.index)], axis=1)
-
-    return pages.select(*[F.col(f"`{f.name}`") for f in rest], whole(F.col(html_column)).alias("_html")).mapInPandas(run, schema)
+    rest = pages.select(*[F.col(f"`{c}`") for c in pages.columns if c not in (html_column, text)], F.col(html_column).alias("_html"))
+    return add_columns(rest, whole(F.col("_html")), lambda texts: [[main_text(x) for x in texts]], f"`{text}` string").drop("_html")

@@ -11,11 +11,10 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.shared import whole
+from pairloom.llm.shared import add_rows, whole
 
 _MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
 files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge,
@@ -152,13 +151,12 @@ def find_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text", temp
     A place counts from a coverage of `least` on. Null and empty texts have none; repeated rows and repeated mentions
     give a row each; places of one text do not overlap. The templates (names and texts) are a parameter of fixed size.
     """
-    kind = docs.schema[key].dataType.simpleString()
-
-    def run(batches):
+    def run(texts):
         scanner = Scanner(templates)
-        for pdf in batches:
-            rows = [(k, *r) for k, t in zip(pdf["_key"], pdf["_text"]) for r in scanner.find(t, least)]
-            yield pd.DataFrame(rows, columns=["k", "license", "coverage", "first_word", "last_word", "first_char", "last_char"])
+        found = [(i, *r) for i, t in enumerate(texts) for r in scanner.find(t, least)]
+        rows, *columns = zip(*found) if found else ([],) * 7
+        return rows, columns
 
-    schema = f"k {kind}, license string, coverage double, first_word int, last_word int, first_char int, last_char int"
-    return docs.select(F.col(key).alias("_key"), whole(F.col(text)).alias("_text")).mapInPandas(run, schema).withColumnRenamed("k", key)
+    added = "license string, coverage double, first_word int, last_word int, first_char int, last_char int"
+    rows = docs.select(F.col(key).alias(key), F.col(text).alias("_source"))
+    return add_rows(rows, whole(F.col("_source")), run, added).drop("_source")

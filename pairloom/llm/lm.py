@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.shared import fold_of, whole, written
+from pairloom.llm.shared import add_columns, fold_of, whole, written
 from pairloom.llm.words import mix, steps, words_of
 
 ORDERS = (2, 3, 5)
@@ -301,24 +301,21 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", folds:
     tables = context_tables(train, code)
     held = spark.sparkContext.broadcast((frequent["item"].to_numpy(np.int64), frequent["n"].to_numpy(np.int64), tables, code))
 
-    def run(batches):
+    def run(texts):
         items, n, tables, code = held.value
-        for pdf in batches:
-            texts = pdf.pop("_text").to_list()
-            sums, known = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
-            for a, b in steps(texts):
-                hashes, offsets, _, _, _ = words_of(texts[a:b])
-                own, plain = np.repeat(np.arange(a, b), np.diff(offsets)), hashes.view(np.int64)
-                if len(items):
-                    at = np.minimum(np.searchsorted(items, plain), len(items) - 1)
-                    hit = items[at] == plain
-                    sums += np.bincount(own[hit], np.log10(n[at[hit]] + 0.1), minlength=len(texts))
-                    known += np.bincount(own[hit], minlength=len(texts))
-            bits, size, count = (np.array(x) for x in zip(*_score(texts, tables, code))) if texts else (np.zeros(0),) * 3
-            yield pdf.assign(_bits=bits, _bytes=size.astype(np.int64), _words=count.astype(np.int64), _sum=sums, _known=known)
-
-    kind = dict(rows.dtypes)["_key"]
-    scored = rows.select("_key", "_id", "_held", "_text").mapInPandas(run, f"_key {kind}, _id long, _held boolean, _bits double, _bytes long, _words long, _sum double, _known long")
+        sums, known = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
+        for a, b in steps(texts):
+            hashes, offsets, _, _, _ = words_of(texts[a:b])
+            own, plain = np.repeat(np.arange(a, b), np.diff(offsets)), hashes.view(np.int64)
+            if len(items):
+                at = np.minimum(np.searchsorted(items, plain), len(items) - 1)
+                hit = items[at] == plain
+                sums += np.bincount(own[hit], np.log10(n[at[hit]] + 0.1), minlength=len(texts))
+                known += np.bincount(own[hit], minlength=len(texts))
+        return [*(zip(*_score(texts, tables, code)) if texts else ([],) * 3), sums, known]
+
+    source = rows.select("_key", "_id", "_held", F.col("_text").alias("_source"))
+    scored = add_columns(source, F.col("_source"), run, "_bits double, _bytes long, _words long, _sum double, _known long").drop("_source")
     scored = written(scored, "op7-scored")
     times = scored.groupBy("_id").agg(F.count("*").alias("_times"))
     rare = _rare_sums(rows, counts.where((F.col("kind") == 0) & (F.col("n") * HEAD <= words)), held.value[0], words + 1).join(times, "_id")

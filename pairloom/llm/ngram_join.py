@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pairloom.llm.components import components
-from pairloom.llm.shared import membership, whole, with_membership, written
+from pairloom.llm.shared import add_columns, membership, whole, with_membership, written
 from pairloom.llm.words import mix, shingles_of, steps, words_of
 
 #: Dealings of the shingles for sets with too many empty subsets.
@@ -114,15 +114,12 @@ def _histogram(held: np.ndarray) -> bytes:
 def shingle_classes(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
     """(_key, _n shingles, _class, _histogram) of every row; null class and histogram for empty sets."""
 
-    def run(batches):
-        for pdf in batches:
-            held = list(_sets(pdf["_text"].to_list(), size))
-            n = np.array([len(h) for h in held], np.int64)
-            of = pd.array([_class(h) if len(h) else None for h in held], "Int64")
-            yield pd.DataFrame({"_key": pdf["_key"].to_numpy(), "_n": n, "_class": of, "_histogram": [_histogram(h) if len(h) else None for h in held]})
+    def run(texts):
+        held = list(_sets(texts, size))
+        return [[len(h) for h in held], [_class(h) if len(h) else None for h in held], [_histogram(h) if len(h) else None for h in held]]
 
-    rows = docs.select(F.col(key).alias("_key"), whole(F.col(text)).alias("_text"))
-    return rows.mapInPandas(run, f"_key {rows.schema['_key'].dataType.simpleString()}, _n long, _class long, _histogram binary")
+    rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_source"))
+    return add_columns(rows, whole(F.col("_source")), run, "_n long, _class long, _histogram binary").drop("_source")
 
 
 def _groups(signs: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -83,7 +83,7 @@ def exact_dedup(spark, sf_dir):
 @query("op2_byte_bpe")
 def byte_bpe(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return bpe.encode(docs, bpe_ranks(), digests=True)
+    return bpe.encode(docs, bpe_ranks(), arrays=False, digests=True)
 
 
 @query("op9_quality_nbsvm")

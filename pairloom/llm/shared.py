@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import string
 import uuid
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 #: The characters of `[\x20\x09-\x0D]`.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -68,3 +72,49 @@ def with_membership(df: DataFrame, column: str, held: DataFrame, flag: str, bits
         .withColumn(flag, F.coalesce(F.shiftright(byte, 0).bitwiseAND(F.pow(F.lit(2), bit % 8).cast("int")) != 0, F.lit(False)))
         .drop("_bucket", "_bitmap")
     )
+
+
+def without(df: DataFrame, dropped: DataFrame, key: str) -> DataFrame:
+    """The rows of df whose key is not among dropped (one column of that name); null keys stay. A bit filter of fixed size
+    lets most rows pass where they are; only those it names are joined, by merging at any size."""
+    gone = written(dropped.where(F.col(key).isNotNull()).distinct(), "dropped")
+    marked = with_membership(
+        df.withColumn("_key_hash", F.xxhash64(F.col(key))), "_key_hash", membership(gone.select(F.xxhash64(F.col(key)).alias("_h")), "_h"), "_named"
+    )
+    passed = marked.where("not _named").select(df.columns)
+    named = marked.where("_named").select(df.columns).join(gone.hint("merge"), key, "left_anti")
+    return passed.unionByName(named.select(df.columns))
+
+
+def _fields(added: str) -> list[T.StructField]:
+    return T._parse_datatype_string(added).fields
+
+
+def add_columns(df: DataFrame, text: Column, compute: Callable[[list], list], added: str) -> DataFrame:
+    """df with the columns that compute(texts) gives for each batch of texts, a list of values per column.
+    All other columns pass as Arrow arrays: nulls and large numbers stay as they are."""
+    schema = T.StructType(df.schema.fields + _fields(added))
+    kinds = list(to_arrow_schema(schema))[len(df.columns) :]
+
+    def run(batches):
+        for batch in batches:
+            made = compute(batch.column(batch.num_columns - 1).to_pylist())
+            columns = batch.columns[:-1] + [pa.array(v, k.type) for v, k in zip(made, kinds)]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return df.select(*[F.col(f"`{c}`") for c in df.columns], text.alias("_whole_text")).mapInArrow(run, schema)
+
+
+def add_rows(df: DataFrame, text: Column, compute: Callable[[list], tuple], added: str) -> DataFrame:
+    """For each batch of texts compute(texts) gives (numbers of rows, columns): df's columns of those rows beside the new ones."""
+    schema = T.StructType(df.schema.fields + _fields(added))
+    kinds = list(to_arrow_schema(schema))[len(df.columns) :]
+
+    def run(batches):
+        for batch in batches:
+            rows, made = compute(batch.column(batch.num_columns - 1).to_pylist())
+            at = pa.array(rows, pa.int64())
+            columns = [c.take(at) for c in batch.columns[:-1]] + [pa.array(v, k.type) for v, k in zip(made, kinds)]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return df.select(*[F.col(f"`{c}`") for c in df.columns], text.alias("_whole_text")).mapInArrow(run, schema)
