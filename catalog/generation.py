@@ -20,14 +20,15 @@ def _scripted_generator():
     def make_generator(timeout):
         import json
 
-        seen: dict[str, int] = {}
+        last, times = None, 0  # calls for one prompt follow each other
 
         def send(body: str) -> str:
             chat = json.loads(body)["messages"]
             prompt = chat[-1]["content"]
-            seen[prompt] = seen.get(prompt, 0) + 1
+            nonlocal last, times
+            last, times = prompt, times + 1 if prompt == last else 1
             kind = int(prompt.split("|", 1)[0]) % 5
-            if kind == 1 and seen[prompt] == 1:
+            if kind == 1 and times == 1:
                 raise TimeoutError
             if kind == 2:
                 raise ConnectionError
@@ -42,20 +43,24 @@ def _scripted_generator():
 
 
 def _numbered_prompts(spark, sf_dir):
-    prompt = F.concat(F.col("id").cast("string"), F.lit("|"), "instruction")
+    part = F.split("id", "-")
+    number = F.get(part, F.lit(0)).cast("bigint") + F.get(part, F.lit(1)).cast("bigint")
+    prompt = F.concat(number.cast("string"), F.lit("|"), "id", F.lit(" "), "instruction")
     return sft_conv(spark, sf_dir).select("id", prompt.alias("prompt"))
 
 
 def _attempt_sql(n_messages: int) -> str:
-    return f"""numbered AS (SELECT id, id || '|' || instruction AS prompt FROM sft_conv),
+    return f"""numbered AS (
+  SELECT id, n, n || '|' || id || ' ' || instruction AS prompt
+  FROM (SELECT *, CAST(split_part(id, '-', 1) AS BIGINT) + CAST(split_part(id, '-', 2) AS BIGINT) AS n FROM sft_conv)),
 attempts AS (
   SELECT id, CAST(a AS INTEGER) AS attempt,
-    CASE WHEN id % 5 = 4 THEN '' WHEN id % 5 IN (0, 1) AND a = id % 5
+    CASE WHEN n % 5 = 4 THEN '' WHEN n % 5 IN (0, 1) AND a = n % 5
          THEN trim('{n_messages}:' || prompt, {S.SPACES}) END AS content,
-    CASE WHEN id % 5 = 1 AND a = 0 THEN 'timeout' WHEN id % 5 = 2 THEN 'connection'
-         WHEN id % 5 = 3 THEN 'bad_format' ELSE 'ok' END AS status
+    CASE WHEN n % 5 = 1 AND a = 0 THEN 'timeout' WHEN n % 5 = 2 THEN 'connection'
+         WHEN n % 5 = 3 THEN 'bad_format' ELSE 'ok' END AS status
   FROM numbered, range(3) AS r(a)
-  WHERE a < CASE id % 5 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 4 THEN 1 ELSE 3 END)"""
+  WHERE a < CASE n % 5 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 4 THEN 1 ELSE 3 END)"""
 
 
 @query(

@@ -52,6 +52,23 @@ def quick_test_rows(spark, sf_dir):
     return L.head_n(weak_docs(spark, sf_dir).select("id", "rejected"), 75, "id")
 
 
+@query(
+    "large_sample",
+    f"""SELECT doc_id AS id, text FROM documents
+      QUALIFY row_number() OVER (ORDER BY {_DRAW}, doc_id) <= (SELECT 2 * count(*) // 3 FROM documents)""",
+)
+def large_sample(spark, sf_dir):
+    """Two thirds of the table by the seeded order."""
+    docs = _docs(spark, sf_dir, "text")
+    return L.sample_n(docs, 2 * docs.count() // 3, SELECTION_SEED, "id")
+
+
+@query("large_head", "SELECT doc_id AS id, text FROM documents ORDER BY doc_id LIMIT (SELECT 4 * count(*) // 5 FROM documents)")
+def large_head(spark, sf_dir):
+    docs = _docs(spark, sf_dir, "text")
+    return L.head_n(docs, 4 * docs.count() // 5, "id")
+
+
 def _exact(key: str, seed: int, fraction: float) -> str:
     return f"""CASE WHEN row_number() OVER (ORDER BY {S.seeded(key, seed)}, {key})
       <= ceil({fraction}::DOUBLE * count(*) OVER ()) THEN 'eval' ELSE 'train' END AS split"""

@@ -55,7 +55,7 @@ def _json_arrays(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-_ALL = "SELECT doc_id AS id, substr(text, 1, 80) AS instruction, text AS output FROM documents"
+_ALL = "SELECT doc_id AS id, 'Retell: ' || text AS instruction, text AS output FROM documents"
 
 
 @query("jsonl_scan", _ALL + " WHERE doc_id % 7 >= 4")
@@ -95,7 +95,7 @@ def checked_record_fields(spark, sf_dir):
     path = scratch_path(spark, "conversations.jsonl")
     sft_conv(spark, sf_dir).write.json(path)
     require_fields(spark, path, ["instruction", "output"])
-    records = read_records(spark, path, _SCHEMA)[0]
+    records = read_records(spark, path, _SCHEMA.replace("bigint", "string"))[0]
     return drop_blank(to_pairs(records, Fields(), keep=("id",)))
 
 

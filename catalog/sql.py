@@ -13,10 +13,10 @@ WEAK_TEXT = """CASE doc_id % 6
     WHEN 4 THEN text || ' zzz'
     WHEN 5 THEN substr(text, 1, length(text) // 2) END"""
 
-SFT_DOCS = "sft_docs AS (SELECT doc_id AS id, substr(text, 1, 80) AS instruction, text AS output FROM documents)"
+SFT_DOCS = "sft_docs AS (SELECT doc_id AS id, 'Retell: ' || text AS instruction, text AS output FROM documents)"
 
 WEAK_DOCS = f"""weak_docs AS (
-  SELECT doc_id AS id, source, substr(text, 1, 80) AS prompt, text AS chosen, {WEAK_TEXT} AS rejected
+  SELECT doc_id AS id, source, 'Retell: ' || text AS prompt, text AS chosen, {WEAK_TEXT} AS rejected
   FROM documents)"""
 
 RESPONSES = f"""responses AS (
@@ -34,7 +34,7 @@ PAIRS_DOCS = f"""pairs_docs AS (
   FROM sft_docs s LEFT JOIN first_success f ON s.id = f.id)"""
 
 SFT_CONV = """sft_conv AS (
-  SELECT conv_id * 1000 + turn AS id, text AS instruction, next_text AS output
+  SELECT conv_id || '-' || turn AS id, text AS instruction, next_text AS output
   FROM (SELECT *, lead(role) OVER w AS next_role, lead(text) OVER w AS next_text
         FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
   WHERE role = 'user' AND next_role = 'assistant')"""

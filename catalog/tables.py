@@ -34,7 +34,7 @@ def _weak_text() -> Column:
 def sft_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).select(
         F.col("doc_id").alias("id"),
-        F.expr("substr(text, 1, 80)").alias("instruction"),
+        F.concat(F.lit("Retell: "), "text").alias("instruction"),
         F.col("text").alias("output"),
     )
 
@@ -44,7 +44,7 @@ def weak_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).select(
         F.col("doc_id").alias("id"),
         "source",
-        F.expr("substr(text, 1, 80)").alias("prompt"),
+        F.concat(F.lit("Retell: "), "text").alias("prompt"),
         F.col("text").alias("chosen"),
         _weak_text().alias("rejected"),
     )
@@ -63,15 +63,18 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sft_conv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User turns and the assistant turn after them. Turns of a conversation are numbered without
-    gaps, so the next turn is found by an equality on conversation and turn, which spreads a very
-    long conversation; a window over the conversation would not."""
+    gaps, which is checked, so the next turn is found by an equality on conversation and turn, which
+    spreads a very long conversation; a window over the conversation would not."""
     turns = table(spark, sf_dir, "conversations")
+    spans = turns.groupBy("conv_id").agg(F.count("*").alias("n"), F.min("turn").alias("a"), F.max("turn").alias("b"))
+    if not spans.where("n != b - a + 1").isEmpty():
+        raise ValueError("Turns of a conversation must be numbered without gaps or repeats")
     user = turns.where(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("instruction"))
     reply = turns.where(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("output")
     )
     joined = user.join(reply, ["conv_id", "turn"])
-    key = (F.col("conv_id") * 1000 + F.col("turn")).alias("id")
+    key = F.concat_ws("-", "conv_id", "turn").alias("id")
     return joined.select(key, "instruction", "output")
 
 

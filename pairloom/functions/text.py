@@ -49,14 +49,16 @@ def word_count(c: Column | str) -> Column:
 def overlap(a: Column | str, b: Column | str) -> Column:
     """Jaccard similarity of two token arrays; 0.0 when either is empty, null when either is null.
 
-    Intersection and union drop repeats themselves, so plain token arrays will do. Bind the arrays
-    to columns first: each is read more than once here.
+    The union is |A| + |B| - |A and B|, so only the intersection is built. Repeats are dropped, so
+    plain token arrays will do. Bind the arrays to columns first: each is read more than once here.
     """
     a, b = _col(a), _col(b)
     either_empty = (F.array_size(a) == 0) | (F.array_size(b) == 0)
-    return F.when(either_empty, F.lit(0.0)).otherwise(
-        F.array_size(F.array_intersect(a, b)) / F.array_size(F.array_union(a, b))
-    )
+    common = F.array_size(F.array_intersect(a, b))
+    # Bound to a variable of a one-element array, so that the intersection is made once.
+    sizes = F.array_size(F.array_distinct(a)) + F.array_size(F.array_distinct(b))
+    share = F.get(F.transform(F.array(common), lambda c: c / (sizes - c)), F.lit(0))
+    return F.when(either_empty, F.lit(0.0)).otherwise(share)
 
 
 def jaccard(a: Column | str, b: Column | str) -> Column:

@@ -126,6 +126,13 @@ def generate(
     return requests.repartition(tasks, key).mapInPandas(_attempts(make_generator, cfg, key), schema)
 
 
+def fingerprint(df: DataFrame) -> tuple:
+    """Number of rows and sum of their hashes: the same for the same rows in any order."""
+    hashes = F.sum(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(38,0)"))
+    row = df.agg(F.count("*").alias("rows"), F.coalesce(hashes, F.lit(0).cast("decimal(38,0)")).alias("hashes")).first()
+    return row["rows"], row["hashes"]
+
+
 def generate_to_table(
     spark: SparkSession,
     prompts: DataFrame,
@@ -139,22 +146,31 @@ def generate_to_table(
 
     The prompts are laid down first, one folder per wave, so that every wave, and a resumed run,
     sees the same prompts. With ``resume``, prompts and waves that are already committed are kept
-    and not sent again. What a lost executor can cost is the running tasks of one wave.
+    and not sent again; the waves are then those laid down, whatever ``cfg.waves`` says, and other prompts
+    or request settings are an error. What a lost executor can cost is the running tasks of one wave.
     """
-    staged, log = f"{path.rstrip('/')}/prompts", f"{path.rstrip('/')}/attempts"
+    path = path.rstrip("/")
+    staged, log, plan = f"{path}/prompts", f"{path}/attempts", f"{path}/plan"
 
     def committed(folder: str) -> bool:
         return resume and path_exists(spark, f"{folder}/_SUCCESS")
 
-    if not committed(staged):
+    own = fingerprint(prompts.select(key, "prompt")) + (repr(cfg.request), cfg.max_retries)
+    if committed(staged) and committed(plan):
+        held = spark.read.parquet(plan).first()
+        if tuple(held) != own:
+            raise ValueError(f"{path} holds the attempts of other prompts or settings; resume only the same job")
+    else:
         wave = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(cfg.waves)).alias("wave")
         prompts.select(key, "prompt", wave).write.mode("overwrite").partitionBy("wave").parquet(staged)
+        described = spark.createDataFrame([own], "rows bigint, hashes decimal(38,0), request string, retries int")
+        described.write.mode("overwrite").parquet(plan)
     schema = T.StructType([prompts.schema[key], T.StructField("prompt", T.StringType())])
+    there = T.StructType([*schema.fields, T.StructField("wave", T.IntegerType())])
+    waves = spark.read.schema(there).parquet(staged).select("wave").distinct().collect()
     logs = []
-    for wave in range(cfg.waves):
+    for wave in sorted(r.wave for r in waves):
         source, target = f"{staged}/wave={wave}", f"{log}/wave={wave}"
-        if not path_exists(spark, source):
-            continue
         if not committed(target):
             rows = spark.read.schema(schema).parquet(source)
             generate(rows, make_generator, cfg, key).write.mode("overwrite").parquet(target)

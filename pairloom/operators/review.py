@@ -76,22 +76,31 @@ def histogram(pairs: DataFrame, column: str | Column, n_bins: int) -> DataFrame:
     return pairs.groupBy(bin_.alias("bin")).agg(F.count("*").alias("n"))
 
 
+def _one_session(criteria: DataFrame) -> int | None:
+    """The sample count of criteria that must be of exactly one session."""
+    heads = criteria.select("session", "sample_count").distinct().limit(2).collect()
+    if len(heads) != 1:
+        raise ValueError("The criteria document holds no criteria" if not heads else "The criteria are of more than one session")
+    return heads[0].sample_count
+
+
 def calibration_sample(
     pairs: DataFrame, criteria: DataFrame, key: str = "id", seed: int = SELECTION_SEED
 ) -> DataFrame:
     """As many pairs as the criteria document asks for, by the seeded order."""
-    head = criteria.select("sample_count").first()
-    if head is None:
-        raise ValueError("The criteria document holds no criteria")
-    return sample_n(pairs, head.sample_count, seed, key)
+    n = _one_session(criteria)
+    if n is None or n < 0:
+        raise ValueError(f"The criteria document must give a sample count, got {n}")
+    return sample_n(pairs, n, seed, key)
 
 
 def review_sheet(sample: DataFrame, criteria: DataFrame) -> DataFrame:
     """Every sampled pair under every criterion, with a rating still to be given.
 
     The criteria of one session are gathered into an array and exploded on each pair, which is a
-    narrow step on the pairs and needs no join.
+    narrow step on the pairs and needs no join. Criteria of several sessions are an error.
     """
+    _one_session(criteria)
     listed = criteria.agg(F.sort_array(F.collect_list(F.struct("pos", "text", "type"))).alias("c")).scalar()
     rows = sample.select("*", F.explode(listed).alias("_criterion"))
     return rows.select(

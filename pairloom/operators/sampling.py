@@ -2,8 +2,10 @@
 
 Nothing here sorts or numbers a whole table to cut it. A cut at rank n is turned into the value
 found at rank n, and the cut itself is then a filter against that literal: narrow, no shuffle, and
-the same rows on every later action or recomputation. Keys must be unique (``with_content_key``
-makes one); where equal keys would leave a cut open, an error says so.
+the same rows on every later action or recomputation, whatever n and the table's size. Rows come
+back in no particular order; ask ``shuffle`` for one. Keys must be unique and not null
+(``with_content_key`` makes one): a null key, or equal keys that would leave a cut open, are errors.
+The cut is found when the function is called, so a source that grows before the action may give more.
 """
 
 from __future__ import annotations
@@ -15,10 +17,6 @@ from pyspark.sql import functions as F
 
 from pairloom.functions.order import seeded_hash
 
-# Spark's top-k keeps k rows per task and merges them all in one task: the cheap way to a few rows of
-# a small table, and a bottleneck for many rows or, with whole rows, many tasks.
-TOP_K_ROWS = 1_000
-TOP_K_BYTES = 4 * 1024**3
 # A search for a rank ends in one small sort; this bounds it.
 SEARCH_ROWS = 100_000
 # Hex digits per round of the search: 4,096 counts, few enough to combine well within each task.
@@ -30,12 +28,6 @@ def _check_n(n: int | None) -> None:
         raise ValueError(f"A limit must not be negative, got {n}")
 
 
-def _is_small(df: DataFrame) -> bool:
-    """By the optimizer's estimate of the plan's size, which for files comes from their sizes."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= TOP_K_BYTES
-
-
 def _literal(value) -> Column:
     if isinstance(value, Row):
         return F.struct(*[F.lit(value[name]).alias(name) for name in value.__fields__])
@@ -46,6 +38,11 @@ def _not_unique() -> ValueError:
     return ValueError("The key is not unique: more than one row shares the key at the cut")
 
 
+def _no_nulls(n: int) -> None:
+    if n:
+        raise ValueError(f"The key is null in {n} rows; they have no place in the order")
+
+
 def _pick(values: DataFrame, rank: int) -> object | None:
     """The value at 1-based ``rank`` by a top-k of the values alone; None if there are fewer."""
     at = values.orderBy("k").offset(rank - 1).limit(2).collect()
@@ -68,6 +65,7 @@ def hash_at_rank(hashes: DataFrame, rank_of_total) -> str | None:
         lead = F.substring("k", 1, len(prefix) + _DIGITS).alias("lead")
         counts = within.groupBy(lead).agg(F.count("*").alias("n")).orderBy("lead").collect()
         if rank is None:
+            _no_nulls(sum(c.n for c in counts if c.lead is None))
             total = sum(c.n for c in counts)
             rank = rank_of_total(total)
             if rank >= total:
@@ -92,15 +90,23 @@ def value_at_rank(df: DataFrame, order: Column, n: int, tasks: int | None = None
     the range that holds rank n is searched again until it is small.
     """
     tasks = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    values, rank = df.select(order.alias("k")), n
+    values, rank, first = df.select(order.alias("k")), n, True
     while True:
         ranges = (
             values.repartitionByRange(max(tasks, 2), "k")
             .groupBy(F.spark_partition_id().alias("part"))
-            .agg(F.count("*").alias("n"), F.min("k").alias("low"), F.max("k").alias("high"))
+            .agg(
+                F.count("*").alias("n"),
+                F.count_if(F.col("k").isNull()).alias("nulls"),
+                F.min("k").alias("low"),
+                F.max("k").alias("high"),
+            )
             .orderBy("low")
             .collect()
         )
+        if first:
+            _no_nulls(sum(r.nulls for r in ranges))
+            first = False
         for r in ranges:
             if rank <= r.n:
                 break
@@ -120,15 +126,12 @@ def shuffle(df: DataFrame, key: str, seed: int) -> DataFrame:
 
 
 def sample_n(df: DataFrame, n: int | None, seed: int, key: str) -> DataFrame:
-    """The first n rows of the seeded order (None: all). Out of a large table, or if many, they come
-    back unsorted."""
+    """The first n rows of the seeded order (None: all)."""
     _check_n(n)
     if n is None:
         return df
     if n == 0:
         return df.limit(0)
-    if n <= TOP_K_ROWS and _is_small(df):
-        return shuffle(df, key, seed).limit(n)
     order = seeded_hash(key, seed)
     cut = hash_at_rank(df.select(order.alias("k")), lambda total: n)
     return df if cut is None else df.where(order <= cut)
@@ -141,12 +144,7 @@ def head_n(df: DataFrame, n: int | None, key: str) -> DataFrame:
         return df
     if n == 0:
         return df.limit(0)
-    if n <= TOP_K_ROWS and _is_small(df):
-        return df.orderBy(key).limit(n)
-    if n <= TOP_K_ROWS:  # top-k of the keys alone
-        cut = _pick(df.select(F.col(key).alias("k")), n)
-    else:
-        cut = value_at_rank(df, F.col(key), n)
+    cut = value_at_rank(df, F.col(key), n)
     return df if cut is None else df.where(F.col(key) <= _literal(cut))
 
 

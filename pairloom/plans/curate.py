@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from pairloom.config import Fields, Generation, Quality, Selection
 from pairloom.functions.text import strip
-from pairloom.operators.generation import MakeGenerator, attach, generate_to_table
+from pairloom.operators.generation import MakeGenerator, attach, fingerprint, generate_to_table
 from pairloom.operators.keys import with_content_key
 from pairloom.operators.quality import accepted, classify, readiness, run_summary, skipped
-from pairloom.operators.sampling import TOP_K_ROWS, head_n, sample_n
-from pairloom.operators.validate import drop_blank, require_columns, to_pairs
+from pairloom.operators.sampling import head_n, sample_n
+from pairloom.operators.validate import drop_blank, drop_blank_stats, require_columns, to_pairs
 from pairloom.sources.paths import path_exists, written_once
 from pairloom.sources.records import (
     POSITION,
@@ -44,12 +44,23 @@ def load_records(
     json_source: bool | None = None,
 ) -> DataFrame:
     """Records of a JSON file or folder, or of one split of a named table, with the mapped fields
-    checked."""
+    checked. Malformed lines are left out; ``load_with_malformed`` gives them too."""
+    return load_with_malformed(spark, source, fields, split, json_source)[0]
+
+
+def load_with_malformed(
+    spark: SparkSession,
+    source: str,
+    fields: Fields,
+    split: str | None = "train",
+    json_source: bool | None = None,
+) -> tuple[DataFrame, DataFrame | None]:
+    """``load_records``, and the malformed lines ``(file, line)`` of a JSON source."""
     if source.endswith((".json", ".jsonl")) if json_source is None else json_source:
         require_fields(spark, source, fields.names)
         names = fields.names + ([fields.key] if fields.key else [])
-        return read_records(spark, source, record_schema(names), with_position=True)[0]
-    return require_columns(read_table(spark, source, split), fields.names)
+        return read_records(spark, source, record_schema(names), with_position=True)
+    return require_columns(read_table(spark, source, split), fields.names), None
 
 
 def select_records(df: DataFrame, fields: Fields, selection: Selection) -> DataFrame:
@@ -64,6 +75,10 @@ def select_records(df: DataFrame, fields: Fields, selection: Selection) -> DataF
         if order is None:
             raise ValueError("Taking the first rows of a table needs a key column that orders them")
         valid = drop_blank(df, fields.prompt, fields.chosen)
+        if order == POSITION:
+            # A position is only what it is as long as the file is read in the same splits, and text
+            # would be parsed again in every pass.
+            valid = written_once(valid, "positioned-records")
         df = head_n(valid, selection.max_samples, order)
     keep = (F.col(fields.key).alias("id"),) if fields.key else ()
     pairs = drop_blank(to_pairs(df, Fields(fields.prompt, fields.chosen), keep))
@@ -72,7 +87,7 @@ def select_records(df: DataFrame, fields: Fields, selection: Selection) -> DataF
         pairs = with_content_key(pairs)
     if cut_by_order or not selection.shuffle:
         return pairs
-    if not fields.key and (selection.max_samples or 0) > TOP_K_ROWS:
+    if selection.max_samples and (not fields.key or POSITION in df.columns):
         pairs = written_once(pairs, "keyed-records")  # the cut is searched for in several passes
     return sample_n(pairs, selection.max_samples, selection.seed, "id")
 
@@ -98,17 +113,27 @@ def build_pairs(
     is written once and read back: the selected records, the attempts, and the classified rows by
     outcome. The pair file, the skip log and the counts all come from that last table, so they
     agree, and the join and the word overlap are not done three times. With ``resume`` a run that
-    broke off goes on with the records and attempts it had committed.
+    broke off goes on with the records and attempts it had committed; it must be of the same records.
+
+    The summary also counts the ``malformed`` lines, which are written to ``out/malformed``, and the ``blank``
+    records. Without a limit, what was read is malformed + blank + total.
     """
     if (make_generator is None) == (responses is None):
         raise ValueError("Give either a generator or an attempt log")
     out = out.rstrip("/")
-    loaded = load_records(spark, source, cfg.fields, split, cfg.json_source)
+    loaded, bad = load_with_malformed(spark, source, cfg.fields, split, cfg.json_source)
+    malformed = 0
+    if bad is not None:
+        bad.write.mode("overwrite").json(f"{out}/malformed")
+        malformed = spark.read.schema(bad.schema).json(f"{out}/malformed").count()
+    blank = drop_blank_stats(loaded, cfg.fields.prompt, cfg.fields.chosen).first().dropped
     records = select_records(loaded, cfg.fields, cfg.selection)
     if make_generator is not None:
         kept = f"{out}/records"
         if not (resume and path_exists(spark, f"{kept}/_SUCCESS")):
             records.write.mode("overwrite").parquet(kept)
+        elif fingerprint(records) != fingerprint(spark.read.parquet(kept)):
+            raise ValueError(f"{kept} holds other records than {source}; resume only the same job")
         records = spark.read.parquet(kept)
         responses = generate_to_table(
             spark, records, make_generator, f"{out}/generation", cfg.generation, resume=resume
@@ -119,4 +144,7 @@ def build_pairs(
     write_pairs(accepted(classified), f"{out}/pairs.jsonl")
     if cfg.log_skipped:
         write_skipped(skipped(classified), f"{out}/skipped.jsonl")
-    return readiness(run_summary(classified))
+    summary = run_summary(classified).withColumns(
+        {"malformed": F.lit(malformed).cast("bigint"), "blank": F.lit(blank).cast("bigint")}
+    )
+    return readiness(summary)

@@ -25,6 +25,8 @@ def prepare(df: DataFrame, cfg: Training = Training(), template: Column | str |
         order = POSITION if POSITION in df.columns else fields.key
         if order is None:
             raise ValueError("Taking the first rows of a table needs a key column that orders them")
+        if order == POSITION:
+            df = written_once(df, "positioned-pairs")  # positions hold only for one way of reading
         df = head_n(df, cfg.max_samples, order)
     require_columns(df, fields.names)
     if fields.key and fields.key != "id":
@@ -32,7 +34,7 @@ def prepare(df: DataFrame, cfg: Training = Training(), template: Column | str |
     pairs = to_pairs(df, fields, ("id",) if fields.key else ())
     if not fields.key:
         pairs = with_content_key(pairs, ("prompt", "chosen", "rejected"))
-    if cfg.eval_split and (cfg.max_samples is not None or not fields.key):
+    if cfg.eval_split and (cfg.max_samples is not None or not fields.key or POSITION in df.columns):
         # The split is searched for in several passes, which must not repeat the cut or the keying.
         pairs = written_once(pairs, "training-pairs")
     rendered = format_prompt(pairs, cfg.family, template, cfg.system)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,9 +34,16 @@ def require_path(spark: SparkSession, path: str) -> str:
     return path
 
 
+#: A session setting that names the working folder, for sessions without a checkpoint folder.
+WORK_FOLDER = "pairloom.work.folder"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the folder all executors share; a local one only if none is configured."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="pairloom-")
+    """A fresh path in the folder all executors share: the one of spark.checkpoint.dir, else that of
+    WORK_FOLDER. There is no local folder to fall back to."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(WORK_FOLDER, None)
+    if not base:
+        raise ValueError(f"Set spark.checkpoint.dir or {WORK_FOLDER} to a folder that all executors share")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

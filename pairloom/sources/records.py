@@ -107,18 +107,16 @@ def _array_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def is_json_array(spark: SparkSession, path: str) -> bool:
-    """Look at the first non-blank character. In a folder the first file decides; if it is an array,
-    all files must be, and a folder that mixes both forms is rejected. (An array among JSON-lines
-    files needs no check: its pieces turn up as bad lines.)"""
-    first = _first_file(spark, require_path(spark, path))
-    head = _lines(spark, first).select("line").first() if first else None
-    if head is None or not head.line.startswith("["):
-        return False
-    if first != path:
-        other = _array_files(spark, path).where(~F.col("array")).first()
-        if other is not None:
-            raise ValueError(f"{path} mixes JSON arrays and JSON lines: {other.file}")
-    return True
+    """Does every file begin with an array? Files without text say nothing; a folder with arrays and
+    JSON lines is rejected. One row per file is counted, two at most come to the driver."""
+    require_path(spark, path)
+    if is_directory(spark, path):
+        forms = {r.array for r in _array_files(spark, path).select("array").distinct().collect()}
+        if len(forms) > 1:
+            raise ValueError(f"{path} mixes JSON arrays and JSON lines")
+        return forms == {True}
+    head = _lines(spark, path).select(F.substring("line", 1, 1).alias("c")).first()
+    return head is not None and head.c == "["
 
 
 def read_records(
@@ -175,11 +173,17 @@ def read_table(spark: SparkSession, name_or_path: str, split: str | None = None)
     return df.where(F.col("split") == split)
 
 
+def _is_parquet(spark: SparkSession, path: str) -> bool:
+    return path.endswith(".parquet") or any(path_exists(spark, f"{path.rstrip('/')}/{p}") for p in ("*.parquet", "*=*/*.parquet"))
+
+
 def read_pairs(
     spark: SparkSession, source: str, split: str = "train", fields: Fields = PAIR_FIELDS
 ) -> DataFrame:
     """A ``.json``/``.jsonl`` name or an existing path is a JSON pair file, read whole and strictly
-    (with its row positions); anything else is a named table, narrowed to ``split``."""
+    (with its row positions); a parquet path or anything else is a table, narrowed to ``split``."""
+    if path_exists(spark, source) and _is_parquet(spark, source):
+        return read_table(spark, source, split)
     if source.endswith((".json", ".jsonl")) or path_exists(spark, source):
         require_fields(spark, source, fields.names, in_each=False)
         names = fields.names + ([fields.key] if fields.key else [])

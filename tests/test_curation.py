@@ -102,15 +102,37 @@ def test_json_under_another_name(spark, source, tmp_path):
     assert load_records(spark, str(other), Fields(), json_source=True).count() == 104
 
 
-def test_large_sample_is_cut_over_written_keys(spark, source, monkeypatch):
-    from pairloom.operators import sampling
-    from pairloom.plans import curate
-
-    records = load_records(spark, source, Fields())
-    small = {r.id for r in select_records(records, Fields(), Selection(max_samples=20)).collect()}
-    monkeypatch.setattr(sampling, "TOP_K_ROWS", 5)
-    monkeypatch.setattr(curate, "TOP_K_ROWS", 5)
-    assert {r.id for r in select_records(records, Fields(), Selection(max_samples=20)).collect()} == small
+def test_the_head_of_a_file_does_not_depend_on_how_it_is_split(spark, tmp_path):
+    """Positions are laid down once: another way of reading the file, between cut and action, changes nothing."""
+    source = tmp_path / "many.jsonl"
+    source.write_text("".join(f'{{"instruction":"question {i}","output":"answer {i}"}}\n' for i in range(20_000)))
+    setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    try:
+        spark.conf.set(setting, "64k")
+        head = select_records(load_records(spark, str(source), Fields()), Fields(), Selection(max_samples=12_345, shuffle=False))
+        spark.conf.set(setting, "7m")
+        assert {r.prompt for r in head.collect()} == {f"question {i}" for i in range(12_345)}
+    finally:
+        spark.conf.set(setting, before)
+
+
+def test_nothing_is_lost_without_a_count(spark, tmp_path):
+    source = tmp_path / "faulty.jsonl"
+    good = [f'{{"instruction":"question {i}","output":"{"long answer " * 9}{i}"}}' for i in range(20)]
+    source.write_text("\n".join([*good, "{bad", '{"instruction":" ","output":"x"}', '{"instruction":"y"}', "", '{"a":1} more']))
+    log = spark.createDataFrame([("none", 0, "x")], "id string, attempt int, content string")
+    row = build_pairs(spark, str(source), str(tmp_path / "out"), CFG, responses=log).first()
+    assert (row.malformed, row.blank, row.total, row.failed) == (2, 2, 20, 20)
+    assert {r.line for r in spark.read.json(str(tmp_path / "out/malformed")).collect()} == {"{bad", '{"a":1} more'}
+
+
+def test_resume_refuses_another_source(spark, source, tmp_path):
+    out, other = str(tmp_path / "run"), tmp_path / "other.jsonl"
+    build_pairs(spark, source, out, CFG, make_generator_for(inner_reply()))
+    other.write_text('{"instruction":"something else","output":"entirely"}\n')
+    with pytest.raises(ValueError, match="other records"):
+        build_pairs(spark, str(other), out, CFG, make_generator_for(None), resume=True)
 
 
 def test_keyed_table(spark):

@@ -148,6 +148,12 @@ def test_generation_in_waves_and_resuming(spark, tmp_path):
     lost = tmp_path / "out" / "attempts" / "wave=2" / "_SUCCESS"
     lost.rename(lost.with_name("_LOST"))
     assert 0 < run(resume=True) < 40
+    # Fewer waves than were laid down lose nothing, other prompts or settings are refused.
+    fewer = G.generate_to_table(spark, prompts(spark, names), stub(str(notes)), out, Generation(waves=2, **FAST), resume=True)
+    assert fewer.count() == 40
+    for asked, other in ((names + ["more"], cfg), (names, Generation(waves=4, **{**FAST, "max_retries": 7}))):
+        with pytest.raises(ValueError, match="other prompts"):
+            G.generate_to_table(spark, prompts(spark, asked), stub(str(notes)), out, other, resume=True)
 
 
 def test_generation_of_nothing(spark, tmp_path):

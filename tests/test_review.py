@@ -54,3 +54,18 @@ def test_review_sheet(spark, pairs):
 def test_sample_without_criteria(spark, pairs):
     with pytest.raises(ValueError):
         R.calibration_sample(pairs, _criteria(spark).limit(0))
+
+
+def test_criteria_of_one_session_with_a_count(spark):
+    names = "session string, sample_count bigint, pos int, text string, type string"
+    pairs = spark.range(9).selectExpr("id", "'c' chosen", "'r' rejected")
+    one = spark.createDataFrame([("s", 3, 0, "a", "primary"), ("s", 3, 1, "b", "anti")], names)
+    assert R.calibration_sample(pairs, one).count() == 3 and R.review_sheet(pairs, one).count() == 18
+    two = one.unionByName(spark.createDataFrame([("t", 3, 0, "a", "primary")], names))
+    for bad in (one.where("false"), two):
+        for f in (lambda: R.calibration_sample(pairs, bad), lambda: R.review_sheet(pairs, bad)):
+            with pytest.raises(ValueError):
+                f()
+    for n in (None, -1):
+        with pytest.raises(ValueError):
+            R.calibration_sample(pairs, spark.createDataFrame([("s", n, 0, "a", "primary")], names))

@@ -18,8 +18,7 @@ def table(spark):
 
 @pytest.fixture
 def small_limits(monkeypatch):
-    """Drive the search for large limits on small data."""
-    monkeypatch.setattr(L, "TOP_K_ROWS", 5)
+    """Drive the search in several rounds on small data."""
     monkeypatch.setattr(L, "SEARCH_ROWS", 3)
 
 
@@ -45,16 +44,19 @@ def test_head(table, n, small_limits):
     assert ids(L.head_n(table.repartition(5), n, "id")) == list(range(min(n, 3000)))
 
 
-def test_few_rows_of_a_large_table(table, monkeypatch):
-    """Only keys are merged; the rows are found by a filter."""
-    monkeypatch.setattr(L, "TOP_K_BYTES", 0)
-    for n in (0, 1, 40, 3000, 4000):
-        assert ids(L.head_n(table, n, "id")) == list(range(min(n, 3000)))
-        want = sorted(sorted(range(3000), key=lambda i: draw(42, i))[:n])
-        assert ids(L.sample_n(table, n, 42, "id")) == want
-    for df in (L.head_n(table, 40, "id"), L.sample_n(table, 40, 42, "id")):
+@pytest.mark.parametrize("n", [1, 40, 1000, 1001, 2999])
+def test_every_cut_is_a_filter(table, n):
+    for df in (L.head_n(table, n, "id"), L.sample_n(table, n, 42, "id")):
         plan = df._jdf.queryExecution().executedPlan().toString()
-        assert "TakeOrdered" not in plan and "Exchange" not in plan
+        assert df.count() == n and "TakeOrdered" not in plan and "Exchange" not in plan
+
+
+@pytest.mark.parametrize("n", [1, 900, 1500])
+def test_null_keys_are_an_error(spark, n):
+    df = spark.range(2000).select(F.when(F.col("id") >= 300, F.col("id")).alias("id"))
+    for cut in (lambda: L.sample_n(df, n, 1, "id"), lambda: L.head_n(df, n, "id"), lambda: L.split_exact(df, 0.05, 1, "id")):
+        with pytest.raises(ValueError, match="null in 300 rows"):
+            cut()
 
 
 def test_head_by_struct_and_string(spark, small_limits):
@@ -71,8 +73,7 @@ def test_cut_through_equal_keys_is_an_error(spark, small_limits):
         L.head_n(same, 50, "id")
 
 
-def test_cut_between_equal_keys_among_others_is_an_error(spark, monkeypatch):
-    monkeypatch.setattr(L, "TOP_K_BYTES", 0)
+def test_cut_between_equal_keys_among_others_is_an_error(spark):
     double = spark.range(100).select((F.col("id") / 2).cast("int").alias("id"))
     with pytest.raises(ValueError, match="not unique"):
         L.head_n(double, 51, "id")

@@ -98,8 +98,35 @@ def test_mixed_folder(spark, tmp_path):
     other.mkdir()
     write(other / "a.json", '{"a":"1"}\n{"a":"2"}')
     write(other / "b.json", '[{"a":"1"}]')
-    good, bad = read_records(spark, str(other), SCHEMA)
-    assert good.count() == 2 and bad.count() == 1
+    with pytest.raises(ValueError, match="mixes"):
+        read_records(spark, str(other), SCHEMA)
+
+
+def test_empty_files_say_nothing(spark, tmp_path):
+    for name, text, n in (("arrays", '[{"a":"1"},{"a":"2"}]', 2), ("lines", '{"a":"1"}\n{"a":"2"}\n{"a":"3"}', 3)):
+        folder = tmp_path / name
+        folder.mkdir()
+        write(folder / "a.json", "")
+        write(folder / "b.json", text)
+        assert read_records(spark, str(folder), SCHEMA)[0].count() == n
+
+
+def test_pairs_by_parquet_path(spark, tmp_path):
+    rows = spark.createDataFrame([("p", "c", "r")], "prompt string, chosen string, rejected string")
+    rows.write.parquet(str(tmp_path / "plain"))
+    rows.selectExpr("*", "'ok' outcome").write.partitionBy("outcome").parquet(str(tmp_path / "parts"))
+    for name in ("plain", "parts"):
+        assert [tuple(r)[:3] for r in read_pairs(spark, str(tmp_path / name)).collect()] == [("p", "c", "r")]
+
+
+def test_no_local_working_folder(spark):
+    from types import SimpleNamespace
+
+    from pairloom.sources.paths import scratch_path
+
+    unset = SimpleNamespace(conf=SimpleNamespace(get=lambda name, default=None: default))
+    with pytest.raises(ValueError, match="executors share"):
+        scratch_path(unset, "x")
 
 
 @pytest.mark.parametrize("read", [
