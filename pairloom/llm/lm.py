@@ -1,7 +1,7 @@
 """Language-model scores by logistic mixing of bit predictors over hashed contexts.
 
 A text is read as its words, each followed by a blank and the last by a line feed, byte by byte, and each byte as
-the bits of its Huffman code. For every bit several predictors look up what followed the same context (the last 2, 3
+the bits of its Huffman code after the byte before. For every bit several predictors look up what followed the same context (the last 2, 3
 or 5 bytes, and the place in the code) in the training texts; each context is hashed to a slot of its own table of counts.
 Their log odds are mixed with weights that a gate selects (how many predictors know the context), the outcome is refined by
 a table that maps mixed odds to observed ones, and weights and table learn online: after each block of a text
@@ -33,21 +33,23 @@ SLOTS, PIECE = 1 << SLOTS_LOG, 1 << 13
 #: Bytes that are predicted with the same weights: of a text's first block, then ever twice as many up to a bound; rates of learning.
 BLOCK, LONGEST, RATE, REFINE_RATE = 64, 1024, 0.02, 0.05
 #: Words so frequent that their counts are broadcast, at most; entries of a bucket on average.
-HEAD, BUCKET = 1 << 16, 2_000_000
+HEAD, BUCKET = 1 << 20, 200_000
 _BINS = 33
+#: Characters whose bits are worked on at once: their arrays stay in the processor's cache.
+STEP = 1 << 18
 _ODD = np.uint32(0x9E3779B1)
 
 
-def huffman(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(length, nodes, bits) of the code of each of 256 bytes: the inner nodes on its way and the turns taken there."""
-    heap = [(float(c) + 1e-3, b, None) for b, c in enumerate(counts)]
+def _ways(counts: np.ndarray) -> list[list[tuple[int, int]]]:
+    """The Huffman code of 256 bytes: the inner nodes on the way to each and the turns taken there. Rare ones count as 2^-20 of all."""
+    heap = [(max(float(c), counts.sum() / 2**20, 1e-3), b, None) for b, c in enumerate(counts)]
     heapq.heapify(heap)
     number = 256
     while len(heap) > 1:
         a, b = heapq.heappop(heap), heapq.heappop(heap)
         heapq.heappush(heap, (a[0] + b[0], number, (a, b)))
         number += 1
-    ways: dict[int, list] = {}
+    ways: list[list] = [[]] * 256
     stack = [(heap[0], [])]
     while stack:
         (_, name, children), way = stack.pop()
@@ -56,12 +58,17 @@ def huffman(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         else:
             for bit, child in enumerate(children):
                 stack.append((child, way + [(name - 256, bit)]))
-    longest = max(map(len, ways.values()))
-    nodes, bits = np.zeros((256, longest), np.uint32), np.zeros((256, longest), np.uint8)
-    for b, way in ways.items():
-        for k, (node, bit) in enumerate(way):
-            nodes[b, k], bits[b, k] = node, bit
-    return np.array([len(ways[b]) for b in range(256)]), nodes, bits
+    return ways
+
+
+def huffman(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(length, nodes, bits) of the code of each byte: one code for 256 counts; for 65536 one after each byte, in the order of twos()."""
+    ways = [way for after in counts.reshape(-1, 256) for way in _ways(after)]
+    lengths = np.array([len(way) for way in ways], np.int32)
+    nodes, bits = np.zeros((len(ways), lengths.max()), np.uint32), np.zeros((len(ways), lengths.max()), np.uint8)
+    for b, way in enumerate(ways):
+        nodes[b, : len(way)], bits[b, : len(way)] = zip(*way)
+    return lengths, nodes * np.uint32(0x85EBCA6B), bits
 
 
 def stream_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -74,25 +81,39 @@ def stream_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(parts), np.uint8), np.concatenate(([0], np.cumsum([len(p) for p in parts]))), np.array(n, np.int64)
 
 
-def slots(stream: np.ndarray, begins: np.ndarray, code) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(slot of each predictor for each bit, the bits, how many bits each byte has)."""
+def twos(stream: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """256 times the byte before plus the byte; a line feed comes before each text."""
+    before = np.concatenate((stream[:0], [10], stream[:-1])).astype(np.int32)
+    before[begins[:-1]] = 10
+    return (before << 8) + stream
+
+
+def slots(stream: np.ndarray, begins: np.ndarray, code, order: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(slot of each predictor for each bit, the bits, how many bits each byte has), of the bytes as they come or in an order."""
     lengths, nodes, bits = code
-    place = np.arange(len(stream)) - np.repeat(begins[:-1], np.diff(begins))
-    sizes = lengths[stream]
-    of_byte = np.repeat(np.arange(len(stream), dtype=np.int32), sizes)
-    nth = np.arange(len(of_byte), dtype=np.int32) - np.repeat((np.cumsum(sizes) - sizes).astype(np.int32), sizes)
-    at = stream[of_byte].astype(np.int32) * nodes.shape[1] + nth
-    node, bit = nodes.ravel()[at] * np.uint32(0x85EBCA6B), bits.ravel()[at]
-    context, out = np.zeros(len(stream), np.uint32), np.empty((len(ORDERS), len(of_byte)), np.uint32)
+    place = np.arange(len(stream), dtype=np.int32) - np.repeat(begins[:-1].astype(np.int32), np.diff(begins))
+    pair = twos(stream, begins) & np.int32(len(lengths) - 1)  # of one code for all bytes, the byte alone
+    pair = pair if order is None else pair[order]
+    sizes = lengths[pair]
+    of_bytes = np.empty((len(stream), len(ORDERS) + 1), np.uint32)
+    of_bytes[:, -1] = pair.astype(np.uint32) * np.uint32(nodes.shape[1]) - (np.cumsum(sizes) - sizes).astype(np.uint32)
+    context = np.zeros(len(stream), np.uint32)
     for back in range(1, max(ORDERS) + 1):
-        last = np.zeros(len(stream), np.uint32)
+        last = np.full(len(stream), 10, np.uint32)
         last[back:] = stream[:-back]
         last[place < back] = 10
         context = (context ^ last) * _ODD
         context ^= context >> np.uint32(15)
         if back in ORDERS:
-            h = (context[of_byte] + node) * np.uint32(0xC2B2AE35)
-            out[ORDERS.index(back)] = h >> np.uint32(32 - SLOTS_LOG)
+            of_bytes[:, ORDERS.index(back)] = context if order is None else context[order]
+    of_bits = np.repeat(of_bytes, sizes, axis=0)
+    nth = np.arange(len(of_bits), dtype=np.uint32) + of_bits[:, -1]
+    node, bit = nodes.ravel().take(nth), bits.ravel().take(nth)
+    out = np.empty((len(ORDERS), len(nth)), np.uint32)
+    for i in range(len(ORDERS)):
+        h = of_bits[:, i] + node
+        h *= np.uint32(0xC2B2AE35)
+        np.right_shift(h, np.uint32(32 - SLOTS_LOG), out=out[i])
     return out, bit, sizes
 
 
@@ -102,46 +123,65 @@ def log_odds(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return (np.log((ones + 0.2) / (zeros + 0.2)) * (n / (n + 0.3))).astype(np.float16)
 
 
+def _blocks(length: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """(first place, bytes that each text has there) of every block, for texts from the longest to the shortest."""
+    out, x, block = [], 0, BLOCK
+    while len(length) and x < length[0]:
+        there = length[: np.searchsorted(-length, -x)]  # texts that have a byte x
+        out.append((x, np.minimum(there - x, block)))
+        x, block = x + block, min(2 * block, LONGEST)
+    return out
+
+
 def _score(texts: list[str], tables: np.ndarray, code):
     """(bits of information, bytes, words) of every text."""
     k = len(ORDERS)
-    for a, b in steps(texts, 1 << 19):
+    for a, b in steps(texts, STEP):
         stream, begins, words = stream_of(texts[a:b])
-        slot, bit, sizes = slots(stream, begins, code)
+        living = np.argsort(-np.diff(begins), kind="stable")
+        blocks = _blocks(np.diff(begins)[living])
+        # Bytes by block and text: all that is predicted at once lies together.
+        first = np.concatenate([begins[living[: len(n)]] + x for x, n in blocks])
+        n = np.concatenate([n for _, n in blocks])
+        edges = np.concatenate(([0], np.cumsum(n)))
+        slot, bit, sizes = slots(stream, begins, code, np.arange(len(stream)) + np.repeat(first - edges[:-1], n))
         says = np.empty(slot.shape, np.float32)
         for i in range(k):
-            says[i] = tables[i][slot[i]]
-        gate = (says != 0).sum(axis=0, dtype=np.int8)
-        ends = np.concatenate(([0], np.cumsum(sizes)))
+            tables[i].take(slot[i], out=says[i], mode="clip")
+        gates = (says != 0).sum(axis=0, dtype=np.int8)
+        ends = np.concatenate(([0], np.cumsum(sizes)))[edges]  # in bits
         weights = np.tile(_START.T[:, None, :], (1, b - a, 1)).reshape(k, -1)  # predictor, text and gate
         refine = np.zeros((b - a) * _BINS, np.float32)
         cost = np.zeros(b - a)
-        living = np.argsort(-(begins[1:] - begins[:-1]), kind="stable")
-        length = (begins[1:] - begins[:-1])[living]
-        x, block = 0, BLOCK
-        while x < length[0]:
-            docs = living[: np.searchsorted(-length, -x)]  # texts that have a byte x
-            first, last = ends[begins[docs] + x], ends[np.minimum(begins[docs] + x + block, begins[docs + 1])]
-            n = last - first
-            at = np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)
-            of = np.repeat(docs, n)
-            s, flip = says[:, at], 1 - 2 * bit[at].astype(np.float32)  # -1 for a one
-            group = of * (k + 1) + gate[at]
-            odds = s[0] * weights[0][group]
+        at = 0
+        for _, n in blocks:
+            m = len(n)
+            edge = ends[at : at + m + 1]
+            at += m
+            s, flip = says[:, edge[0] : edge[-1]], 1 - 2 * bit[edge[0] : edge[-1]].astype(np.float32)  # -1 for a one
+            of = np.repeat(np.arange(m), np.diff(edge))
+            gate, start = gates[edge[0] : edge[-1]], edge[:-1] - edge[0]
+            group = of * (k + 1) + gate
+            odds = s[0] * weights[0].take(group)
             for i in range(1, k):
-                odds += s[i] * weights[i][group]
-            cell = of * _BINS + np.clip(odds * np.float32(1.25) + np.float32(_BINS / 2), 0, _BINS - 1).astype(np.int64)
-            odds += refine[cell]
+                odds += s[i] * weights[i].take(group)
+            of *= _BINS
+            of += np.clip(odds * np.float32(1.25) + np.float32(_BINS / 2), 0, _BINS - 1).astype(np.int64)
+            odds += refine.take(of)
             e = np.exp(np.clip(odds, -16, 16) * flip)
-            cost += np.bincount(of, np.log1p(e), minlength=b - a)
-            error = e / (1 + e) * -flip  # what was, less what was expected
-            count = np.sqrt(np.maximum(np.bincount(group, minlength=weights.shape[1]), 1))
-            for i in range(k):
-                weights[i] += (RATE * np.bincount(group, error * s[i], minlength=weights.shape[1]) / count).astype(np.float32)
-            seen = np.maximum(np.bincount(cell, minlength=len(refine)), 1)
-            refine += (REFINE_RATE * np.bincount(cell, error, minlength=len(refine)) / np.sqrt(seen)).astype(np.float32)
-            x, block = x + block, min(2 * block, LONGEST)
-        yield from zip((cost / np.log(2)).tolist(), np.diff(begins).tolist(), words.tolist())
+            one = 1 + e
+            cost[:m] += np.add.reduceat(np.log(one), start, dtype=np.float64)
+            error = e / one * -flip  # what was, less what was expected
+            count = np.sqrt(np.maximum(np.bincount(group, minlength=m * (k + 1)), 1))
+            for g in range(1, k + 1):  # where no predictor knows the context, none learns
+                step, known = RATE / count[g :: k + 1], error * (gate == g)
+                for i in range(k):
+                    weights[i, g : m * (k + 1) : k + 1] += (step * np.add.reduceat(known * s[i], start)).astype(np.float32)
+            seen = np.sqrt(np.maximum(np.bincount(of, minlength=m * _BINS), 1))
+            refine[: m * _BINS] += (REFINE_RATE * np.bincount(of, error, minlength=m * _BINS) / seen).astype(np.float32)
+        bits = np.empty(b - a)
+        bits[living] = cost / np.log(2)
+        yield from zip(bits.tolist(), np.diff(begins).tolist(), words.tolist())
 
 
 # Before anything is learnt, by how many predictors know their context: the longest contexts count most.
@@ -154,16 +194,16 @@ def _counted(held: np.ndarray, kind: int) -> pd.DataFrame:
 
 
 def token_counts(texts: DataFrame) -> DataFrame:
-    """(kind, item, n): kind 0, how often a word (its hash) occurs; kind 1, a byte of the streams; kind 2, the number of texts."""
+    """(kind, item, n): kind 0, how often a word (its hash) occurs; kind 1, a byte of the streams and the one before; kind 2, the number of texts."""
 
     def run(batches):
         for pdf in batches:
             texts = pdf["_text"].to_list()
             for a, b in steps(texts):
-                stream, _, _ = stream_of(texts[a:b])
-                seen = np.bincount(stream, minlength=256)
+                stream, begins, _ = stream_of(texts[a:b])
                 yield _counted(words_of(texts[a:b])[0].view(np.int64), 0)
-                yield pd.DataFrame({"kind": np.full(257, [1] * 256 + [2], np.int32), "item": np.arange(257, dtype=np.int64), "n": np.append(seen, b - a)})
+                yield _counted(twos(stream, begins), 1)
+                yield _counted(np.zeros(b - a, np.int64), 2)
 
     return texts.mapInPandas(run, "kind int, item long, n long").groupBy("kind", "item").agg(F.sum("n").alias("n"))
 
@@ -197,12 +237,12 @@ def context_tables(texts: DataFrame, code) -> np.ndarray:
         code, total = held.value, np.zeros((len(ORDERS), 2 * SLOTS), np.int32)
         for pdf in batches:
             texts = pdf["_text"].to_list()
-            for a, b in steps(texts, 1 << 19):
+            for a, b in steps(texts, STEP):
                 stream, begins, _ = stream_of(texts[a:b])
                 slot, bit, _ = slots(stream, begins, code)
-                at = bit.astype(np.int64) << SLOTS_LOG
+                slot += bit.astype(np.uint32) << np.uint32(SLOTS_LOG)
                 for i in range(len(ORDERS)):
-                    total[i] += np.bincount(slot[i] + at, minlength=2 * SLOTS).astype(np.int32)
+                    np.add.at(total[i], slot[i], np.int32(1))
         rows = []
         for i in range(len(ORDERS)):
             for x in range(0, SLOTS, PIECE):
@@ -225,21 +265,43 @@ def context_tables(texts: DataFrame, code) -> np.ndarray:
     return tables
 
 
+def starts_of(items: np.ndarray) -> np.ndarray:
+    """Where in sorted 64-bit hashes each value of their leading bits begins, for about as many values as hashes."""
+    bits = max(1, int(len(items)).bit_length())
+    lead = (items.view(np.uint64) ^ np.uint64(1 << 63)) >> np.uint64(64 - bits)
+    return np.searchsorted(lead, np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int32)
+
+
+def find(items: np.ndarray, starts: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place, is it there) of hashes among sorted ones, at least one: few look-ups each, as hashes are spread evenly."""
+    bits = (len(starts) - 1).bit_length() - 1
+    lead = ((wanted.view(np.uint64) ^ np.uint64(1 << 63)) >> np.uint64(64 - bits)).astype(np.int64)
+    at, end = starts[lead], starts[lead + 1]
+    there = np.minimum(at, len(items) - 1)
+    hit = (items[there] == wanted) & (at < end)
+    open_ = np.flatnonzero(~hit & (at + 1 < end))
+    while len(open_):
+        there[open_] += 1
+        hit[open_] = items[there[open_]] == wanted[open_]
+        open_ = open_[~hit[open_] & (there[open_] + 1 < end[open_])]
+    return there, hit
+
+
 def _rare_sums(rows: DataFrame, counts: DataFrame, head: np.ndarray, tokens: int) -> DataFrame:
     """(_id, _rare sum of log10(count + 0.1), _rare_known) over the words that are not in the head."""
     spark = rows.sparkSession
     buckets = max(8, -(-tokens // BUCKET))
-    held = spark.sparkContext.broadcast(head)
+    held = spark.sparkContext.broadcast((head, starts_of(head)))
 
     def send(batches):
-        head = held.value
+        head, starts = held.value
         for pdf in batches:
             texts, ids = pdf["_text"].to_list(), pdf["_id"].to_numpy()
             for a, b in steps(texts):
                 hashes, offsets, _, _, _ = words_of(texts[a:b])
                 own = np.repeat(np.arange(b - a), np.diff(offsets))
                 plain = hashes.view(np.int64)
-                rare = ~np.isin(plain, head)
+                rare = ~find(head, starts, plain)[1] if len(head) else np.ones(len(plain), bool)
                 plain, own = plain[rare], own[rare]
                 home = np.mod(plain, buckets)
                 order = np.argsort(home, kind="stable")
@@ -292,24 +354,24 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", folds:
     ends = int(counts.where("kind = 2").agg(F.sum("n")).first()[0] or 0)
     words = int(total[0]["n"]) if 0 in total else 0
     tokens, distinct = words + ends, (int(total[0]["v"]) if 0 in total else 0) + (ends > 0)
-    seen = np.zeros(257)
-    for r in counts.where("kind = 1").collect():  # 256 rows
+    seen = np.zeros(1 << 16)
+    for r in counts.where("kind = 1").collect():  # at most 65536 rows
         seen[r["item"]] = r["n"]
-    code = huffman(seen[:256])
+    code = huffman(seen)
     # No more than HEAD words can each have more than that share of all tokens.
     frequent = counts.where((F.col("kind") == 0) & (F.col("n") * HEAD > words)).select("item", "n").orderBy("item").toPandas()
-    tables = context_tables(train, code)
-    held = spark.sparkContext.broadcast((frequent["item"].to_numpy(np.int64), frequent["n"].to_numpy(np.int64), tables, code))
+    tables = context_tables(train, code).astype(np.float32)
+    items = frequent["item"].to_numpy(np.int64)
+    held = spark.sparkContext.broadcast((items, frequent["n"].to_numpy(np.int64), starts_of(items), tables, code))
 
     def run(texts):
-        items, n, tables, code = held.value
+        items, n, starts, tables, code = held.value
         sums, known = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
         for a, b in steps(texts):
             hashes, offsets, _, _, _ = words_of(texts[a:b])
             own, plain = np.repeat(np.arange(a, b), np.diff(offsets)), hashes.view(np.int64)
             if len(items):
-                at = np.minimum(np.searchsorted(items, plain), len(items) - 1)
-                hit = items[at] == plain
+                at, hit = find(items, starts, plain)
                 sums += np.bincount(own[hit], np.log10(n[at[hit]] + 0.1), minlength=len(texts))
                 known += np.bincount(own[hit], minlength=len(texts))
         return [*(zip(*_score(texts, tables, code)) if texts else ([],) * 3), sums, known]
@@ -318,7 +380,7 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", folds:
     scored = add_columns(source, F.col("_source"), run, "_bits double, _bytes long, _words long, _sum double, _known long").drop("_source")
     scored = written(scored, "op7-scored")
     times = scored.groupBy("_id").agg(F.count("*").alias("_times"))
-    rare = _rare_sums(rows, counts.where((F.col("kind") == 0) & (F.col("n") * HEAD <= words)), held.value[0], words + 1).join(times, "_id")
+    rare = _rare_sums(rows, counts.where((F.col("kind") == 0) & (F.col("n") * HEAD <= words)), items, words + 1).join(times, "_id")
     log_total = float(np.log10(tokens + 0.1 * (distinct + 1)))
     n_tokens = F.col("_words") + F.lit(1)
     base = F.col("_sum") + F.coalesce(F.col("_rare") / F.col("_times"), F.lit(0.0)) + F.lit(float(np.log10(ends + 0.1))) - n_tokens * F.lit(log_total)
