@@ -135,7 +135,7 @@ def _blocks(length: np.ndarray) -> list[tuple[int, np.ndarray]]:
 
 def _score(texts: list[str], tables: np.ndarray, code):
     """(bits of information, bytes, words) of every text."""
-    k = len(ORDERS)
+    k, tables = len(ORDERS), tables.astype(np.float32, copy=False)
     for a, b in steps(texts, STEP):
         stream, begins, words = stream_of(texts[a:b])
         living = np.argsort(-np.diff(begins), kind="stable")
