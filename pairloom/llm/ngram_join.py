@@ -115,8 +115,8 @@ def shingle_classes(docs: DataFrame, key: str, text: str, size: int) -> DataFram
     """(_key, _n shingles, _class, _histogram) of every row; null class and histogram for empty sets."""
 
     def run(texts):
-        held = list(_sets(texts, size))
-        return [[len(h) for h in held], [_class(h) if len(h) else None for h in held], [_histogram(h) if len(h) else None for h in held]]
+        made = [(len(h), _class(h) if len(h) else None, _histogram(h) if len(h) else None) for h in _sets(texts, size)]
+        return [list(column) for column in zip(*made)] if made else [[], [], []]
 
     rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_source"))
     return add_columns(rows, whole(F.col("_source")), run, "_n long, _class long, _histogram binary").drop("_source")
@@ -226,9 +226,15 @@ def class_sets(docs: DataFrame, text: str, size: int, wanted: DataFrame) -> Data
 
     def run(batches):
         for pdf in batches:
-            held = [h for h in _sets(pdf["_text"].to_list(), size) if len(h)]
-            if held:
-                one = {_class(h): h.tobytes() for h in held}
+            one, n = {}, 0
+            for held in _sets(pdf["_text"].to_list(), size):
+                if len(held):
+                    one[_class(held)] = held.tobytes()
+                    n += len(held)
+                if n >= GATHERED:  # a batch's sets are not held all at once
+                    yield pd.DataFrame({"class": list(one), "set": list(one.values())})
+                    one, n = {}, 0
+            if one:
                 yield pd.DataFrame({"class": list(one), "set": list(one.values())})
 
     every = docs.select(whole(F.col(text)).alias("_text")).mapInPandas(run, "class long, set binary")
