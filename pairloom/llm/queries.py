@@ -14,8 +14,9 @@ from pairloom.llm.licenses import find_licenses
 from pairloom.llm.line_dedup import drop_frequent_lines
 from pairloom.llm.lm import score_texts
 from pairloom.llm.ngram_join import similarity_components
+from pairloom.llm.periodic import periodic_runs
 from pairloom.llm.pii import TYPES, replace_private_data
-from pairloom.llm.shared import fold_of
+from pairloom.llm.shared import fold_of, whole
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -130,3 +131,40 @@ def context_mixing(spark, sf_dir):
 @query("op4_license_scan")
 def license_scan(spark, sf_dir):
     return find_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def _with_periods(docs: DataFrame) -> DataFrame:
+    """doc_id and text; in one document of ten, chosen by its key, the words from some place on repeat those of the first period after it."""
+    number = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    chosen = docs.where(number % 10 == 0).select(
+        "doc_id",
+        F.floor(number / 10).alias("g"),
+        F.regexp_extract_all(whole(F.col("text")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)).alias("words"),
+    )
+    sized = chosen.select("*", F.size("words").alias("n")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).otherwise(0).cast("int"))
+    rest = F.col("n") - F.col("a")
+    sized = sized.withColumn("p", (1 + F.floor(rest / (3 + F.col("g") % 8))).cast("int"))
+    head = F.slice("words", F.lit(1), F.col("a"))
+    block = F.slice("words", F.col("a") + 1, F.col("p"))
+    tail = F.slice(F.flatten(F.array_repeat(block, F.ceil(rest / F.col("p")).cast("int"))), F.lit(1), rest)
+    made = sized.select("doc_id", F.array_join(F.concat(head, tail), " ").alias("text"))
+    return made.unionByName(docs.where(number % 10 != 0).select("doc_id", "text"))
+
+
+@query("op11_periodic_runs")
+def periodic(spark, sf_dir):
+    made = periodic_runs(_with_periods(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    by_length = F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"], r["period"]))
+    best = made.select("*", F.array_max(by_length).alias("best"))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    length, period = F.col("best")["length"], F.col("best")["period"]
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best")["col2"]).alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(length * 1000 / period).alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
