@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import bpe, html_text, quality
+from pairloom.llm import bpe, html_text, quality, token_counts
 from pairloom.llm.decontaminate import find_leaks
 from pairloom.llm.exact_dedup import exact_duplicates
 from pairloom.llm.licenses import find_licenses
@@ -32,11 +32,15 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-def bpe_ranks() -> str:
-    """The rank file of the installed public tokenizers."""
+def tokenizer_file(name: str) -> str:
+    """A file of the installed public tokenizers."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return public_tokenizers.path(name)
+
+
+def bpe_ranks() -> str:
+    return tokenizer_file("byte_bpe_multi_50k.tiktoken")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -168,3 +172,10 @@ def periodic(spark, sf_dir):
         F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query("op12_token_counts")
+def prefix_token_counts(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counts = token_counts.totals(token_counts.prefix_counts(docs, tokenizer_file("byte_bpe_50k.json")))
+    return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
