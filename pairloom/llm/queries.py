@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.llm import bpe, html_text, quality, token_counts
+from pairloom.llm.alignment import aligned_tokens, with_pair_counts
 from pairloom.llm.decontaminate import find_leaks
 from pairloom.llm.exact_dedup import exact_duplicates
 from pairloom.llm.licenses import find_licenses
@@ -179,3 +180,13 @@ def prefix_token_counts(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counts = token_counts.totals(token_counts.prefix_counts(docs, tokenizer_file("byte_bpe_50k.json")))
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
+
+
+@query("op13_token_alignment")
+def token_alignment(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    aligned = aligned_tokens(docs, tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return with_pair_counts(aligned.withColumn("groups_sha256", digest).drop("groups")).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
