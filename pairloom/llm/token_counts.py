@@ -17,6 +17,7 @@ import json
 import re
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -28,8 +29,8 @@ from pairloom.llm.bpe import slice_starts
 from pairloom.llm.shared import whole
 from pairloom.llm.words import STEP_CHARS, steps
 
-#: Counts of remembered slices, and remembered pairs of tokens, of a task: 16 MB and about 100 MB at most.
-HELD_COUNTS = 1 << 22
+#: Counts of remembered slices (with the slices, some 200 MB) and remembered pairs of tokens (some 60 MB) of a task.
+HELD_COUNTS = 1 << 23
 HELD_PAIRS = 1 << 19
 #: Characters of a slice that is remembered beyond its step.
 LONG_SLICE = 256
@@ -75,13 +76,18 @@ class PrefixCounter:
         self.special = re.compile("|".join(map(re.escape, sorted(own, key=len, reverse=True)))) if own else None
         self.tokens = {t: i for t, i in ids.items() if self._merged(t) == [i]}
         self.bytes_of = {i: t for t, i in self.tokens.items()}
-        self.endings = {t[k:] for t in self.tokens for k in range(len(t))}
-        self.apart: dict[tuple[int, int], bool] = {}
+        # Finds the tokens that end at each place of a slice, the longest first; bytes are characters up to U+00FF to it.
+        self.finder = ahocorasick.Automaton()
+        for t, i in self.tokens.items():
+            self.finder.add_word(t.decode("latin-1"), (i, len(t) - 1))
+        self.finder.make_automaton()
+        self.apart: dict[int, bool] = {}
         self._forget()
 
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
         self.flat, self.used = np.zeros(1 << 16, np.int32), 0
+        self.new: list[int] = []
         self.places: list[int] = []
         self.totals: list[int] = []
 
@@ -97,53 +103,52 @@ class PrefixCounter:
         return ids
 
     def _stay_apart(self, a: int, b: int) -> bool:
-        found = self.apart.get((a, b))
-        if found is None:
-            if len(self.apart) >= HELD_PAIRS:
-                self.apart.clear()
-            found = self.apart[a, b] = self._merged(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
+        """Do two tokens, merged as one string, remain these two? The answer is remembered."""
+        if len(self.apart) >= HELD_PAIRS:
+            self.apart.clear()
+        found = self.apart[a << 32 | b] = self._merged(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
         return found
 
     def prefix_counts(self, piece: bytes) -> list[int]:
-        """Tokens of each prefix of one slice, by bytes."""
+        """Tokens of each prefix of one slice, by bytes, from the empty one on."""
         last, counts = [-1], [0]
-        tokens, endings = self.tokens, self.endings
-        for end in range(1, len(piece) + 1):
-            begins = []
-            for begin in range(end - 1, -1, -1):
-                part = piece[begin:end]
-                if part in tokens:
-                    begins.append(begin)
-                elif part not in endings:
-                    break
-            for begin in reversed(begins):
-                token = tokens[piece[begin:end]]
-                if not begin or self._stay_apart(last[begin], token):
-                    last.append(token)
-                    counts.append(counts[begin] + 1)
-                    break
+        known, done = self.apart.get, 0
+        for end, (token, before) in self.finder.iter(piece.decode("latin-1")):
+            if end < done:
+                continue
+            begin = end - before
+            if begin:
+                fits = known(last[begin] << 32 | token)
+                if not (self._stay_apart(last[begin], token) if fits is None else fits):
+                    continue
+            last.append(token)
+            counts.append(counts[begin] + 1)
+            done = end + 1
         return counts
 
     def _number(self, piece: str) -> int:
-        """The place of a slice among those remembered; it is counted if it is new."""
+        """The place of a slice among those remembered, for one that is new."""
         held = piece.encode("utf-8", "replace")
         counts = self.prefix_counts(held)
         if len(held) != len(piece):
-            ends = np.flatnonzero(np.concatenate(((np.frombuffer(held, np.uint8)[1:] & 0xC0) != 0x80, [True]))) + 1
-            counts = [counts[e] for e in ends.tolist()]
-        else:
-            counts = counts[1:]
+            counts = [n for n, b in zip(counts, held) if b & 0xC0 != 0x80] + counts[-1:]
         if piece in _CONTRACTIONS:
-            counts[1] = 2
-        if self.used + len(counts) > len(self.flat):
-            self.flat = np.concatenate((self.flat, np.zeros(max(len(self.flat), len(counts)), np.int32)))
-        self.flat[self.used : self.used + len(counts)] = counts
+            counts[2] = 2
         self.places.append(self.used)
         self.totals.append(counts[-1])
-        self.used += len(counts)
+        self.used += len(counts) - 1
+        self.new += counts[1:]
         self.known[piece] = number = len(self.places) - 1
         return number
 
+    def _flat(self) -> np.ndarray:
+        """The counts of all slices remembered, one behind the other."""
+        if self.used > len(self.flat):
+            self.flat = np.concatenate((self.flat, np.zeros(max(len(self.flat), len(self.new)), np.int32)))
+        self.flat[self.used - len(self.new) : self.used] = self.new
+        self.new = []
+        return self.flat
+
     def _counts(self, texts: list[str]) -> Iterator[np.ndarray]:
         """For each text, taken without special tokens, the tokens of its prefixes by code points."""
         if self.used > HELD_COUNTS:
@@ -164,7 +169,7 @@ class PrefixCounter:
         totals = np.array(self.totals, np.int64)[of]
         totals[np.searchsorted(marks, resets)] = 0  # the line feeds between texts
         before = np.cumsum(totals) - totals
-        counts = np.repeat(before, lengths) + self.flat[np.repeat(np.array(self.places, np.int64)[of] - marks, lengths) + np.arange(len(points))]
+        counts = np.repeat(before, lengths) + self._flat()[np.repeat(np.array(self.places, np.int64)[of] - marks, lengths) + np.arange(len(points))]
 
         parted = np.zeros(len(points) + 2, bool)
         parted[resets + 1], parted[resets + 2] = True, True  # the first two places of a text have no white space before them both
