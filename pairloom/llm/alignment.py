@@ -17,10 +17,11 @@ import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import cached_property, reduce
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -38,7 +39,12 @@ RANGE = 1 << 16
 #: Fragments composed by one task at a time.
 FAN_IN = 32
 #: Characters of a batch of texts, whose distinct pairs are counted together.
-BATCH_CHARS = 1 << 23
+BATCH_CHARS = 1 << 22
+#: Ids that a tokenizer may have.
+MOST_IDS = 1 << 18
+#: Fixed value: the public expression by which byte-level BPE parts a text.
+SLICES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_LONG_SPACE = re.compile(r"\s{1024}")
 #: Blanks between word characters: tokens of neither tokenizer go over their left side.
 _SAFE = re.compile(r"(?<=\w) (?=\w)")
 _COMMA, _BAR, _SEMICOLON = b",|;"
@@ -77,7 +83,7 @@ def groups_of(tokens: Tokens, digits: tuple[np.ndarray, np.ndarray]) -> tuple[np
     marks = np.full(len(ids), _COMMA, np.uint8)
     marks[place_a[last_a]], marks[place_b[last_b]] = _BAR, _SEMICOLON
     wide = table[ids]
-    size = sizes[ids]
+    size = sizes[ids].astype(np.int64)
     wide[np.arange(len(ids)), size] = marks
     text = wide[np.arange(wide.shape[1]) <= size[:, None]]
     return text, np.cumsum(size + 1)[place_b[last_b]], a_ends[common]
@@ -100,52 +106,91 @@ class Fragment:
 
 
 class Aligner:
-    """One: a JSON file of byte-level BPE, taken without special tokens. Other: a sentencepiece model that
-    puts a blank before a text. Both are held as bytes."""
+    """One: a JSON file of byte-level BPE, taken without special tokens. Other: a sentencepiece model that puts a blank before a
+    text. Both are held as bytes; what a task doesn't need isn't made, as composing needs no tokenizer."""
 
     def __init__(self, one: bytes, other: bytes):
-        import sentencepiece
+        self.files = one, other
 
-        made = json.loads(one)
-        symbols, own = byte_symbols(), {t["content"] for t in made["added_tokens"]}
-        ids = {bytes(symbols[c] for c in s): i for s, i in made["model"]["vocab"].items() if s not in own}
-        if made["model"]["type"] != "BPE" or made["normalizer"] or made["pre_tokenizer"]["type"] != "ByteLevel":
+    @cached_property
+    def ranks(self) -> dict[bytes, int]:
+        made = json.loads(self.files[0])
+        model, symbols, own = made["model"], byte_symbols(), {t["content"] for t in made["added_tokens"]}
+        if model["type"] != "BPE" or made["normalizer"] or made["pre_tokenizer"]["type"] != "ByteLevel":
             raise ValueError("The one tokenizer must be byte-level BPE without normalisation")
-        merged = [("".join(m) if not isinstance(m, str) else m.replace(" ", "")) for m in made["model"]["merges"]]
-        order = [made["model"]["vocab"][m] for m in merged]
+        order = [model["vocab"]["".join(m) if not isinstance(m, str) else m.replace(" ", "")] for m in model["merges"]]
         if order != sorted(order):
             raise ValueError("The one tokenizer's ids must be in the order of its merges")
-        self.a = Vocabulary(b"\n".join(base64.b64encode(t) + b" %d" % i for t, i in ids.items()))
-        self.b = sentencepiece.SentencePieceProcessor(model_proto=other)
-        pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        parts = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
-        self.b_sizes = np.array([len(p) for p in parts], np.int64)
-        self.b_places = np.cumsum(self.b_sizes) - self.b_sizes
-        self.b_flat = np.frombuffer(b"".join(parts), np.uint8)
-        self.cuttable = not any("▁" in p.lstrip("▁") for p in pieces)
-        top = max(len(self.a.lengths), len(pieces))
-        width = len(str(top))
-        text = np.array([str(i).ljust(width + 1) for i in range(top)], f"S{width + 1}")
-        self.digits = text.view(np.uint8).reshape(top, width + 1), np.array([len(str(i)) for i in range(top)])
+        return {bytes(symbols[c] for c in s): i for s, i in model["vocab"].items() if s not in own}
+
+    @cached_property
+    def one(self):
+        import tiktoken
+
+        return tiktoken.Encoding("one", pat_str=SLICES, mergeable_ranks=self.ranks, special_tokens={})
+
+    @cached_property
+    def one_without_regex(self) -> Vocabulary:
+        return Vocabulary(b"\n".join(base64.b64encode(t) + b" %d" % i for t, i in self.ranks.items()))
+
+    @cached_property
+    def one_sizes(self) -> np.ndarray:
+        sizes = np.zeros(max(self.ranks.values()) + 1, np.int64)
+        for t, i in self.ranks.items():
+            sizes[i] = len(t)
+        return sizes
+
+    @cached_property
+    def other(self):
+        import sentencepiece
+
+        return sentencepiece.SentencePieceProcessor(model_proto=self.files[1])
+
+    @cached_property
+    def other_bytes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(sizes, places, bytes) of the other's pieces."""
+        pieces = [self.other.id_to_piece(i) for i in range(self.other.get_piece_size())]
+        parts = [bytes([int(p[3:5], 16)]) if self.other.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        sizes = np.array([len(p) for p in parts], np.int64)
+        return sizes, np.cumsum(sizes) - sizes, np.frombuffer(b"".join(parts), np.uint8)
+
+    @property
+    def cuttable(self) -> bool:
+        """Does no piece of the other go over the left side of a blank?"""
+        return not any("▁" in self.other.id_to_piece(i).lstrip("▁") for i in range(self.other.get_piece_size()))
+
+    @cached_property
+    def digits(self) -> tuple[np.ndarray, np.ndarray]:
+        """The ids' decimal digits, with room for a mark, and their number."""
+        names = [str(i) for i in range(MOST_IDS)]
+        width = len(names[-1]) + 1
+        text = np.array([n.ljust(width) for n in names], f"S{width}")
+        return text.view(np.uint8).reshape(MOST_IDS, width), np.array([len(n) for n in names], np.uint8)
 
     def tokens(self, texts: list[str]) -> tuple[list[bool], list[bytes], Tokens, np.ndarray, np.ndarray]:
         """(validity of each text, their bytes, the valid texts' tokens with ends counted through them all, and how many tokens
         of the one and of the other each has). A blank is put before each text."""
         sources = [(" " + t).encode("utf-8", "replace") for t in texts]
-        of_a = list(self.a.encode([" " + t for t in texts]))
-        of_b = self.b.encode(texts, num_threads=1) if texts else []
+        of_b = self.other.encode(texts, num_threads=1) if texts else []
         sizes = np.array([len(x) for x in of_b], np.int64)
         b = np.fromiter(chain.from_iterable(of_b), np.int64, int(sizes.sum()))
-        lengths = self.b_sizes[b]
+        b_sizes, b_places, b_flat = self.other_bytes
+        lengths = b_sizes[b]
         stops = np.cumsum(lengths)
-        made = self.b_flat[np.repeat(self.b_places[b] - (stops - lengths), lengths) + np.arange(int(lengths.sum()))].tobytes()
+        made = b_flat[np.repeat(b_places[b] - (stops - lengths), lengths) + np.arange(int(lengths.sum()))].tobytes()
         edges = np.concatenate(([0], stops))[np.concatenate(([0], np.cumsum(sizes)))].tolist()
         valid = [bool(t) and made[x:y] == s for t, x, y, s in zip(texts, edges, edges[1:], sources)]
         kept = np.array(valid, bool)
-        a = np.concatenate([x for x, v in zip(of_a, valid) if v] or [np.zeros(0)]).astype(np.int64)
+        of_a = [self._one_ids(" " + t) if v else () for t, v in zip(texts, valid)]
+        n_a = np.array([len(x) for x in of_a], np.int64)
+        a = np.fromiter(chain.from_iterable(of_a), np.int64, int(n_a.sum()))
         b = b[np.repeat(kept, sizes)]
-        n_a = np.array([len(x) if v else 0 for x, v in zip(of_a, valid)], np.int64)
-        return valid, sources, (a, np.cumsum(self.a.lengths[a]), b, np.cumsum(self.b_sizes[b])), n_a, np.where(kept, sizes, 0)
+        return valid, sources, (a, np.cumsum(self.one_sizes[a]), b, np.cumsum(b_sizes[b])), n_a, np.where(kept, sizes, 0)
+
+    def _one_ids(self, text: str) -> list[int] | np.ndarray:
+        """The one's ids. The library's regular expression overflows its stack on very long white space; such texts are sliced
+        without it."""
+        return next(self.one_without_regex.encode([text])) if _LONG_SPACE.search(text) else self.one.encode_ordinary(text)
 
     def whole_texts(self, texts: list[str]) -> Iterator[tuple[int, int, int, str, np.ndarray]]:
         """For each text (tokens of the one, of the other, groups, their text, the links' codes): one fragment each, closed
@@ -163,11 +208,12 @@ class Aligner:
             g, h = groups[t], groups[t + 1]
             yield int(n_a[t]), int(n_b[t]), h - g, text[edges[g] : max(edges[h] - 1, edges[g])], codes[links[t] : links[t + 1]]
 
-    def pieces(self, text: str) -> Iterator[tuple[int, str]]:
+    @staticmethod
+    def pieces(text: str, cuttable: bool) -> Iterator[tuple[int, str]]:
         """Parts of a long text that are encoded by themselves, each without the blank before it, and the place of that
         blank in the bytes of the text with its own blank. A text without a safe place is one part."""
         start, place = 0, 0
-        while self.cuttable and len(text) - start > RANGE and (m := _SAFE.search(text, start + RANGE)):
+        while cuttable and len(text) - start > RANGE and (m := _SAFE.search(text, start + RANGE)):
             part = text[start : m.start()]
             yield place, part
             start, place = m.end(), place + 1 + len(part.encode("utf-8", "replace"))
@@ -275,7 +321,7 @@ def _aligner(held) -> Aligner:
 
 def _batch_columns(batch: int, made: list[tuple]) -> list[list]:
     """The values of _RESULTS and _INNER for the texts of one batch; its distinct pairs are on the first row."""
-    codes, of = np.unique(np.concatenate([m[4] for m in made]), return_inverse=True)
+    of, codes = pd.factorize(np.concatenate([m[4] for m in made]), sort=True)
     edges = np.cumsum([0] + [len(m[4]) for m in made]).tolist()
     places = [np.sort(of[x:y]) for x, y in zip(edges, edges[1:])]
     texts = np.zeros(len(codes), np.int32)
@@ -333,11 +379,12 @@ def aligned_tokens(docs: DataFrame, one: str, other: str, text: str = "text") ->
         return short
     part_schema = "_row long, _begin long, _part string"
 
+    cuttable = Aligner(*held.value).cuttable
+
     def cut(batches):
-        aligner = _aligner(held)
         for batch in batches:
             for row, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for place, part in aligner.pieces(t):
+                for place, part in Aligner.pieces(t, cuttable):
                     yield pa.RecordBatch.from_pydict({"_row": [row], "_begin": [place], "_part": [part]})
 
     def describe(batches):

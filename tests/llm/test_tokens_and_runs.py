@@ -31,7 +31,7 @@ def documents(spark, sf_dir):
 def odd(spark):
     """Nulls in every column, empty, blank and long texts, repeated rows, texts without blanks, texts that a tokenizer does not give back."""
     rng = random.Random(7)
-    texts = [None, "", " \n\t", "One.", "One.", "x" * 150_000, "日本語" * 30_000, "hello world, " * 12_000, "hello world, " * 12_000 + "▁", "a\x00b"]
+    texts = [None, "", " \n\t", "One.", "One.", "x" * 150_000, "日本語" * 30_000, "a" + " " * 30_000 + "b", "hello world, " * 12_000, "hello world, " * 12_000 + "▁", "a\x00b"]
     texts += ["".join(rng.choice(ATOMS) for _ in range(rng.randrange(14))) for _ in range(60)] + ["".join(rng.choice(ATOMS) for _ in range(40_000))]
     rows = [(i, t, None, None, None, None) for i, t in enumerate(texts)] + [(7, texts[7], "en", 1.0, 2, True), (None, "One.", None, None, None, None), (None,) * 6]
     return spark.createDataFrame(rows, COLUMNS).repartition(3)
