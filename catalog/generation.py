@@ -9,6 +9,7 @@ from catalog.registry import query
 from catalog.tables import responses, sft_conv, table
 from pairloom.config import SMOKE_REQUEST, Generation
 from pairloom.operators import generation as G
+from pairloom.sources.paths import scratch_path
 
 def _scripted_generator():
     """A deterministic generator for checks, as an inner function so that it travels by value.
@@ -109,6 +110,21 @@ def generation_attempts(spark, sf_dir):
     return G.generate(_numbered_prompts(spark, sf_dir), _scripted_generator(), cfg)
 
 
+@query(
+    "resumed_generation",
+    S.with_(S.SFT_CONV, _attempt_sql(2)) + "SELECT id, attempt, content, status FROM attempts",
+)
+def resumed_generation(spark, sf_dir):
+    """A run over other prompts ends, a second one stops after its first wave, and goes on in a third call: all
+    attempts are the second run's."""
+    path, cfg = scratch_path(spark, "generation"), Generation(retry_delay=0, waves=3)
+    prompts = _numbered_prompts(spark, sf_dir)
+    others = prompts.withColumn("prompt", F.concat("prompt", F.lit(" (asked before)")))
+    G.generate_to_table(spark, others, _scripted_generator(), path, cfg)
+    G.generate_to_table(spark, prompts, _scripted_generator(), path, cfg, max_waves=1)
+    return G.generate_to_table(spark, prompts, _scripted_generator(), path, cfg, resume=True)
+
+
 @query(
     "user_only_generation",
     S.with_(S.SFT_CONV, _attempt_sql(1)) + "SELECT id, content FROM attempts WHERE status = 'ok'",

@@ -6,7 +6,9 @@ reads it; ``generate_to_table`` does so and can be taken up again after a failur
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
+from dataclasses import replace
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -16,12 +18,20 @@ from pyspark.sql import types as T
 from pairloom.config import Generation, Request
 from pairloom.functions.text import strip
 from pairloom.operators.quality import outcome_counts
-from pairloom.sources.paths import path_exists
+from pairloom.operators.runs import begin, commit, newest
 
 # make_generator(timeout) is called once per task and returns send(request_json) -> body_text.
 MakeGenerator = Callable[[float], Callable[[str], str]]
 
+# The wire names of the chat call and its reply, here and in ``messages`` and ``request``.
 _BODY = "choices array<struct<message: struct<content: string>>>"
+_LOG = T.StructType(
+    [
+        T.StructField("attempt", T.IntegerType()),
+        T.StructField("content", T.StringType()),
+        T.StructField("status", T.StringType()),
+    ]
+)
 
 
 def messages(prompt: Column, system: str | None) -> Column:
@@ -115,14 +125,7 @@ def generate(
     requests = prompts.select(key, F.to_json(request(F.col("prompt"), cfg.request)).alias("request"))
     # A stated number, as adaptive execution would merge tasks by bytes, and here calls count.
     tasks = cfg.concurrency or int(prompts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    schema = T.StructType(
-        [
-            prompts.schema[key],
-            T.StructField("attempt", T.IntegerType()),
-            T.StructField("content", T.StringType()),
-            T.StructField("status", T.StringType()),
-        ]
-    )
+    schema = T.StructType([prompts.schema[key], *_LOG.fields])
     return requests.repartition(tasks, key).mapInPandas(_attempts(make_generator, cfg, key), schema)
 
 
@@ -133,6 +136,12 @@ def fingerprint(df: DataFrame) -> tuple:
     return row["rows"], row["hashes"]
 
 
+def _job(prompts: DataFrame, cfg: Generation, key: str) -> str:
+    """What replies depend on, in short: the prompts in any order, the request settings, the retries."""
+    own = fingerprint(prompts.select(key, "prompt")) + (cfg.request, cfg.max_retries)
+    return hashlib.sha256(repr(own).encode()).hexdigest()
+
+
 def generate_to_table(
     spark: SparkSession,
     prompts: DataFrame,
@@ -141,43 +150,46 @@ def generate_to_table(
     cfg: Generation = Generation(),
     key: str = "id",
     resume: bool = False,
+    max_waves: int | None = None,
 ) -> DataFrame:
     """``generate`` into the folder ``path``, in ``cfg.waves`` jobs, and the log read back.
 
-    The prompts are laid down first, one folder per wave, so that every wave, and a resumed run,
-    sees the same prompts. With ``resume``, prompts and waves that are already committed are kept
-    and not sent again; the waves are then those laid down, whatever ``cfg.waves`` says, and other prompts
-    or request settings are an error. What a lost executor can cost is the running tasks of one wave.
+    A run lays down its prompts in a folder of its own, one folder per wave, and commits each wave to a
+    manifest once it is written, so every wave, and a resumed run, sees the same prompts, and attempts of
+    different runs or jobs never mix. With ``resume`` the newest run of the folder goes on: its committed waves
+    are kept and not sent again, whatever ``cfg.waves`` says; if it is of other prompts or request settings,
+    that is an error. ``max_waves`` ends the call after so many waves, to go on later; the log then
+    holds the waves done. What a lost executor can cost is the running tasks of one wave. Folders of earlier
+    runs stay until ``forget_other_runs``.
     """
     path = path.rstrip("/")
-    staged, log, plan = f"{path}/prompts", f"{path}/attempts", f"{path}/plan"
-
-    def committed(folder: str) -> bool:
-        return resume and path_exists(spark, f"{folder}/_SUCCESS")
-
-    own = fingerprint(prompts.select(key, "prompt")) + (repr(cfg.request), cfg.max_retries)
-    if committed(staged) and committed(plan):
-        held = spark.read.parquet(plan).first()
-        if tuple(held) != own:
-            raise ValueError(f"{path} holds the attempts of other prompts or settings; resume only the same job")
-    else:
-        wave = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(cfg.waves)).alias("wave")
-        prompts.select(key, "prompt", wave).write.mode("overwrite").partitionBy("wave").parquet(staged)
-        described = spark.createDataFrame([own], "rows bigint, hashes decimal(38,0), request string, retries int")
-        described.write.mode("overwrite").parquet(plan)
+    job, held = _job(prompts, cfg, key), newest(spark, path) if resume else None
+    if held is not None and held.job != job:
+        raise ValueError(f"{path} holds the attempts of other prompts or settings; resume only the same job")
+    if held is None:
+        held = begin(spark, path, job)
+        wave = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(cfg.waves)).cast("int").alias("wave")
+        staged = f"{path}/{held.run}/prompts"
+        prompts.select(key, "prompt", wave).write.mode("errorifexists").partitionBy("wave").parquet(staged)
+        schema = T.StructType([prompts.schema[key], T.StructField("prompt", T.StringType()), T.StructField("wave", T.IntegerType())])
+        sizes = spark.read.schema(schema).parquet(staged).groupBy("wave").count().collect()
+        held = commit(spark, path, replace(held, planned={r["wave"]: r["count"] for r in sizes}))
     schema = T.StructType([prompts.schema[key], T.StructField("prompt", T.StringType())])
-    there = T.StructType([*schema.fields, T.StructField("wave", T.IntegerType())])
-    waves = spark.read.schema(there).parquet(staged).select("wave").distinct().collect()
-    logs = []
-    for wave in sorted(r.wave for r in waves):
-        source, target = f"{staged}/wave={wave}", f"{log}/wave={wave}"
-        if not committed(target):
-            rows = spark.read.schema(schema).parquet(source)
-            generate(rows, make_generator, cfg, key).write.mode("overwrite").parquet(target)
-        logs.append(target)
-    if not logs:
-        return generate(prompts.limit(0), make_generator, cfg, key)
-    return spark.read.parquet(*logs)
+    for wave in held.open_parts[:max_waves]:
+        target = f"{path}/{held.run}/attempts/wave={wave}"
+        rows = spark.read.schema(schema).parquet(f"{path}/{held.run}/prompts/wave={wave}")
+        generate(rows, make_generator, cfg, key).write.mode("overwrite").parquet(target)
+        held = commit(spark, path, replace(held, done=held.done | {wave: spark.read.parquet(target).count()}))
+    return attempts_of(spark, path, T.StructType([prompts.schema[key], *_LOG.fields]))
+
+
+def attempts_of(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """The attempts that the newest run in ``path`` has committed; none if there is no run."""
+    path = path.rstrip("/")
+    held = newest(spark, path)
+    if held is None or not held.done:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*[f"{path}/{held.run}/attempts/wave={w}" for w in sorted(held.done)])
 
 
 def first_success(

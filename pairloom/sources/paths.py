@@ -27,6 +27,17 @@ def path_size(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(location).getLength()
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder; none if it is not there."""
+    fs, location = _file_system(spark, path)
+    return sorted(c.getPath().getName() for c in fs.listStatus(location)) if fs.exists(location) else []
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, location = _file_system(spark, path)
+    fs.delete(location, True)
+
+
 def require_path(spark: SparkSession, path: str) -> str:
     """Fail before any work is started if there is no input."""
     if not path_exists(spark, path):

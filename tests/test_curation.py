@@ -6,6 +6,7 @@ import pytest
 from test_quality import brute_force
 
 from pairloom.config import Fields, Generation, Selection
+from pairloom.operators.generation import attempts_of
 from pairloom.operators.validate import FieldMappingError
 from pairloom.plans.curate import Curation, build_pairs, load_records, select_records
 from pairloom.sources.records import read_pairs
@@ -74,7 +75,7 @@ def test_build_pairs(spark, source, tmp_path):
     # Resumed, it gives the same; an offline log of the same attempts too.
     again = build_pairs(spark, source, out, CFG, make_generator_for(None), resume=True).first()
     assert tuple(again) == tuple(summary)
-    log = spark.read.parquet(f"{out}/generation/attempts/wave=*")
+    log = attempts_of(spark, f"{out}/generation", "id string, attempt int, content string, status string")
     offline = build_pairs(spark, source, str(tmp_path / "offline"), CFG, responses=log).first()
     assert tuple(offline) == tuple(summary)
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from pairloom.config import SMOKE_REQUEST, Generation, Request
 from pairloom.operators import generation as G
+from pairloom.operators import runs
 
 FAST = dict(retry_delay=0.0, concurrency=3)
 SMOKE_PROMPTS = ["How do I start with the piano?", "Tell me a joke.", "What is a tree?", "Plan a lunch."]
@@ -138,16 +139,21 @@ def test_generation_in_waves_and_resuming(spark, tmp_path):
     def run(**kw):
         before = len(list(notes.glob("call-*")))
         log = G.generate_to_table(spark, prompts(spark, names), stub(str(notes)), out, cfg, **kw)
-        assert {r.content for r in log.collect()} == {f"re: {n}" for n in names}
-        return len(list(notes.glob("call-*"))) - before
-
-    assert run() == 40
-    assert run(resume=True) == 0
-    assert run() == 40
-    # A wave without its commit mark is done again; the others are kept.
-    lost = tmp_path / "out" / "attempts" / "wave=2" / "_SUCCESS"
-    lost.rename(lost.with_name("_LOST"))
-    assert 0 < run(resume=True) < 40
+        assert {r.content for r in log.collect()} <= {f"re: {n}" for n in names}
+        return len(list(notes.glob("call-*"))) - before, log.count()
+
+    assert run() == (40, 40)
+    assert run(resume=True) == (0, 40)
+    assert run() == (40, 40)
+    # A call may end early; the next one goes on where it ended.
+    sent, held = run(max_waves=1)
+    assert 0 < sent == held < 40
+    assert run(resume=True) == (40 - sent, 40)
+    # A manifest without its commit mark does not count: the wave it would have added is done again.
+    last = max((tmp_path / "out" / "manifests").iterdir())
+    (last / "_SUCCESS").rename(last / "_LOST")
+    sent, held = run(resume=True)
+    assert 0 < sent < 40 and held == 40
     # Fewer waves than were laid down lose nothing, other prompts or settings are refused.
     fewer = G.generate_to_table(spark, prompts(spark, names), stub(str(notes)), out, Generation(waves=2, **FAST), resume=True)
     assert fewer.count() == 40
@@ -156,6 +162,53 @@ def test_generation_in_waves_and_resuming(spark, tmp_path):
             G.generate_to_table(spark, prompts(spark, asked), stub(str(notes)), out, other, resume=True)
 
 
+def test_a_broken_run_takes_nothing_from_the_one_before(spark, tmp_path):
+    names, out = [f"n{i}" for i in range(40)], str(tmp_path / "out")
+    cfg = Generation(waves=4, **FAST)
+
+    def replying(word, stops=""):
+        def make_generator(timeout):
+            def send(request):
+                name = json.loads(request)["messages"][-1]["content"]
+                if stops and name == stops:
+                    raise SystemExit  # ends the worker, and so the job
+                return json.dumps({"choices": [{"message": {"content": f"{word} {name}"}}]})
+
+            return send
+
+        return make_generator
+
+    def contents(**kw):
+        return {r.content for r in G.generate_to_table(spark, prompts(spark, asked), path=out, cfg=cfg, **kw).collect()}
+
+    asked = names
+    assert contents(make_generator=replying("A")) == {f"A {n}" for n in names}
+    asked = [n.upper() for n in names]
+    last = max(runs.newest(spark, out).planned)
+    stops = next(asked[r.id] for r in prompts(spark, asked).where(F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(4)) == last).collect())
+    with pytest.raises(Exception, match="(?i)exit|crash|worker"):
+        contents(make_generator=replying("B", stops))
+    kept = runs.newest(spark, out)
+    assert 0 < len(kept.done) < 4 and kept.open_parts
+    assert {r.content[0] for r in G.attempts_of(spark, out, "id bigint, attempt int, content string, status string").collect()} == {"B"}
+    assert contents(make_generator=replying("C"), resume=True) <= {f"{w} {n}" for w in "BC" for n in asked}
+    done = runs.state(spark, out).collect()
+    assert sum(r.rows for r in done) == sum(r.inputs for r in done) == 40
+    # The run before is still there until it is told to go.
+    assert len(list((tmp_path / "out").glob("run-*"))) == 2
+    runs.forget_other_runs(spark, out)
+    assert [p.name for p in (tmp_path / "out").glob("run-*")] == [kept.run] and len(contents(make_generator=replying("D"), resume=True)) == 40
+
+
+def test_two_runs_in_one_folder(spark, tmp_path):
+    out = str(tmp_path / "out")
+    first = runs.begin(spark, out, "job-a")
+    second = runs.commit(spark, out, runs.begin(spark, out, "job-b"))
+    with pytest.raises(RuntimeError, match="Another run"):
+        runs.commit(spark, out, first)
+    assert runs.newest(spark, out) == second and runs.state(spark, out).count() == 0
+
+
 def test_generation_of_nothing(spark, tmp_path):
     none = prompts(spark, ["x"]).limit(0)
     assert G.generate_to_table(spark, none, stub(), str(tmp_path / "none"), Generation(waves=2)).count() == 0
