@@ -10,25 +10,30 @@ from catalog.tables import table, weak_docs
 from pairloom.operators import quality as Q
 from pairloom.operators import review as R
 
-# Own wording; the shape of a criteria document.
-_CRITERIA = [
-    ("Does the answer take up what was asked?", "primary"),
-    ("Is the tone natural?", "primary"),
-    ("Does it show some character?", "secondary"),
-    ("Is it padded with headings and lists?", "anti"),
-]
-_CRITERIA_SQL = "criteria(pos, criterion, type) AS (VALUES " + ", ".join(
-    f"({i}, '{text}', '{kind}')" for i, (text, kind) in enumerate(_CRITERIA)
-) + ")"
+# A criterion per source of the documents and one per language, made from the table; two types of our own.
+_CRITERIA_SQL = """criteria(pos, criterion, type) AS (
+  SELECT CAST(row_number() OVER (ORDER BY type, name) - 1 AS INTEGER), 'Fits ' || type || ' ' || name || '?', type
+  FROM (SELECT DISTINCT 'source' AS type, source AS name FROM documents WHERE source IS NOT NULL
+    UNION SELECT DISTINCT 'lang', lang FROM documents WHERE lang IS NOT NULL))"""
 _MEASURED = S.with_(S.WEAK_DOCS, S.cascade("weak_docs"))
 _VIEW = """SELECT id, CAST(length(chosen) AS INTEGER) AS chosen_chars,
   CAST(length(rejected) AS INTEGER) AS rejected_chars, length_ratio, jaccard FROM judged"""
 
 
-def _criteria(spark):
-    rows = [("s", "e", "2026-01-01T00:00:00.000Z", 50, i, *c) for i, c in enumerate(_CRITERIA)]
-    names = "session string, evaluator string, created string, sample_count bigint, pos int, text string, type string"
-    return spark.createDataFrame(rows, names)
+def _criteria(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    named = [docs.select(F.lit(c).alias("type"), F.col(c).alias("name")).where("name is not null").distinct() for c in ("lang", "source")]
+    held = named[0].unionByName(named[1]).agg(F.sort_array(F.collect_set(F.struct("type", "name"))).alias("held"))
+    rows = held.select(F.posexplode("held").alias("pos", "c"))
+    return rows.select(
+        F.lit("documents").alias("session"),
+        F.lit("reader").alias("evaluator"),
+        F.lit("2026-01-01T00:00:00.000Z").alias("created"),
+        F.lit(50).cast("bigint").alias("sample_count"),
+        "pos",
+        F.concat(F.lit("Fits "), "c.type", F.lit(" "), "c.name", F.lit("?")).alias("text"),
+        "c.type",
+    )
 
 
 @query("side_by_side", _MEASURED + _VIEW.replace("SELECT id,", "SELECT id, chosen, rejected,"))
@@ -38,12 +43,14 @@ def side_by_side(spark, sf_dir):
 
 
 def _stats_sql(measure: str) -> str:
-    stepped = f"floor({measure} * 10000 + 0.5) / 10000"
-    quantiles = ", ".join(
-        f"round(quantile_cont({stepped}, {q}), 6) AS {name}" for q, name in ((0.1, "p10"), (0.5, "p50"), (0.9, "p90"))
-    )
+    quantiles = ", ".join(f"round(quantile_cont({measure}, {q}), 9) AS {name}" for q, name in ((0.1, "p10"), (0.5, "p50"), (0.9, "p90")))
     return f"""SELECT '{measure}' AS measure, count({measure}) AS n, min({measure})::DOUBLE AS min,
-      round(avg({measure}), 6) AS mean, max({measure})::DOUBLE AS max, {quantiles} FROM view"""
+      round(avg({measure}), 9) AS mean, max({measure})::DOUBLE AS max, {quantiles} FROM view"""
+
+
+def _last_bits_aside(stats):
+    """Sums and interpolations may differ in their last bit from engine to engine; the values themselves do not."""
+    return stats.select("measure", "n", "min", "max", *[F.round(c, 9).alias(c) for c in ("mean", "p10", "p50", "p90")])
 
 
 @query(
@@ -51,9 +58,7 @@ def _stats_sql(measure: str) -> str:
     _MEASURED + f", view AS ({_VIEW})\n" + "\nUNION ALL ".join(_stats_sql(m) for m in R.MEASURES),
 )
 def pair_statistics(spark, sf_dir):
-    stats = R.pair_stats(weak_docs(spark, sf_dir))
-    rounded = [F.round(c, 6).alias(c) for c in ("mean", "p10", "p50", "p90")]
-    return stats.select("measure", "n", "min", "max", *rounded)
+    return _last_bits_aside(R.pair_stats(weak_docs(spark, sf_dir)))
 
 
 @query(
@@ -64,9 +69,7 @@ def pair_statistics(spark, sf_dir):
 )
 def statistics_of_rated(spark, sf_dir):
     good = table(spark, sf_dir, "labels").where("quality = 1").select(F.col("doc_id").alias("id"))
-    stats = R.pair_stats(weak_docs(spark, sf_dir).join(good, "id", "left_semi"))
-    rounded = [F.round(c, 6).alias(c) for c in ("mean", "p10", "p50", "p90")]
-    return stats.select("measure", "n", "min", "max", *rounded)
+    return _last_bits_aside(R.pair_stats(weak_docs(spark, sf_dir).join(good, "id", "left_semi")))
 
 
 def _histogram_sql(measure: str) -> str:
@@ -90,7 +93,7 @@ _SAMPLE = f"""sample AS (SELECT id, chosen, rejected FROM judged WHERE outcome =
 
 def _sample(spark, sf_dir):
     ok = Q.accepted(Q.classify(weak_docs(spark, sf_dir))).select("id", "chosen", "rejected")
-    return R.calibration_sample(ok, _criteria(spark))
+    return R.calibration_sample(ok, _criteria(spark, sf_dir))
 
 
 @query("calibration_sample", f"{_MEASURED}, {_SAMPLE} SELECT * FROM sample")
@@ -104,7 +107,7 @@ def calibration_sample(spark, sf_dir):
       SELECT id, pos, criterion, type, CAST(NULL AS INTEGER) AS rating FROM sample, criteria""",
 )
 def review_sheet(spark, sf_dir):
-    return R.review_sheet(_sample(spark, sf_dir), _criteria(spark)).drop("chosen", "rejected")
+    return R.review_sheet(_sample(spark, sf_dir), _criteria(spark, sf_dir)).drop("chosen", "rejected")
 
 
 @query("exported_pairs", S.with_(S.WEAK_DOCS, S.cascade("weak_docs", 40, 0.3, 0.5, missing="empty"))

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from pairloom.config import SELECTION_SEED
 from pairloom.functions.once import computed_once
 from pairloom.functions.text import length_ratio, overlap, tokens
+from pairloom.operators.ranks import ordered_image, percentiles
 from pairloom.operators.sampling import sample_n
+from pairloom.sources.paths import written_once
 
 MEASURES = ("chosen_chars", "rejected_chars", "length_ratio", "jaccard")
-_SCALE = 10_000.0
 
 
 def _measured(pairs: DataFrame) -> DataFrame:
@@ -33,37 +34,27 @@ def review_view(pairs: DataFrame) -> DataFrame:
 
 
 def pair_stats(pairs: DataFrame, probabilities: tuple[float, float, float] = (0.1, 0.5, 0.9)) -> DataFrame:
-    """Per measure: count, min, mean, max and the percentiles p10, p50, p90.
+    """Per measure: count, min, mean, max and the percentiles p10, p50, p90, all of the exact values; nulls
+    do not count, and a measure without values has nulls.
 
-    Two aggregations. The first counts rows per (measure, value), with values to four decimals; it
-    combines before the shuffle, and what is left per measure is the number of distinct values
-    (lengths, and multiples of 0.0001), not of pairs. The second takes percentiles weighted by
-    those counts. A plain percentile would send all distinct values from every task to one.
-    Minimum, mean and maximum are of the exact values.
+    The measures are written once, without the texts. One aggregation gives the plain statistics, and the ranks of
+    all percentiles are found together by counting ranges of values: no group receives a measure's values.
+    The statistics are taken when the function is called.
     """
-    per_measure = F.array(
-        *[F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("x")) for m in MEASURES]
-    )
-    measured = _measured(pairs).select(F.explode(per_measure).alias("m")).select("m.measure", "m.x")
-    step = F.floor(F.col("x") * F.lit(_SCALE) + F.lit(0.5))
-    values = measured.where(F.col("x").isNotNull()).groupBy("measure", step.alias("step")).agg(
-        F.count("*").alias("n"),
-        F.sum("x").alias("total"),
-        F.min("x").alias("low"),
-        F.max("x").alias("high"),
-    )
-    p = ", ".join(f"{float(q)}D" for q in probabilities)
-    quantiles = F.expr(f"percentile(step / {_SCALE}D, array({p}), n)")
-    return values.groupBy("measure").agg(
-        F.sum("n").alias("n"),
-        F.min("low").alias("min"),
-        (F.sum("total") / F.sum("n")).alias("mean"),
-        F.max("high").alias("max"),
-        quantiles.alias("q"),
-    ).select(
-        "measure", "n", "min", "mean", "max",
-        F.col("q")[0].alias("p10"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p90"),
-    )
+    x = [F.col(m).cast("double") for m in MEASURES]
+    numbers = _measured(pairs).select(*[v.alias(m) for v, m in zip(x, MEASURES)])
+    images = [F.when(F.col(m).isNotNull(), ordered_image(F.col(m))).alias(f"{m}_image") for m in MEASURES]
+    measured = written_once(numbers.select("*", *images), "measures")
+    plain = measured.agg(*[f(m).alias(f"{f.__name__}_{m}") for m in MEASURES for f in (F.count, F.min, F.avg, F.max)]).first()
+    columns = [F.struct(F.lit(i).alias("column"), F.col(f"{m}_image").alias("image")) for i, m in enumerate(MEASURES)]
+    listed = measured.select(F.explode(F.array(*columns)).alias("c")).select("c.column", "c.image")
+    found = percentiles(listed.where("image is not null"), probabilities)
+    rows = []
+    for i, m in enumerate(MEASURES):
+        quantiles = found[i][1] if i in found else [None] * len(probabilities)
+        rows.append((m, plain[f"count_{m}"], plain[f"min_{m}"], plain[f"avg_{m}"], plain[f"max_{m}"], *quantiles))
+    schema = "measure string, n bigint, min double, mean double, max double, p10 double, p50 double, p90 double"
+    return pairs.sparkSession.createDataFrame(rows, schema)
 
 
 def histogram(pairs: DataFrame, column: str | Column, n_bins: int) -> DataFrame:
