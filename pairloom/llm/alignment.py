@@ -23,6 +23,7 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,8 +39,9 @@ from pairloom.llm.words import steps
 RANGE = 1 << 16
 #: Fragments composed by one task at a time.
 FAN_IN = 32
-#: Characters of a batch of texts, whose distinct pairs are counted together.
-BATCH_CHARS = 1 << 22
+#: Bytes of a batch of texts, whose distinct pairs are counted together, and characters that are aligned at once.
+BATCH_BYTES = 1 << 21
+STEP = 1 << 18
 #: Ids that a tokenizer may have.
 MOST_IDS = 1 << 18
 #: Fixed value: the public expression by which byte-level BPE parts a text.
@@ -319,6 +321,13 @@ def _aligner(held) -> Aligner:
     return _HELD["made"]
 
 
+def _ranges(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows whose sizes add up to about the limit."""
+    part = np.cumsum(sizes) // limit
+    edges = np.concatenate(([0], np.flatnonzero(np.diff(part)) + 1, [len(sizes)])).tolist()
+    yield from ((a, b) for a, b in zip(edges, edges[1:]) if b > a)
+
+
 def _batch_columns(batch: int, made: list[tuple]) -> list[list]:
     """The values of _RESULTS and _INNER for the texts of one batch; its distinct pairs are on the first row."""
     of, codes = pd.factorize(np.concatenate([m[4] for m in made]), sort=True)
@@ -363,9 +372,10 @@ def aligned_tokens(docs: DataFrame, one: str, other: str, text: str = "text") ->
     def short_texts(batches):
         number = (TaskContext.get().partitionId()) << 32
         for batch in batches:
-            aligner, texts, start = _aligner(held), batch.column(batch.num_columns - 1).to_pylist(), 0
-            for a, b in steps(texts, BATCH_CHARS):
-                made = [m for x, y in steps(texts[a:b]) for m in aligner.whole_texts(texts[a + x : a + y])]
+            aligner, column = _aligner(held), batch.column(batch.num_columns - 1)
+            for a, b in _ranges(pc.binary_length(column).to_numpy(), BATCH_BYTES):
+                texts = column.slice(a, b - a).to_pylist()
+                made = [m for x, y in steps(texts, STEP) for m in aligner.whole_texts(texts[x:y])]
                 values = [pa.array(v, k.type) for v, k in zip(_batch_columns(number, made), kinds)]
                 yield pa.RecordBatch.from_arrays([c.slice(a, b - a) for c in batch.columns[:-1]] + values, names=schema.names)
                 number += 1
