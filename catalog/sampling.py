@@ -12,6 +12,8 @@ from pairloom.functions.order import seeded_hash
 from pairloom.operators import sampling as L
 from pairloom.operators.keys import with_content_key
 from pairloom.operators.validate import to_pairs
+from pairloom.sources.paths import scratch_path
+from pairloom.sources.records import POSITION, read_jsonl
 
 _DRAW = S.seeded("doc_id", SELECTION_SEED)
 
@@ -69,6 +71,20 @@ def large_head(spark, sf_dir):
     return L.head_n(docs, 4 * docs.count() // 5, "id")
 
 
+@query(
+    "head_in_file_order",
+    """SELECT doc_id AS id, text FROM documents
+      QUALIFY row_number() OVER (ORDER BY doc_id) <= (SELECT 3 * count(*) // 5 FROM documents)""",
+)
+def head_in_file_order(spark, sf_dir):
+    """Three fifths of the documents, from JSON lines written in order of their key and cut by their places in the files."""
+    path = scratch_path(spark, "ordered.jsonl")
+    docs = _docs(spark, sf_dir, "text")
+    docs.orderBy("id").write.json(path)
+    lines = read_jsonl(spark, path, "id bigint, text string", strict=True, with_position=True)[0]
+    return L.head_n(lines, 3 * docs.count() // 5, POSITION).select("id", "text")
+
+
 def _exact(key: str, seed: int, fraction: float) -> str:
     return f"""CASE WHEN row_number() OVER (ORDER BY {S.seeded(key, seed)}, {key})
       <= ceil({fraction}::DOUBLE * count(*) OVER ()) THEN 'eval' ELSE 'train' END AS split"""

@@ -14,11 +14,16 @@ import math
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pairloom.functions.order import seeded_hash
+from pairloom.operators.ranks import images_at_ranks
+from pairloom.sources.paths import written_once
 
 # A search for a rank ends in one small sort; this bounds it.
 SEARCH_ROWS = 100_000
+# A row's place in its file: the block that was read as one split, and the row in it or in the file.
+PLACE = ("file", "block", "row", "length")
 # Hex digits per round of the search: 4,096 counts, few enough to combine well within each task.
 _DIGITS = 3
 
@@ -137,14 +142,65 @@ def sample_n(df: DataFrame, n: int | None, seed: int, key: str) -> DataFrame:
     return df if cut is None else df.where(order <= cut)
 
 
+def _integer_at_rank(df: DataFrame, key: str, n: int) -> int | None:
+    """The n-th smallest of a unique integer column by counting ranges: no key is shuffled. None if there are
+    fewer rows."""
+    sizes = df.agg(F.count("*").alias("rows"), F.count(key).alias("keys")).first()
+    _no_nulls(sizes["rows"] - sizes["keys"])
+    if n >= sizes["rows"]:
+        return None
+    images = df.select(F.lit(0).alias("column"), F.col(key).cast("bigint").alias("image"))
+    at = images_at_ranks(images, lambda total: [n, n + 1])[0][1]
+    if at[n] == at[n + 1]:
+        raise _not_unique()
+    return at[n]
+
+
+def _in_file_order(df: DataFrame, n: int, position: str) -> DataFrame:
+    """The first n rows by their places in files. Rows are counted per file and block, one count per task and block;
+    running totals of the counts in order name the block that holds rank n, and only in that block is
+    a row looked for. Neither keys nor texts are shuffled, sorted or written.
+
+    The cut is a place, so the files must be read in the same splits again: should a block have
+    moved by the time the rows are read, that is an error.
+    """
+    place = F.col(position)
+    blocks = df.groupBy(place["file"].alias("file"), place["block"].alias("block"))
+    counts = written_once(blocks.agg(F.count("*").alias("n"), F.max(place["length"]).alias("length")), "block-counts")
+    rank = n
+    for last in counts.orderBy("file", "block").toLocalIterator():  # a part at a time, up to the block
+        if last["file"] is None:
+            raise ValueError("Rows without a place in a file have no file order")
+        if rank <= last["n"]:
+            break
+        rank -= last["n"]
+    else:
+        return df
+    inside = (place["file"] == last["file"]) & (place["block"] == last["block"])
+    row = _pick(df.where(inside).select(place["row"].alias("k")), rank)
+    same_file = place["file"] == last["file"]
+    moved = same_file & F.when(place["block"] == last["block"], place["length"] != last["length"]).otherwise(
+        (place["block"] < last["block"]) & (place["block"] + place["length"] > last["block"])
+    )
+    kept = (place["file"] < last["file"]) | same_file & (
+        (place["block"] < last["block"]) | (place["block"] == last["block"]) & (place["row"] <= row)
+    )
+    return df.where(F.when(moved, F.raise_error(F.lit("The file is read in other splits than when it was counted"))).otherwise(kept))
+
+
 def head_n(df: DataFrame, n: int | None, key: str) -> DataFrame:
-    """The first n rows in input order, where ``key`` gives that order (None: all)."""
+    """The first n rows in input order, where ``key`` gives that order (None: all): an integer, a place in a
+    file as the readers give it, or any other unique value. The first two are found by counting alone; only
+    a key of another type is shuffled, by ranges."""
     _check_n(n)
     if n is None:
         return df
     if n == 0:
         return df.limit(0)
-    cut = value_at_rank(df, F.col(key), n)
+    kind = df.schema[key].dataType
+    if isinstance(kind, T.StructType) and kind.names == list(PLACE):
+        return _in_file_order(df, n, key)
+    cut = _integer_at_rank(df, key, n) if isinstance(kind, T.IntegralType) else value_at_rank(df, F.col(key), n)
     return df if cut is None else df.where(F.col(key) <= _literal(cut))
 
 

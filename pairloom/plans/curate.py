@@ -74,12 +74,7 @@ def select_records(df: DataFrame, fields: Fields, selection: Selection) -> DataF
     if cut_by_order:
         if order is None:
             raise ValueError("Taking the first rows of a table needs a key column that orders them")
-        valid = drop_blank(df, fields.prompt, fields.chosen)
-        if order == POSITION:
-            # A position is only what it is as long as the file is read in the same splits, and text
-            # would be parsed again in every pass.
-            valid = written_once(valid, "positioned-records")
-        df = head_n(valid, selection.max_samples, order)
+        df = head_n(drop_blank(df, fields.prompt, fields.chosen), selection.max_samples, order)
     keep = (F.col(fields.key).alias("id"),) if fields.key else ()
     pairs = drop_blank(to_pairs(df, Fields(fields.prompt, fields.chosen), keep))
     pairs = pairs.withColumns({"prompt": strip("prompt"), "chosen": strip("chosen")})

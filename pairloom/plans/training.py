@@ -25,8 +25,6 @@ def prepare(df: DataFrame, cfg: Training = Training(), template: Column | str |
         order = POSITION if POSITION in df.columns else fields.key
         if order is None:
             raise ValueError("Taking the first rows of a table needs a key column that orders them")
-        if order == POSITION:
-            df = written_once(df, "positioned-pairs")  # positions hold only for one way of reading
         df = head_n(df, cfg.max_samples, order)
     require_columns(df, fields.names)
     if fields.key and fields.key != "id":

@@ -26,16 +26,22 @@ def _as_struct(schema: T.StructType | str) -> T.StructType:
     return schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
 
 
-def _position() -> Column:
-    """Where a row stands in its input: file, split, row within the split. Rows of one split are
-    numbered in reading order, so sorting by this gives back the order of the file."""
+def _position(row: Column | None = None) -> Column:
+    """Where a row stands in its input: file, split, row. Rows of one split are numbered in reading order, so sorting
+    by this gives back the order of the file. The last field, the split's length, tells other splits apart."""
     return F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
+        (F.monotonically_increasing_id() if row is None else row).alias("row"),
+        F.col("_metadata.file_block_length").alias("length"),
     ).alias(POSITION)
 
 
+def with_file_position(df: DataFrame) -> DataFrame:
+    """A table read from parquet files with each row's place in them."""
+    return df.select("*", _position(F.col("_metadata.row_index")))
+
+
 def _lines(spark: SparkSession, path: str) -> DataFrame:
     text = spark.read.text(require_path(spark, path))
     return text.select(_position(), strip("value").alias("line")).where(F.col("line") != "")

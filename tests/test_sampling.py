@@ -1,10 +1,12 @@
 import hashlib
+import json
 
 import pytest
 from pyspark.sql import functions as F
 
 from pairloom.operators import sampling as L
 from pairloom.operators.keys import with_content_key
+from pairloom.sources.records import POSITION, read_jsonl, with_file_position
 
 
 def draw(seed, key):
@@ -65,6 +67,45 @@ def test_head_by_struct_and_string(spark, small_limits):
     assert ids(L.head_n(df, 321, "name")) == list(range(321))
 
 
+@pytest.mark.parametrize("split_bytes", ["3k", "20k", "128m"])
+def test_head_in_file_order(spark, tmp_path, split_bytes):
+    """The same first rows however the files are split, by counts per block alone."""
+    texts = {f"{'abc'[f]}.jsonl": [f"line {f} {i} {'é' * (i % 50)}" for i in range(n)] for f, n in enumerate((700, 3, 900))}
+    for name, lines in texts.items():
+        (tmp_path / name).write_text("\n".join("" if i % 7 == 3 else json.dumps({"a": t}) for i, t in enumerate(lines)))
+    want = [t for name in sorted(texts) for i, t in enumerate(texts[name]) if i % 7 != 3]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+        rows = read_jsonl(spark, str(tmp_path), "a string", with_position=True)[0]
+        for n in (1, 2, 599, 600, 601, 603, 604, 1200, len(want) - 1, len(want), len(want) + 5):
+            head = L.head_n(rows, n, POSITION)
+            assert "Exchange" not in head._jdf.queryExecution().executedPlan().toString()
+            assert sorted(r.a for r in head.collect()) == sorted(want[:n])
+        if split_bytes == "20k":
+            head = L.head_n(rows, 800, POSITION)
+            spark.conf.set("spark.sql.files.maxPartitionBytes", "3k")
+            with pytest.raises(Exception, match="other splits"):
+                head.select("a").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_head_of_a_parquet_table_in_file_order(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(5000).select((9999 - F.col("id")).alias("v")).repartitionByRange(3, F.desc("v")).sortWithinPartitions(F.desc("v")).write.parquet(path)
+    table = with_file_position(spark.read.parquet(path))
+    for n in (1, 1700, 4999):
+        assert sorted(r.v for r in L.head_n(table, n, POSITION).collect()) == list(range(10_000 - n, 10_000))
+
+
+def test_integer_heads_shuffle_no_keys(spark):
+    keys = spark.range(100_000).select((F.col("id") * 1_000_003 % 2**40 - 2**39).alias("id"))
+    held = sorted(r.id for r in keys.collect())
+    for n in (1, 77_777, 99_999):
+        assert ids(L.head_n(keys, n, "id")) == held[:n]
+
+
 def test_cut_through_equal_keys_is_an_error(spark, small_limits):
     same = spark.range(100).select(F.lit(1).alias("id"))
     with pytest.raises(ValueError, match="not unique"):
