@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +13,7 @@ from pyspark.sql import types as T
 from pairloom.config import PAIR_FIELDS, Fields
 from pairloom.functions.text import strip
 from pairloom.operators.validate import FieldMappingError
+from pairloom.sources.arrays import array_records
 from pairloom.sources.paths import is_directory, path_exists, path_size, require_path
 
 POSITION = "position"
@@ -87,23 +91,14 @@ def read_jsonl(
 def read_json_array(
     spark: SparkSession, path: str, schema: T.StructType | str, with_position: bool = False
 ) -> DataFrame:
-    """A top-level ``[…]`` per file. A parse error ends the job. One file is one task, so arrays
-    suit small inputs only; large ones belong in JSON lines."""
+    """A top-level ``[…]`` of objects per file. A parse error ends the job. A large file is read by many tasks:
+    see ``array_records``."""
     schema = _as_struct(schema)
-    rows = (
-        spark.read.schema(schema)
-        .options(multiLine=True, mode="FAILFAST", **_STRICT_JSON)
-        .json(require_path(spark, path))
-    )
-    names = [F.col(f.name) for f in schema.fields]
-    return rows.select(*names, _position()) if with_position else rows
-
-
-def _first_file(spark: SparkSession, path: str) -> str | None:
-    """The path itself, or the first data file by name of a folder; None if there is none."""
-    if not is_directory(spark, path):
-        return path
-    return min(spark.read.text(path).inputFiles(), default=None)
+    record = F.from_json("text", schema, {"mode": "FAILFAST", **_STRICT_JSON})
+    place = F.struct("file", "block", "row", "length").alias(POSITION)
+    # explode(array(x)) instead of a plain column, so that the text is parsed once.
+    rows = array_records(spark, path).select(place, F.explode(F.array(record)).alias("r"))
+    return rows.select(*[F.col("r")[f.name].alias(f.name) for f in schema.fields], *([POSITION] if with_position else []))
 
 
 def _array_files(spark: SparkSession, path: str) -> DataFrame:
@@ -139,19 +134,41 @@ def read_records(
     return read_jsonl(spark, path, schema, strict, with_position)
 
 
+def _head_of_arrays(spark: SparkSession, path: str, n: int) -> list[str]:
+    """The first n records of the arrays in a file or folder, in order of file names, as text. Of each file only the beginning is read,
+    up to the last record wanted, however large it is; what can't be read is left to the scan itself."""
+    found, decoder = [], json.JSONDecoder()
+    for file in sorted(spark.read.text(path).inputFiles()) if is_directory(spark, path) else [path]:
+        wanted, rows, more = 16, [], True
+        while more and len(found) < n:
+            before, made = len(rows), []
+            rows = [r.value for r in spark.read.option("lineSep", "}").text(file).limit(wanted).collect()]
+            more, wanted = len(rows) == wanted and len(rows) > before, wanted * 4
+            text = "}".join(rows) + "}"
+            at = re.match(r"\s*\[?\s*", text.removeprefix("\ufeff")).end() + text.startswith("\ufeff")
+            while len(found) + len(made) < n and text.startswith("{", at):
+                try:
+                    _, end = decoder.raw_decode(text, at)
+                except ValueError:
+                    break
+                made.append(text[at:end])
+                at = re.compile(r"\s*,?\s*").match(text, end).end()
+            if len(found) + len(made) >= n or not more:
+                found += made
+        if len(found) >= n:
+            break
+    return found
+
+
 def require_fields(spark: SparkSession, path: str, names: list[str], in_each: bool = True) -> None:
-    """Check the mapped fields on the first five records of a JSON file by their keys, so that a
+    """Check the mapped fields on the first five records of a JSON file or folder by their keys, so that a
     null value counts as present. ``in_each``: every one of the five must have them, else it is
-    enough that one does. An empty input passes."""
+    enough that one does. An empty input passes; only the beginnings of files are read."""
     if is_json_array(spark, path):
-        whole = spark.read.text(_first_file(spark, path), wholetext=True)
-        first = F.array(*[F.get_json_object("value", f"$[{i}]") for i in range(_HEAD)])
-        records = whole.select(F.explode(first).alias("r")).where(F.col("r").isNotNull())
-        heads = records.select(F.json_object_keys("r").alias("keys")).collect()
+        present = [set(json.loads(r)) for r in _head_of_arrays(spark, path, _HEAD)]
     else:
         found = _lines(spark, path).select(F.json_object_keys("line").alias("keys"))
-        heads = found.where(F.col("keys").isNotNull()).limit(_HEAD).collect()
-    present = [set(r["keys"] or ()) for r in heads]
+        present = [set(r["keys"]) for r in found.where(F.col("keys").isNotNull()).limit(_HEAD).collect()]
     if not present:
         return
     common = set.intersection(*present) if in_each else set.union(*present)

@@ -1,15 +1,17 @@
 import json
+import random
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from pairloom.config import Fields
+from pairloom.operators.sampling import head_n
 from pairloom.operators.validate import FieldMappingError
 from pairloom.sources import sinks
 from pairloom.sources.criteria import read_criteria
 from pairloom.sources.records import (
-    is_json_array, read_json_array, read_jsonl, read_pairs, read_records, read_table, require_fields, spread_small,
+    POSITION, _head_of_arrays, is_json_array, read_json_array, read_jsonl, read_pairs, read_records, read_table, require_fields, spread_small,
 )
 
 SCHEMA = "a string, b string"
@@ -75,9 +77,55 @@ def test_json_array(spark, tmp_path):
     good, bad = read_records(spark, path, SCHEMA, with_position=True)
     assert [tuple(r)[:2] for r in good.orderBy("position").collect()] == [("1", "2"), ("3", None)]
     assert bad.count() == 0
-    broken = write(tmp_path / "b.json", '[{"a":"1"},{"a":"2"')
-    with pytest.raises(Exception, match="MALFORMED_RECORD"):
-        read_json_array(spark, broken, SCHEMA).collect()
+    for text in ('[{"a":"1"},{"a":"2"', '[{"a":"1"},{"a":"2"}', '[{"a":"1"} {"a":"2"}]', '[{"a":"1"},]', '[{"a":"1"},7]', '[[{"a":"1"}]]', '[{"a":"1"}}]', '[{"a":[}]',
+                 '[{"a":"1" "b":"2"}]', '[{"a":"1}]', '[,{"a":"1"}]', '  }[{"a":"1"}]'):
+        broken = write(tmp_path / "b.json", text)
+        with pytest.raises(Exception, match="MALFORMED_RECORD|not closed|Not an array|closing brace|not opened"):
+            read_json_array(spark, broken, SCHEMA).collect()
+    for text, n in (("[]", 0), (" [ \n] {[", 0), ('\ufeff[{"a":"1"}] and }{ more [{', 1), ("", 0), (" \n ", 0), ('[{}]', 1)):
+        assert read_json_array(spark, write(tmp_path / "c.json", text), SCHEMA).count() == n
+
+
+TRICKY = ["}", "{", '"', "\\", '\\"', "}{", "[", "],", '"}', "\\\\", "a", "é語", "\n", ", {", "}]"]
+
+
+@pytest.mark.parametrize("split_bytes, indent", [("200", 1), ("1500", None), ("128m", 2)])
+def test_arrays_split_anywhere(spark, tmp_path, split_bytes, indent):
+    """Braces, brackets, quotes and escapes in texts, nested values, records longer than many splits."""
+    rng = random.Random(split_bytes)
+    files = {}
+    for name in ("b.json", "a.json", "empty.json", "none.json"):
+        n = {"a.json": 150, "b.json": 60}.get(name, 0)
+        files[name] = [{"i": f"{name}{i}", "a": "".join(rng.choice(TRICKY) for _ in range(rng.choice([0, 1, 5, 60]))), "c": [{"d": rng.choice(TRICKY)}, [], {}]} for i in range(n)]
+        write(tmp_path / name, "" if name == "empty.json" else json.dumps(files[name], indent=indent, ensure_ascii=rng.random() < 0.5) + "\n ] } trailing")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        rows = read_json_array(spark, str(tmp_path), "i string, a string, c array<string>", with_position=True)
+        got = [(r.i, r.a) for r in rows.orderBy(POSITION).collect()]
+        assert got == [(r["i"], r["a"]) for name in sorted(files) for r in files[name]]
+        assert len({(r.position.file, r.position.block) for r in rows.select(POSITION).collect()}) > (1 if split_bytes == "128m" else 10)
+        head = head_n(rows, 100, POSITION)
+        assert {r.i for r in head.collect()} == {i for i, _ in got[:100]}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_fields_are_checked_on_the_first_records_alone(spark, tmp_path):
+    """An empty first file checks the next one; a record may be longer than what is read at first; nothing is read whole."""
+    folder = tmp_path / "arrays"
+    folder.mkdir()
+    write(folder / "a.json", "")
+    write(folder / "b.json", "[]")
+    write(folder / "c.json", json.dumps([{"a": "}" * 5000, "b": None}, {"a": "1", "b": {"c": {}}}]))
+    write(folder / "d.json", json.dumps([{"a": "1", "b": "2"}] * 3 + [{"x": "1"}] * 50_000) + "}" * 50_000)
+    assert [json.loads(r).get("a", "")[:2] for r in _head_of_arrays(spark, str(folder), 5)] == ["}}", "1", "1", "1", "1"]
+    require_fields(spark, str(folder), ["a", "b"])
+    with pytest.raises(FieldMappingError) as e:
+        require_fields(spark, str(folder), ["a", "z"])
+    assert e.value.missing == ["z"] and e.value.found == ["a", "b"]
+    assert len(_head_of_arrays(spark, write(tmp_path / "t.json", '[{"a":"1"},{"a":'), 5)) == 1
 
 
 def test_form_is_sniffed(spark, tmp_path):
