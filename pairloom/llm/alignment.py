@@ -406,27 +406,26 @@ def aligned_tokens(docs: DataFrame, one: str, other: str, text: str = "text") ->
 
     def compose(table):
         aligner = _aligner(held)
-        held_rows = sorted(table.to_pylist(), key=lambda r: r["begin"])
-        made = reduce(aligner.composed, map(_from_row, held_rows))
-        return pa.Table.from_pylist([_to_row(held_rows[0]["row"], made)], fragment_schema)
+        rows = sorted(table.to_pylist(), key=lambda r: r["begin"])
+        return rows[0]["row"], reduce(aligner.composed, map(_from_row, rows))
 
-    def finish(batches):
-        aligner = _aligner(held)
-        for batch in batches:
-            for r in batch.to_pylist():
-                values = _batch_columns(-1 - r["row"], [aligner.finished(_from_row(r))])
-                arrays = [pa.array([r["row"]], pa.int64())] + [pa.array(v, k.type) for v, k in zip(values, kinds)]
-                yield pa.RecordBatch.from_arrays(arrays, names=["_row", *[f.name for f in added]])
+    def compose_some(table):
+        return pa.Table.from_pylist([_to_row(*compose(table))], fragment_schema)
+
+    def compose_all(table):  # the last level also finishes, so that a task runs one Python worker, not two
+        row, made = compose(table)
+        values = _batch_columns(-1 - row, [_aligner(held).finished(made)])
+        return pa.Table.from_arrays([pa.array([row], pa.int64())] + [pa.array(v, k.type) for v, k in zip(values, kinds)], names=["_row", *[f.name for f in added]])
 
     fragment_schema = to_arrow_schema(T._parse_datatype_string(_FRAGMENT))
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = rows.select("_row", F.col(text).cast("string")).mapInArrow(cut, part_schema).repartition(tasks, "_row", "_begin")
     fragments = parts.mapInArrow(describe, _FRAGMENT)
-    span = RANGE
+    span, part = RANGE * FAN_IN, lambda span: F.floor(F.col("begin") / span).alias("part")
     while span <= ranges:
+        fragments = fragments.groupBy("row", part(span)).applyInArrow(compose_some, _FRAGMENT)
         span *= FAN_IN
-        fragments = fragments.groupBy("row", F.floor(F.col("begin") / span).alias("part")).applyInArrow(compose, _FRAGMENT)
-    made = fragments.mapInArrow(finish, T.StructType([T.StructField("_row", T.LongType()), *added]))
+    made = fragments.groupBy("row", part(span)).applyInArrow(compose_all, T.StructType([T.StructField("_row", T.LongType()), *added]))
     joined = rows.select("_row", *columns).join(made, "_row").select(*columns, *[f.name for f in added])
     return short.unionByName(joined)
 
