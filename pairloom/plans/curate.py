@@ -75,6 +75,9 @@ def select_records(df: DataFrame, fields: Fields, selection: Selection) -> DataF
         if order is None:
             raise ValueError("Taking the first rows of a table needs a key column that orders them")
         df = head_n(drop_blank(df, fields.prompt, fields.chosen), selection.max_samples, order)
+        if order == POSITION:
+            # A place in a file is only what it is as long as the file is read in the same splits: the rows chosen are kept.
+            df = written_once(df, "first-records")
     keep = (F.col(fields.key).alias("id"),) if fields.key else ()
     pairs = drop_blank(to_pairs(df, Fields(fields.prompt, fields.chosen), keep))
     pairs = pairs.withColumns({"prompt": strip("prompt"), "chosen": strip("chosen")})

@@ -26,6 +26,8 @@ def prepare(df: DataFrame, cfg: Training = Training(), template: Column | str |
         if order is None:
             raise ValueError("Taking the first rows of a table needs a key column that orders them")
         df = head_n(df, cfg.max_samples, order)
+        if order == POSITION:
+            df = written_once(df, "first-pairs")  # places hold only for one way of reading
     require_columns(df, fields.names)
     if fields.key and fields.key != "id":
         df = df.withColumn("id", df[fields.key])
