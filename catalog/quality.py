@@ -10,9 +10,11 @@ from catalog.tables import responses, sft_conv, sft_docs, table, weak_docs
 from pairloom.config import Fields, Quality
 from pairloom.functions.text import strip
 from pairloom.operators import quality as Q
-from pairloom.operators.generation import attach, observe_counts
+from pairloom.operators.generation import attach, attach_by_prompt, observe_counts
 from pairloom.operators.validate import drop_blank, drop_blank_stats, require_columns, to_pairs
-from pairloom.plans.curate import judge
+from pairloom.plans.curate import Curation, build_pairs, judge
+from pairloom.sources.paths import scratch_path
+from pairloom.sources.sinks import write_counted
 
 _HALF_BLANK = """half_blank AS (
   SELECT doc_id AS id, CASE doc_id % 4 WHEN 1 THEN '' WHEN 2 THEN chr(160) || chr(9) ELSE text END AS prompt,
@@ -165,3 +167,48 @@ def observed_outcomes(spark, sf_dir):
     """The classified rows, with the run counters taken along the way."""
     observed, _ = observe_counts(Q.classify(weak_docs(spark, sf_dir)))
     return observed.select("id", "outcome")
+
+
+@query("observed_counts", S.WEAK_JUDGED + _COUNTS + " FROM judged")
+def observed_counts(spark, sf_dir):
+    """The run counters as the job that writes the classified rows counts them."""
+    path = scratch_path(spark, "classified")
+    counts = write_counted(Q.classify(weak_docs(spark, sf_dir)), Q.outcome_counts(), lambda df: df.write.parquet(path))
+    return spark.createDataFrame([[counts[n] for n in ("total", "written", "skipped", "failed")]], "total bigint, written bigint, skipped bigint, failed bigint")
+
+
+_VALID = f"doc_id % 9 > 2 AND trim(text, {S.SPACES}) <> ''"
+
+
+@query(
+    "curation_job",
+    S.with_(S.SFT_DOCS.replace("FROM documents)", f"FROM documents WHERE {_VALID})"), S.RESPONSES, S.FIRST_SUCCESS, S.PAIRS_DOCS, S.cascade("pairs_docs"))
+    + f"""SELECT *, CASE WHEN written = 0 THEN 'none' WHEN written < 50 THEN 'too_few' ELSE 'ready' END AS band
+      FROM ({_COUNTS} FROM judged), (SELECT count(*) FILTER (doc_id % 9 = 0) AS malformed,
+        count(*) FILTER (doc_id % 9 <> 0 AND NOT coalesce({_VALID}, false)) AS blank, count(*) AS read FROM documents)""",
+)
+def curation_job(spark, sf_dir):
+    """The whole job, from JSON lines of which a ninth is broken and two ninths lack a side to the counted pair file."""
+    source, kind = scratch_path(spark, "instructions.jsonl"), F.col("id") % 9
+    output = F.when(kind == 1, "  ").otherwise(F.col("output"))
+    instruction = F.when(kind != 2, F.col("instruction"))
+    record = F.to_json(F.struct("id", instruction.alias("instruction"), output.alias("output")))
+    broken = F.concat(F.lit("{bad "), F.col("id").cast("string"))
+    sft_docs(spark, sf_dir).select(F.when(kind == 0, broken).otherwise(record).alias("value")).write.text(source)
+    log = responses(spark, sf_dir).withColumn("id", F.col("id").cast("string"))
+    cfg = Curation(Fields(key="id"))
+    return build_pairs(spark, source, scratch_path(spark, "job"), cfg, responses=log)
+
+
+@query(
+    "pairs_by_prompt",
+    f"""SELECT doc_id AS id, trim(substr(text, 1, length(text) // 2), {S.SPACES}) AS rejected FROM documents""",
+)
+def pairs_by_prompt(spark, sf_dir):
+    """Recorded responses that name their prompts, not the keys of records."""
+    records = to_pairs(sft_docs(spark, sf_dir), Fields(), keep=("id",))
+    half = F.expr("substr(output, 1, cast(length(output) div 2 as int))")
+    log = sft_docs(spark, sf_dir).select(
+        F.concat(F.lit(" "), "instruction", F.lit("\n")).alias("prompt"), F.explode(F.sequence(F.lit(0), F.lit(1))).alias("attempt"), half.alias("half")
+    ).select("prompt", "attempt", F.when(F.col("attempt") == 1, F.col("half")).alias("content"))
+    return attach_by_prompt(records, log).select("id", "rejected")

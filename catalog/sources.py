@@ -8,15 +8,17 @@ from pyspark.sql import functions as F
 from catalog import sql as S
 from catalog.registry import query
 from catalog.tables import sft_conv, sft_docs, table, weak_docs
-from pairloom.config import Fields
+from pairloom.config import SELECTION_SEED, Fields
+from pairloom.functions.order import seeded_hash
 from pairloom.operators import quality as Q
 from pairloom.operators.review import criteria_counts as count_criteria
-from pairloom.operators.sampling import split_by_hash
+from pairloom.operators.sampling import head_n, split_by_hash
 from pairloom.operators.validate import drop_blank, to_pairs
 from pairloom.sources import sinks
 from pairloom.sources.criteria import read_criteria
-from pairloom.sources.paths import scratch_path
+from pairloom.sources.paths import scratch_path, written_once
 from pairloom.sources.records import (
+    POSITION,
     read_json_array,
     read_jsonl,
     read_pairs,
@@ -77,6 +79,50 @@ def json_array_scan(spark, sf_dir):
     return read_json_array(spark, _json_arrays(spark, sf_dir), _SCHEMA)
 
 
+@query("split_array_scan", _ALL)
+def split_array_scan(spark, sf_dir):
+    """The arrays again, read in splits of 64 kB, many to a file."""
+    setting = "spark.sql.files.maxPartitionBytes"
+    path, before = _json_arrays(spark, sf_dir), spark.conf.get(setting)
+    spark.conf.set(setting, "64k")
+    try:
+        return written_once(read_json_array(spark, path, _SCHEMA), "split-arrays")
+    finally:
+        spark.conf.set(setting, before)
+
+
+@query("checked_array_fields", S.with_(S.SFT_CONV) + "SELECT id, instruction AS prompt, output AS chosen FROM sft_conv")
+def checked_array_fields(spark, sf_dir):
+    path = scratch_path(spark, "conversations.json")
+    chunks = sft_conv(spark, sf_dir).groupBy(F.pmod(F.xxhash64("id"), F.lit(16)).alias("chunk"))
+    array = chunks.agg(F.to_json(F.collect_list(F.struct("id", "instruction", "output"))).alias("value"))
+    array.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    require_fields(spark, path, ["instruction", "output"])
+    records = read_records(spark, path, _SCHEMA.replace("bigint", "string"))[0]
+    return drop_blank(to_pairs(records, Fields(), keep=("id",)))
+
+
+@query(
+    "ordered_pair_file",
+    S.WEAK_JUDGED + f"""SELECT prompt, chosen, rejected FROM judged WHERE outcome = 'ok'
+      ORDER BY {S.seeded("id", SELECTION_SEED)}, id LIMIT 150""",
+)
+def ordered_pair_file(spark, sf_dir):
+    """Pairs written in the seeded order; the first of them by their places in the files are the seeded sample."""
+    path = scratch_path(spark, "ordered.jsonl")
+    ok = Q.accepted(Q.classify(weak_docs(spark, sf_dir)))
+    sinks.write_pairs(ok, path, [seeded_hash("id", SELECTION_SEED), F.col("id")])
+    return head_n(read_pairs(spark, path), 150, POSITION).select("prompt", "chosen", "rejected")
+
+
+@query("json_table_by_path", "SELECT doc_id AS id, lang FROM documents")
+def json_table_by_path(spark, sf_dir):
+    """A folder of JSON lines without a telling name, read as a table."""
+    path = scratch_path(spark, "unnamed")
+    table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "lang").write.json(path)
+    return read_table(spark, path, "train").select("id", "lang")
+
+
 @query(
     "records_of_either_form",
     f"""SELECT 'array' AS form, * FROM ({_ALL})

@@ -7,13 +7,17 @@ from pyspark.sql import functions as F
 from catalog import sql as S
 from catalog.registry import query
 from catalog.tables import logps, sft_conv, table, weak_docs
-from pairloom.config import TRAINING_SEED, Fields, Training
+from pairloom.config import SELECTION_SEED, TRAINING_SEED, Fields, Training
+from pairloom.functions.order import seeded_hash
 from pairloom.operators import preference as E
+from pairloom.operators import quality as Q
 from pairloom.operators import templates as T
 from pairloom.operators.sampling import split_by_hash, split_exact
 from pairloom.operators.training import length_budget, step_plan
 from pairloom.operators.validate import to_pairs
-from pairloom.plans.training import prepare
+from pairloom.plans.training import prepare, prepare_source
+from pairloom.sources.paths import scratch_path
+from pairloom.sources.sinks import write_pairs
 
 # Invented templates that carry the family markers.
 _MARKERS = [
@@ -159,3 +163,22 @@ def evaluation_summary(spark, sf_dir):
     summary = E.eval_summary(scored)
     means = [c for c in summary.columns if c not in ("split", "n")]
     return summary.select("split", "n", *[F.round(c, 9).alias(c) for c in means])
+
+
+@query(
+    "prepared_from_file",
+    S.WEAK_JUDGED
+    + f""", pairs AS (SELECT prompt, chosen, rejected FROM judged WHERE outcome = 'ok'
+        ORDER BY {S.seeded("id", SELECTION_SEED)}, id LIMIT 120),
+      keyed AS (SELECT md5(length(prompt) || ':' || prompt || length(chosen) || ':' || chosen || length(rejected) || ':' || rejected)
+          || '-' || row_number() OVER (PARTITION BY prompt, chosen, rejected) AS id, prompt, chosen, rejected FROM pairs)
+      SELECT id, '<<sys>>{_SYSTEM}<</sys>>[inst]' || prompt || '[/inst]' AS prompt, chosen, rejected,
+        CASE WHEN row_number() OVER (ORDER BY {S.seeded("id", TRAINING_SEED)}, id) <= ceil(0.05::DOUBLE * count(*) OVER ())
+          THEN 'eval' ELSE 'train' END AS split FROM keyed""",
+)
+def prepared_from_file(spark, sf_dir):
+    """The training table of the first pairs of a pair file, which have no keys of their own."""
+    path = scratch_path(spark, "pairs.jsonl")
+    ok = Q.accepted(Q.classify(weak_docs(spark, sf_dir)))
+    write_pairs(ok, path, [seeded_hash("id", SELECTION_SEED), F.col("id")])
+    return prepare_source(spark, path, Training(max_samples=120, family=T.LLAMA), _LLAMA)

@@ -214,6 +214,15 @@ def attach(
     return records.join(found, key, "left").withColumn("rejected", strip("rejected"))
 
 
+def attach_by_prompt(records: DataFrame, responses: DataFrame, max_retries: int = Generation.max_retries) -> DataFrame:
+    """``attach`` for an attempt log that names prompts instead of keys: records with the same prompt get the same response.
+    Prompts are compared by their digests, stripped."""
+    digest = F.md5(strip("prompt")).alias("_prompt")
+    found = first_success(responses.select(digest, "attempt", "content"), max_retries, "_prompt")
+    joined = records.withColumn("_prompt", F.md5(strip("prompt"))).join(found, "_prompt", "left")
+    return joined.drop("_prompt").withColumn("rejected", strip("rejected"))
+
+
 def status_counts(responses: DataFrame) -> DataFrame:
     return responses.groupBy("status").agg(F.count("*").alias("n"))
 
@@ -223,3 +232,13 @@ def observe_counts(classified: DataFrame, name: str = "outcomes") -> tuple[DataF
     job's last stage do the observing: only there is a task that runs twice counted once."""
     observation = Observation(name)
     return classified.observe(observation, *outcome_counts()), observation
+
+
+def progress(spark: SparkSession, path: str) -> DataFrame:
+    """What the newest run in ``path`` has done so far, a row per committed wave in the order of waves: its prompts and attempts, and
+    those of all waves up to it. Attempts of a wave that is tried again are not counted twice, as only its commit counts."""
+    held, rows, prompts, attempts = newest(spark, path.rstrip("/")), [], 0, 0
+    for wave in sorted(held.done) if held else ():
+        prompts, attempts = prompts + held.planned[wave], attempts + held.done[wave]
+        rows.append((wave, held.planned[wave], held.done[wave], prompts, attempts))
+    return spark.createDataFrame(rows, "wave int, prompts bigint, attempts bigint, prompts_so_far bigint, attempts_so_far bigint")

@@ -32,17 +32,18 @@ def to_pairs(df: DataFrame, fields: Fields, keep: tuple[str, ...] = ()) -> DataF
     return df.select(*keep, *renamed)
 
 
-def _complete(prompt: str, chosen: str) -> Column:
+def complete(prompt: str, chosen: str) -> Column:
+    """Is there some text on both sides?"""
     return ~is_blank(prompt) & ~is_blank(chosen)
 
 
 def drop_blank(df: DataFrame, prompt: str = "prompt", chosen: str = "chosen") -> DataFrame:
     """Keep records with some text on both sides; a missing field counts as blank."""
-    return df.where(_complete(prompt, chosen))
+    return df.where(complete(prompt, chosen))
 
 
 def drop_blank_stats(df: DataFrame, prompt: str = "prompt", chosen: str = "chosen") -> DataFrame:
-    keep = _complete(prompt, chosen)
+    keep = complete(prompt, chosen)
     return df.agg(
         F.count("*").alias("records"), F.count_if(keep).alias("kept"), F.count_if(~keep).alias("dropped")
     )

@@ -8,21 +8,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.config import Fields, Generation, Quality, Selection
+from pairloom.functions.order import seeded_hash
 from pairloom.functions.text import strip
-from pairloom.operators.generation import MakeGenerator, attach, fingerprint, generate_to_table
+from pairloom.operators.generation import MakeGenerator, attach, attach_by_prompt, fingerprint, generate_to_table
 from pairloom.operators.keys import with_content_key
-from pairloom.operators.quality import accepted, classify, readiness, run_summary, skipped
+from pairloom.operators.quality import accepted, classify, outcome_counts, readiness, skipped
 from pairloom.operators.sampling import head_n, sample_n
-from pairloom.operators.validate import drop_blank, drop_blank_stats, require_columns, to_pairs
+from pairloom.operators.validate import complete, drop_blank, drop_blank_stats, require_columns, to_pairs
 from pairloom.sources.paths import path_exists, written_once
 from pairloom.sources.records import (
     POSITION,
+    is_parquet,
+    read_accounted,
     read_records,
     read_table,
     record_schema,
     require_fields,
 )
-from pairloom.sources.sinks import write_pairs, write_skipped
+from pairloom.sources.sinks import write_counted, write_pairs, write_skipped
 
 
 @dataclass(frozen=True)
@@ -32,35 +35,54 @@ class Curation:
     generation: Generation = field(default_factory=Generation)
     quality: Quality = field(default_factory=Quality)
     log_skipped: bool = True
-    # Is the source a JSON file or folder? None: if its name ends in .json or .jsonl.
+    # Is the source a JSON file or folder? None: if its name ends in .json or .jsonl, or its files do not begin as parquet.
     json_source: bool | None = None
 
 
-def load_records(
-    spark: SparkSession,
-    source: str,
-    fields: Fields,
-    split: str | None = "train",
-    json_source: bool | None = None,
-) -> DataFrame:
-    """Records of a JSON file or folder, or of one split of a named table, with the mapped fields
-    checked. Malformed lines are left out; ``load_with_malformed`` gives them too."""
-    return load_with_malformed(spark, source, fields, split, json_source)[0]
+def _is_json(spark: SparkSession, source: str, json_source: bool | None) -> bool:
+    if json_source is not None:
+        return json_source
+    return source.endswith((".json", ".jsonl")) or (path_exists(spark, source) and not is_parquet(spark, source))
 
 
-def load_with_malformed(
+def load_records(
     spark: SparkSession,
     source: str,
     fields: Fields,
     split: str | None = "train",
     json_source: bool | None = None,
-) -> tuple[DataFrame, DataFrame | None]:
-    """``load_records``, and the malformed lines ``(file, line)`` of a JSON source."""
-    if source.endswith((".json", ".jsonl")) if json_source is None else json_source:
+) -> DataFrame:
+    """Records of a JSON file or folder, or of one split of a named table or parquet path, with the mapped
+    fields checked. Malformed lines are left out."""
+    if _is_json(spark, source, json_source):
         require_fields(spark, source, fields.names)
         names = fields.names + ([fields.key] if fields.key else [])
-        return read_records(spark, source, record_schema(names), with_position=True)
-    return require_columns(read_table(spark, source, split), fields.names), None
+        return read_records(spark, source, record_schema(names), with_position=True)[0]
+    return require_columns(read_table(spark, source, split), fields.names)
+
+
+def load_accounted(
+    spark: SparkSession, source: str, fields: Fields, out: str, split: str | None = "train", json_source: bool | None = None
+) -> tuple[DataFrame, dict[str, int]]:
+    """The valid records, and how many rows were read, malformed, blank and valid. A JSON source is parsed once, into
+    ``out/read`` by kind; all else is read from there. Rows read, counted while they were parsed, must be as many as
+    those of the three kinds, counted in what was written."""
+    blank = ~complete(fields.prompt, fields.chosen)
+    if not _is_json(spark, source, json_source):
+        df = require_columns(read_table(spark, source, split), fields.names)
+        counts = drop_blank_stats(df, fields.prompt, fields.chosen).first()
+        return df.where(~blank), {"read": counts.records, "malformed": 0, "blank": counts.dropped, "valid": counts.kept}
+    require_fields(spark, source, fields.names)
+    names = fields.names + ([fields.key] if fields.key else [])
+    rows = read_accounted(spark, source, record_schema(names), blank)
+    path = f"{out}/read"
+    counts = write_counted(rows, [F.count(F.lit(1)).alias("read")], lambda df: df.write.mode("overwrite").partitionBy("kind").parquet(path))
+    table = spark.read.schema(rows.schema).parquet(path)
+    counts |= dict.fromkeys(("malformed", "blank", "valid"), 0) | {r["kind"]: r["count"] for r in table.groupBy("kind").count().collect()}
+    if counts["read"] != counts["malformed"] + counts["blank"] + counts["valid"]:
+        raise RuntimeError(f"The account of {source} does not balance: {counts}")
+    table.where("kind = 'malformed'").select(F.col(POSITION)["file"].alias("file"), "line").write.mode("overwrite").json(f"{out}/malformed")
+    return table.where("kind = 'valid'").drop("kind", "line"), counts
 
 
 def select_records(df: DataFrame, fields: Fields, selection: Selection) -> DataFrame:
@@ -91,8 +113,9 @@ def select_records(df: DataFrame, fields: Fields, selection: Selection) -> DataF
 
 
 def judge(records: DataFrame, responses: DataFrame, cfg: Curation = Curation()) -> DataFrame:
-    """Records classified against an attempt log: every record gets an outcome."""
-    return classify(attach(records, responses, cfg.generation.max_retries), cfg.quality)
+    """Records classified against an attempt log by ``id``, or by ``prompt`` if it has no ids: every record gets an outcome."""
+    by_key = "id" in responses.columns
+    return classify((attach if by_key else attach_by_prompt)(records, responses, cfg.generation.max_retries), cfg.quality)
 
 
 def build_pairs(
@@ -113,18 +136,14 @@ def build_pairs(
     agree, and the join and the word overlap are not done three times. With ``resume`` a run that
     broke off goes on with the records and attempts it had committed; it must be of the same records.
 
-    The summary also counts the ``malformed`` lines, which are written to ``out/malformed``, and the ``blank``
-    records. Without a limit, what was read is malformed + blank + total.
+    The summary also counts the rows ``read``, the ``malformed`` lines, which are written to ``out/malformed``, and the
+    ``blank`` records: read = malformed + blank + valid, and valid = total unless a limit was set. The counters of outcomes
+    are taken by the job that writes the classified rows. With ``selection.shuffle`` the pair file is in the seeded order.
     """
     if (make_generator is None) == (responses is None):
         raise ValueError("Give either a generator or an attempt log")
     out = out.rstrip("/")
-    loaded, bad = load_with_malformed(spark, source, cfg.fields, split, cfg.json_source)
-    malformed = 0
-    if bad is not None:
-        bad.write.mode("overwrite").json(f"{out}/malformed")
-        malformed = spark.read.schema(bad.schema).json(f"{out}/malformed").count()
-    blank = drop_blank_stats(loaded, cfg.fields.prompt, cfg.fields.chosen).first().dropped
+    loaded, counts = load_accounted(spark, source, cfg.fields, out, split, cfg.json_source)
     records = select_records(loaded, cfg.fields, cfg.selection)
     if make_generator is not None:
         kept = f"{out}/records"
@@ -137,12 +156,14 @@ def build_pairs(
             spark, records, make_generator, f"{out}/generation", cfg.generation, resume=resume
         )
     judged = judge(records, responses, cfg)
-    judged.write.mode("overwrite").partitionBy("outcome").parquet(f"{out}/classified")
-    classified = spark.read.schema(judged.schema).parquet(f"{out}/classified")
-    write_pairs(accepted(classified), f"{out}/pairs.jsonl")
+    classify_to = f"{out}/classified"
+    outcomes = write_counted(judged, outcome_counts(), lambda df: df.write.mode("overwrite").partitionBy("outcome").parquet(classify_to))
+    classified = spark.read.schema(judged.schema).parquet(classify_to)
+    order = [seeded_hash("id", cfg.selection.seed), F.col("id")] if cfg.selection.shuffle else None
+    write_pairs(accepted(classified), f"{out}/pairs.jsonl", order)
     if cfg.log_skipped:
         write_skipped(skipped(classified), f"{out}/skipped.jsonl")
-    summary = run_summary(classified).withColumns(
-        {"malformed": F.lit(malformed).cast("bigint"), "blank": F.lit(blank).cast("bigint")}
-    )
-    return readiness(summary)
+    names = ("total", "written", "skipped", "failed")
+    row = [outcomes[n] for n in names] + [counts[n] for n in ("malformed", "blank", "read")]
+    schema = ", ".join(f"{n} bigint" for n in (*names, "malformed", "blank", "read"))
+    return readiness(spark.createDataFrame([row], schema))

@@ -38,6 +38,27 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(location, True)
 
 
+def first_bytes(spark: SparkSession, path: str, n: int) -> bytes:
+    """The first bytes of a file, or of the first data file with any in a folder, by name."""
+    fs, location = _file_system(spark, path)
+    for found in fs.globStatus(location) or []:
+        if found.isDirectory():
+            children = sorted(fs.listStatus(found.getPath()), key=lambda c: c.getPath().getName())
+            for child in children:
+                if not child.getPath().getName().startswith(("_", ".")):
+                    held = first_bytes(spark, child.getPath().toString(), n)
+                    if held:
+                        return held
+        elif found.getLen():
+            stream = fs.open(found.getPath())
+            try:
+                held = [stream.read() for _ in range(min(n, found.getLen()))]
+            finally:
+                stream.close()
+            return bytes(held)
+    return b""
+
+
 def require_path(spark: SparkSession, path: str) -> str:
     """Fail before any work is started if there is no input."""
     if not path_exists(spark, path):

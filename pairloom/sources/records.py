@@ -14,7 +14,7 @@ from pairloom.config import PAIR_FIELDS, Fields
 from pairloom.functions.text import strip
 from pairloom.operators.validate import FieldMappingError
 from pairloom.sources.arrays import array_records
-from pairloom.sources.paths import is_directory, path_exists, path_size, require_path
+from pairloom.sources.paths import first_bytes, is_directory, path_exists, path_size, require_path
 
 POSITION = "position"
 _END = "__line_end"
@@ -51,22 +51,14 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     return text.select(_position(), strip("value").alias("line")).where(F.col("line") != "")
 
 
-def read_jsonl(
-    spark: SparkSession,
-    path: str,
-    schema: T.StructType | str,
-    strict: bool = False,
-    with_position: bool = False,
-) -> tuple[DataFrame, DataFrame]:
-    """JSON lines as ``(good, bad)``: blank lines are passed over, a malformed line goes to ``bad``
-    and the rest go on. With ``strict`` a malformed line ends the job instead.
+def _parsed_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Every line that is not blank: (position, line, good, record).
 
     Each line is parsed as the first element of a two-element array whose second element is ours.
     A line is good only if both come back, which also catches text after the closing brace; the
     plain JSON reader stops at the brace and never sees it.
     """
-    fields = _as_struct(schema).fields
-    envelope = T.ArrayType(T.StructType([*fields, T.StructField(_END, T.IntegerType())]))
+    envelope = T.ArrayType(T.StructType([*schema.fields, T.StructField(_END, T.IntegerType())]))
     wrapped = F.concat(F.lit("["), F.col("line"), F.lit(f',{{"{_END}":1}}]'))
     # explode(array(x)) instead of a plain column: a filter on a column would be pushed below the
     # projection and every line parsed twice.
@@ -75,19 +67,47 @@ def read_jsonl(
     )
     record, end = F.get("r", F.lit(0)), F.get("r", F.lit(1))
     good = F.coalesce((F.array_size("r") == 2) & record.isNotNull() & (end[_END] == 1), F.lit(False))
+    return parsed.select(POSITION, "line", good.alias("good"), record.alias("record"))
+
 
-    columns = [F.col("record")[f.name].alias(f.name) for f in fields]
+def read_jsonl(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str,
+    strict: bool = False,
+    with_position: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """JSON lines as ``(good, bad)``: blank lines are passed over, a malformed line goes to ``bad``
+    and the rest go on. With ``strict`` a malformed line ends the job instead."""
+    schema = _as_struct(schema)
+    parsed = _parsed_lines(spark, path, schema)
+    columns = [F.col("record")[f.name].alias(f.name) for f in schema.fields]
     if with_position:
         columns.append(F.col(POSITION))
     if strict:
         where = F.concat(F.lit("Malformed JSON line in "), F.col(POSITION)["file"])
-        kept = parsed.select(POSITION, F.when(good, record).otherwise(F.raise_error(where)).alias("record"))
+        kept = parsed.select(POSITION, F.when(F.col("good"), F.col("record")).otherwise(F.raise_error(where)).alias("record"))
     else:
-        kept = parsed.where(good).select(POSITION, record.alias("record"))
-    bad = parsed.where(~good).select(F.col(POSITION)["file"].alias("file"), "line")
+        kept = parsed.where("good")
+    bad = parsed.where("not good").select(F.col(POSITION)["file"].alias("file"), "line")
     return kept.select(*columns), bad
 
 
+def read_accounted(spark: SparkSession, path: str, schema: T.StructType | str, blank: Column) -> DataFrame:
+    """A JSON file or folder parsed once: every line or record that was read, with its fields, its ``position``,
+    its ``kind`` (malformed, blank by the given condition on the fields, or valid) and, if malformed, its ``line``."""
+    schema = _as_struct(schema)
+    fields = [f.name for f in schema.fields]
+    kind = F.when(blank, "blank").otherwise("valid")
+    if is_json_array(spark, path):
+        rows = read_json_array(spark, path, schema, with_position=True)
+        return rows.select(*fields, POSITION, kind.alias("kind"), F.lit(None).cast("string").alias("line"))
+    parsed = _parsed_lines(spark, path, schema)
+    columns = [F.when(F.col("good"), F.col("record")[f]).alias(f) for f in fields]
+    rows = parsed.select(*columns, POSITION, "good", F.when(~F.col("good"), F.col("line")).alias("line"))
+    return rows.select(*fields, POSITION, F.when(~F.col("good"), "malformed").otherwise(kind).alias("kind"), "line")
+
+
 def read_json_array(
     spark: SparkSession, path: str, schema: T.StructType | str, with_position: bool = False
 ) -> DataFrame:
@@ -177,11 +197,16 @@ def require_fields(spark: SparkSession, path: str, names: list[str], in_each: bo
         raise FieldMappingError(missing, sorted(set.union(*present)))
 
 
+def is_parquet(spark: SparkSession, path: str) -> bool:
+    """Do the data files at a path begin as parquet files do? Told from the first bytes of the first of them, not from names."""
+    return first_bytes(spark, path, 4) == b"PAR1"
+
+
 def read_table(spark: SparkSession, name_or_path: str, split: str | None = None) -> DataFrame:
-    """A catalog table or a parquet path, narrowed to one ``split`` if asked. A table without a
-    split column counts as all "train". The filter prunes folders when split is a partition."""
+    """A catalog table, or the parquet or JSON-lines files at a path, narrowed to one ``split`` if asked. A table
+    without a split column counts as all "train". The filter prunes folders when split is a partition."""
     if path_exists(spark, name_or_path):
-        df = spark.read.parquet(name_or_path)
+        df = spark.read.parquet(name_or_path) if is_parquet(spark, name_or_path) else spark.read.json(name_or_path, mode="FAILFAST")
     else:
         try:
             df = spark.table(name_or_path)
@@ -196,16 +221,12 @@ def read_table(spark: SparkSession, name_or_path: str, split: str | None = None)
     return df.where(F.col("split") == split)
 
 
-def _is_parquet(spark: SparkSession, path: str) -> bool:
-    return path.endswith(".parquet") or any(path_exists(spark, f"{path.rstrip('/')}/{p}") for p in ("*.parquet", "*=*/*.parquet"))
-
-
 def read_pairs(
     spark: SparkSession, source: str, split: str = "train", fields: Fields = PAIR_FIELDS
 ) -> DataFrame:
     """A ``.json``/``.jsonl`` name or an existing path is a JSON pair file, read whole and strictly
     (with its row positions); a parquet path or anything else is a table, narrowed to ``split``."""
-    if path_exists(spark, source) and _is_parquet(spark, source):
+    if path_exists(spark, source) and is_parquet(spark, source):
         return read_table(spark, source, split)
     if source.endswith((".json", ".jsonl")) or path_exists(spark, source):
         require_fields(spark, source, fields.names, in_each=False)

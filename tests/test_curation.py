@@ -7,8 +7,9 @@ from test_quality import brute_force
 
 from pairloom.config import Fields, Generation, Selection
 from pairloom.operators.generation import attempts_of
+from pairloom.operators.sampling import shuffle
 from pairloom.operators.validate import FieldMappingError
-from pairloom.plans.curate import Curation, build_pairs, load_records, select_records
+from pairloom.plans.curate import Curation, build_pairs, load_accounted, load_records, select_records
 from pairloom.sources.records import read_pairs
 
 
@@ -128,6 +129,38 @@ def test_nothing_is_lost_without_a_count(spark, tmp_path):
     assert {r.line for r in spark.read.json(str(tmp_path / "out/malformed")).collect()} == {"{bad", '{"a":1} more'}
 
 
+def test_the_account_balances(spark, tmp_path):
+    """One parse for all kinds of rows, and counts of the same job."""
+    source = tmp_path / "faulty.jsonl"
+    good = [f'{{"instruction":"question {i}","output":"{"long answer " * 9}{i}"}}' for i in range(20)]
+    source.write_text("\n".join([*good, "{bad", '{"instruction":" ","output":"x"}', '{"instruction":"y"}', "", '{"a":1} more']))
+    loaded, counts = load_accounted(spark, str(source), Fields(), str(tmp_path / "out"))
+    assert counts == {"read": 24, "malformed": 2, "blank": 2, "valid": 20} and loaded.count() == 20
+    assert "from_json" not in loaded._jdf.queryExecution().toString().lower()
+    arrays = tmp_path / "a.json"
+    arrays.write_text(f'[{",".join(good)}, {{"instruction":null,"output":"x"}}]')
+    loaded, counts = load_accounted(spark, str(arrays), Fields(), str(tmp_path / "out2"))
+    assert counts == {"read": 21, "malformed": 0, "blank": 1, "valid": 20} and loaded.count() == 20
+    empty = tmp_path / "e.jsonl"
+    empty.write_text("\n")
+    assert load_accounted(spark, str(empty), Fields(), str(tmp_path / "out3"))[1] == {"read": 0, "malformed": 0, "blank": 0, "valid": 0}
+    spark.createDataFrame([("q", "a"), (" ", "a")], "instruction string, output string").write.parquet(str(tmp_path / "t"))
+    assert load_accounted(spark, str(tmp_path / "t"), Fields(), str(tmp_path / "out4"))[1] == {"read": 2, "malformed": 0, "blank": 1, "valid": 1}
+
+
+def test_the_pair_file_is_in_the_seeded_order(spark, source, tmp_path):
+    out = str(tmp_path / "run")
+    build_pairs(spark, source, out, CFG, make_generator_for(inner_reply()))
+    classified = spark.read.parquet(f"{out}/classified").where("outcome = 'ok'")
+    want = [r.prompt for r in shuffle(classified, "id", Selection().seed).collect()]
+    lines = [json.loads(x)["prompt"] for p in sorted((tmp_path / "run/pairs.jsonl").glob("part-*")) for x in p.read_text("utf-8").splitlines()]
+    assert lines == want and len(want) > 10
+    # The job's own table, and its pair file under a name that says nothing, are read by path.
+    assert load_records(spark, f"{out}/classified", Fields("prompt", "chosen")).count() == 102
+    (tmp_path / "run/pairs.jsonl").rename(tmp_path / "run/pairs")
+    assert load_records(spark, f"{out}/pairs", Fields("prompt", "chosen")).count() == len(want)
+
+
 def test_resume_refuses_another_source(spark, source, tmp_path):
     out, other = str(tmp_path / "run"), tmp_path / "other.jsonl"
     build_pairs(spark, source, out, CFG, make_generator_for(inner_reply()))

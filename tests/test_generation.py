@@ -200,6 +200,26 @@ def test_a_broken_run_takes_nothing_from_the_one_before(spark, tmp_path):
     assert [p.name for p in (tmp_path / "out").glob("run-*")] == [kept.run] and len(contents(make_generator=replying("D"), resume=True)) == 40
 
 
+def test_progress_counts_committed_waves(spark, tmp_path):
+    names, out = [f"n{i}" for i in range(40)], str(tmp_path / "out")
+    assert G.progress(spark, out).count() == 0
+    cfg = Generation(waves=4, **FAST)
+    G.generate_to_table(spark, prompts(spark, names), stub(), out, cfg, max_waves=3)
+    rows = G.progress(spark, out).orderBy("wave").collect()
+    assert len(rows) == 3 and [r.attempts for r in rows] == [r.prompts for r in rows]
+    assert [r.prompts_so_far for r in rows] == [sum(x.prompts for x in rows[: i + 1]) for i in range(3)]
+    G.generate_to_table(spark, prompts(spark, names), stub(), out, cfg, resume=True)
+    last = G.progress(spark, out).orderBy(F.desc("wave")).first()
+    assert (last.prompts_so_far, last.attempts_so_far) == (40, 40)
+
+
+def test_responses_by_prompt(spark):
+    records = spark.createDataFrame([(1, "ask"), (2, "ask"), (3, "other"), (4, None)], "id int, prompt string")
+    log = spark.createDataFrame([(" ask\n", 1, " late "), ("ask", 0, None), ("nobody", 0, "x"), (None, 0, "y")], "prompt string, attempt int, content string")
+    found = {r.id: r.rejected for r in G.attach_by_prompt(records, log).collect()}
+    assert found == {1: "late", 2: "late", 3: None, 4: None}
+
+
 def test_two_runs_in_one_folder(spark, tmp_path):
     out = str(tmp_path / "out")
     first = runs.begin(spark, out, "job-a")
