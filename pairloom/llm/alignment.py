@@ -33,7 +33,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pairloom.llm.bpe import Vocabulary
 from pairloom.llm.shared import whole, written
 from pairloom.llm.token_counts import byte_symbols
-from pairloom.llm.words import steps
+from pairloom.llm.words import byte_ranges, steps
 
 #: Bytes of the range of one fragment; longer texts are described by several.
 RANGE = 1 << 16
@@ -321,13 +321,6 @@ def _aligner(held) -> Aligner:
     return _HELD["made"]
 
 
-def _ranges(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
-    """Ranges of rows whose sizes add up to about the limit."""
-    part = np.cumsum(sizes) // limit
-    edges = np.concatenate(([0], np.flatnonzero(np.diff(part)) + 1, [len(sizes)])).tolist()
-    yield from ((a, b) for a, b in zip(edges, edges[1:]) if b > a)
-
-
 def _batch_columns(batch: int, made: list[tuple]) -> list[list]:
     """The values of _RESULTS and _INNER for the texts of one batch; its distinct pairs are on the first row."""
     of, codes = pd.factorize(np.concatenate([m[4] for m in made]), sort=True)
@@ -373,7 +366,7 @@ def aligned_tokens(docs: DataFrame, one: str, other: str, text: str = "text") ->
         number = (TaskContext.get().partitionId()) << 32
         for batch in batches:
             aligner, column = _aligner(held), batch.column(batch.num_columns - 1)
-            for a, b in _ranges(pc.binary_length(column).to_numpy(), BATCH_BYTES):
+            for a, b in byte_ranges(pc.binary_length(column).to_numpy(), BATCH_BYTES):
                 texts = column.slice(a, b - a).to_pylist()
                 made = [m for x, y in steps(texts, STEP) for m in aligner.whole_texts(texts[x:y])]
                 values = [pa.array(v, k.type) for v, k in zip(_batch_columns(number, made), kinds)]

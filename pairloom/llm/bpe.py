@@ -19,16 +19,21 @@ from functools import cache
 from itertools import chain
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from pairloom.llm.shared import add_columns, whole
-from pairloom.llm.words import steps
+from pairloom.llm.shared import whole
+from pairloom.llm.words import byte_ranges, steps
 
-#: Slices whose merges a task keeps.
-CACHED = 400_000
+#: Characters of the slices whose merges a task keeps (some 100 MB with them), and of one such slice.
+CACHED = 4_000_000
+LONGEST_CACHED = 128
+#: Bytes of texts that are encoded, and whose tokens are sent, at a time.
+SENT = 1 << 21
 
 # Classes of code points, and the symbols that the automaton reads: a class, or what lies ahead of it.
 _LETTER, _NUMBER, _OTHER, _SPACE = range(4)
@@ -163,6 +168,7 @@ class Vocabulary:
                     self.pairs[a << 32 | b] = i
         self.single = [self.ranks.get(bytes([i])) for i in range(256)]
         self.cached: dict[str, tuple[int, ...]] = {}
+        self.cached_chars = 0
 
     def merge(self, piece: bytes) -> tuple[int, ...]:
         """The ids of a slice: of all neighbours, those with the lowest rank are merged, the leftmost first."""
@@ -213,15 +219,19 @@ class Vocabulary:
             points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
             resets = np.cumsum([len(t) + 1 for t in texts[a:b]]) - 1
             marks = np.flatnonzero(slice_starts(points, resets))
-            if len(cached) > CACHED:
+            if self.cached_chars > CACHED:
                 cached.clear()
+                self.cached_chars = 0
             marks = marks.tolist()
             ids = []
             for x, y in zip(marks, marks[1:] + [len(joined)]):
                 piece = joined[x:y]
                 got = cached.get(piece)
                 if got is None:
-                    got = cached[piece] = self.merge(piece.encode("utf-8", "replace"))
+                    got = self.merge(piece.encode("utf-8", "replace"))
+                    if y - x <= LONGEST_CACHED:
+                        cached[piece] = got
+                        self.cached_chars += y - x
                 ids.append(got)
             at = np.concatenate(([0], np.searchsorted(marks, resets) + 1)).tolist()
             for d in range(b - a):  # the last slice of each text is the line feed that parts it from the next
@@ -247,33 +257,47 @@ def _vocabulary(held) -> Vocabulary:
     return _HELD["made"]
 
 
-def encode(docs: DataFrame, vocabulary: str, text: str = "text", arrays: bool = True, digests: bool = False) -> DataFrame:
-    """docs without the text but with n_tokens; with arrays, ids (array of ids) and offsets (byte places of the tokens,
-    one more than ids); with digests, ids_sha256 (ids as little-endian unsigned 32-bit integers) and decoded_sha256 (the
-    bytes decoded from them).
+def encode(
+    docs: DataFrame, vocabulary: str, text: str = "text", arrays: bool = True, digests: bool = False, offsets: bool = True
+) -> DataFrame:
+    """docs without the text but with n_tokens; with arrays, ids (array of ids) and, with offsets too, offsets (byte places of
+    the tokens, one more than ids); with digests, ids_sha256 (ids as little-endian unsigned 32-bit integers) and
+    decoded_sha256 (the bytes decoded from them).
 
     vocabulary is a file of `base64 rank` lines on the driver; it has a fixed size and is broadcast.
-    Null counts as empty; an empty text has no tokens; texts of any length are encoded whole. Other columns
-    remain; none may be named like a result. One narrow pass, no shuffle.
+    Null counts as empty; an empty text has no tokens; texts of any length are encoded whole; equal rows have equal results, an
+    empty table gives an empty one. Other columns remain; one named like a result is an error. One narrow pass, no
+    shuffle; a task holds the tokens of some texts at a time, or of one long text.
     """
     with open(vocabulary, "rb") as f:
         held = docs.sparkSession.sparkContext.broadcast(f.read())
-    added = ["n_tokens long"] + ["ids array<int>, offsets array<long>"] * arrays + ["ids_sha256 string, decoded_sha256 string"] * digests
-
-    def run(texts):
-        vocab, rows = _vocabulary(held), []
+    added = ["n_tokens long"] + ["ids array<int>"] * arrays + ["offsets array<long>"] * (arrays and offsets) + ["ids_sha256 string, decoded_sha256 string"] * digests
+    rest = [f for f in docs.schema.fields if f.name != text]
+    schema = T.StructType(rest + T._parse_datatype_string(", ".join(added)).fields)
+    clash = {f.name for f in rest} & {f.name for f in schema.fields[len(rest) :]}
+    if clash:
+        raise ValueError(f"The columns {sorted(clash)} are there already")
+    kinds = list(to_arrow_schema(schema))[len(rest) :]
+
+    def values(vocab: Vocabulary, texts: list[str]) -> list:
+        rows = []
         for ids in vocab.encode(texts):
             at = vocab.offsets(ids)
-            row = [len(ids)]
-            if arrays:
-                row += [ids.astype(np.int32), at]
+            row = [len(ids)] + [ids.astype(np.int32)] * arrays + [at] * (arrays and offsets)
             if digests:
                 row += [hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(vocab.decode(ids, at)).hexdigest()]
             rows.append(row)
-        return list(zip(*rows)) if rows else [[]] * (1 + 2 * arrays + 2 * digests)
+        return list(zip(*rows))
+
+    def run(batches):
+        vocab = _vocabulary(held)
+        for batch in batches:
+            texts = batch.column(batch.num_columns - 1)
+            for a, b in byte_ranges(pc.binary_length(texts).to_numpy(), SENT):
+                made = [pa.array(v, k.type) for v, k in zip(values(vocab, texts.slice(a, b - a).to_pylist()), kinds)]
+                yield pa.RecordBatch.from_arrays([c.slice(a, b - a) for c in batch.columns[:-1]] + made, names=schema.names)
 
-    rest = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != text], F.col(text).alias("_source"))
-    return add_columns(rest, whole(F.col("_source")), run, ", ".join(added)).drop("_source")
+    return docs.select(*[F.col(f"`{f.name}`") for f in rest], whole(F.col(text)).alias("_whole_text")).mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:

@@ -74,16 +74,29 @@ def with_membership(df: DataFrame, column: str, held: DataFrame, flag: str, bits
     )
 
 
+def _parted(df: DataFrame, named: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of df whose key is surely not among named, and those whose key may be. A bit filter of fixed size lets
+    most rows pass where they are."""
+    held = membership(named.select(F.xxhash64(F.col(key)).alias("_h")), "_h")
+    marked = with_membership(df.withColumn("_key_hash", F.xxhash64(F.col(key))), "_key_hash", held, "_named")
+    return marked.where("not _named").select(df.columns), marked.where("_named").select(df.columns)
+
+
 def without(df: DataFrame, dropped: DataFrame, key: str) -> DataFrame:
-    """The rows of df whose key is not among dropped (one column of that name); null keys stay. A bit filter of fixed size
-    lets most rows pass where they are; only those it names are joined, by merging at any size."""
+    """The rows of df whose key is not among dropped (one column of that name); null keys stay. Only rows
+    that the filter names are joined, by merging at any size."""
     gone = written(dropped.where(F.col(key).isNotNull()).distinct(), "dropped")
-    marked = with_membership(
-        df.withColumn("_key_hash", F.xxhash64(F.col(key))), "_key_hash", membership(gone.select(F.xxhash64(F.col(key)).alias("_h")), "_h"), "_named"
-    )
-    passed = marked.where("not _named").select(df.columns)
-    named = marked.where("_named").select(df.columns).join(gone.hint("merge"), key, "left_anti")
-    return passed.unionByName(named.select(df.columns))
+    passed, named = _parted(df, gone, key)
+    return passed.unionByName(named.join(gone.hint("merge"), key, "left_anti").select(df.columns))
+
+
+def one_of_repeated(df: DataFrame, repeated: DataFrame, key: str) -> DataFrame:
+    """df with one row for each key among repeated (one column of that name), and all rows with other keys. Only rows that the
+    filter names are shuffled."""
+    held = written(repeated, "repeated")
+    passed, named = _parted(df, held, key)
+    once = named.join(held.hint("merge"), key, "left_semi").dropDuplicates([key])
+    return passed.unionByName(named.join(held.hint("merge"), key, "left_anti").select(df.columns)).unionByName(once.select(df.columns))
 
 
 def _fields(added: str) -> list[T.StructField]:

@@ -47,6 +47,13 @@ def steps(texts: list, limit: int = STEP_CHARS) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
+def byte_ranges(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges of texts whose sizes in bytes add up to about the limit."""
+    part = np.cumsum(sizes) // limit
+    edges = np.concatenate(([0], np.flatnonzero(np.diff(part)) + 1, [len(sizes)])).tolist()
+    yield from ((a, b) for a, b in zip(edges, edges[1:]) if b > a)
+
+
 def words_of(texts: list[str], lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]:
     """(hashes, offsets, starts, ends, data): 64-bit hashes of the words `[^\\x20\\x09-\\x0D]+` of all texts,
     where each text's words begin (one more entry than texts), and the words' places in the bytes data.

@@ -120,6 +120,9 @@ def test_bpe_table(spark, sf_dir, odd, empty, documents, encoding):
     whole = [(r.doc_id, r.text or "", r.lang) for r in odd.collect()]
     assert Counter((r.doc_id, r.text, r.lang) for r in back.collect()) == Counter(whole)
     assert bpe.encode(empty.drop("n_tokens"), path).count() == 0
+    assert bpe.encode(odd.select("doc_id", "text"), path, offsets=False).columns == ["doc_id", "n_tokens", "ids"]
+    with pytest.raises(ValueError, match="n_tokens"):
+        bpe.encode(odd, path)
 
 
 # 3 private data
