@@ -2,8 +2,8 @@
 
 Each stage works on all that the one before has kept, and its result is written and read again. STAGES are
 (name, function); a function takes (spark, docs, sf_dir) and returns the documents that stay, with the columns of
-documents; the last one returns their tokens. Null, empty and repeated rows, clashing columns and empty tables are handled as
-the operators say.
+documents; the last one returns their tokens. Null and empty texts, null and repeated ids, repeated rows and empty tables are handled
+as the stages and operators say; the tables have the columns of documents and no others.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pairloom.llm.decontaminate import find_leaks
 from pairloom.llm.line_dedup import drop_frequent_lines
 from pairloom.llm.ngram_join import similarity_components
 from pairloom.llm.queries import bpe_ranks, table
-from pairloom.llm.shared import shared_path, without
+from pairloom.llm.shared import one_of_repeated, shared_path, without, written
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,23 +31,33 @@ def rare_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 
 
+def _named(docs: DataFrame) -> DataFrame:
+    """docs with `_row`, 128 bits of the row's whole content: rows are told apart by it, as ids may be null or repeated."""
+    content = [x for c in docs.columns for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
+    return docs.withColumn("_row", F.concat_ws("-", F.xxhash64(*content).cast("string"), F.xxhash64(F.lit(1), *content).cast("string")))
+
+
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by near likeness the one with the smallest doc_id stays; of wholly repeated rows, one."""
-    groups = similarity_components(docs, size=5, similarity=(80, 100))
-    kept = without(docs, groups.where("doc_id != component_id").select("doc_id"), "doc_id")
-    counts = kept.agg(F.count("doc_id").alias("n"), F.count_distinct("doc_id").alias("d")).first()
-    return kept if counts["n"] == counts["d"] else kept.dropDuplicates()
+    """Of rows linked by near likeness the one with the smallest doc_id stays (null counts as greatest, ties go by content); of
+    wholly repeated rows, one. Rows go by themselves, not by their ids, so a repeated id loses no other text."""
+    named = _named(docs)
+    place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "_row").alias("place")
+    groups = written(similarity_components(named.select(place, "text"), key="place", size=5, similarity=(80, 100)), "groups")
+    kept = without(named, groups.where("place != component_id").select("place._row"), "_row")
+    repeated = groups.where("place = component_id").groupBy("place._row").count().where("count > 1").select("_row")
+    return one_of_repeated(kept, repeated, "_row").select(docs.columns)
 
 
 def no_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold an item of the benchmark go."""
-    leaks = find_leaks(docs, table(spark, sf_dir, "benchmark"))
-    return without(docs, leaks.select("doc_id"), "doc_id")
+    """Rows that hold an item of the benchmark go."""
+    named = _named(docs)
+    leaks = find_leaks(named.select("_row", "text"), table(spark, sf_dir, "benchmark"), key="_row")
+    return without(named, leaks.select("_row"), "_row").select(docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Tokens of every document, and the digests of its ids and of the bytes decoded from them."""
-    made = bpe.encode(docs, bpe_ranks(), arrays=True, digests=True)
+    made = bpe.encode(docs, bpe_ranks(), digests=True, offsets=False)
     return made.select("doc_id", "lang", "source", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
 
 
