@@ -60,3 +60,16 @@ def test_odd_tables(spark, sf_dir):
         assert stage(spark, docs.where("false"), sf_dir).count() == 0
     near = corpus_pipeline.one_of_each(spark, odd, sf_dir).collect()
     assert sum(r.doc_id == 3 for r in near) <= 1
+
+
+def test_rows_go_by_themselves(spark, sf_dir):
+    """A repeated id loses no other text; of copies the smallest id stays, a null one only if there is no other; one of repeated rows."""
+    texts = {c: " ".join(f"{c}{i}" for i in range(40)) for c in "abcdef"}
+    ids = [(5, "a"), (5, "b"), (3, "b"), (None, "c"), (9, "c"), (None, "d"), (None, "d"), (7, "e"), (7, "e"), (None, None), (None, None), (4, None)]
+    rows = [(i, texts.get(t), "en", "s", 1) for i, t in ids]
+    docs = spark.createDataFrame(rows, spark.read.parquet(f"{sf_dir}/documents.parquet").schema)
+    kept = Counter((r.doc_id, (r.text or "")[:1]) for r in corpus_pipeline.one_of_each(spark, docs, sf_dir).collect())
+    assert kept == Counter([(5, "a"), (3, "b"), (9, "c"), (None, "d"), (7, "e"), (None, ""), (4, "")])
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").first().text
+    docs = spark.createDataFrame([(5, texts["a"], "en", "s", 1), (5, f"{texts['b']} {item} {texts['b']}", "en", "s", 1), (None, item, None, None, None)], docs.schema)
+    assert [(r.doc_id, r.text) for r in corpus_pipeline.no_leaks(spark, docs, sf_dir).collect()] == [(5, texts["a"])]
