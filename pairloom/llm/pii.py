@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from pairloom.llm.shared import whole, written
 
+#: Attempts that keep the length of what they replace, and attempts altogether.
+EQUALLY_LONG, ATTEMPTS = 4, 40
 TYPES = ("email", "secret", "ip", "phone", "card", "name")
 _TITLES = {
     "m": "Mr Herr Monsieur Señor Signor Sr Don Господин",
@@ -33,7 +35,8 @@ FAMILY = {
     "latin": "Abbott Becker Costa Dupont Engel Ferrer Girard Hansen Iglesias Jensen Keller Lambert Moreau Navarro Ortega Petit Quint Roth Serrano Thorne Ulrich Vidal Weber Young Zeller".split(),
     "cyrillic": "Абрамов Беляев Волков Громов Дроздов Ершов Жуков Зимин Котов Лебедев".split(),
 }
-_EMAIL = r"(?<![\w.+-])[\w+-][\w.+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+# No group in a pattern is repeated without bound: the matcher would go deeper with every repetition.
+_EMAIL = r"(?<![\w.+-])[\w+-][\w.+-]*@[A-Za-z0-9-][A-Za-z0-9.-]*\.[A-Za-z]{2,}"
 _SECRET = r"(?<=[\"'`=: ])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64}|(?:sk|pk|ghp|gho|xox[abp])[-_][A-Za-z0-9_-]{16,64}|AKIA[0-9A-Z]{16})(?![0-9A-Za-z])"
 _IP = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)"
 _PHONE = r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<![\w-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])"
@@ -106,10 +109,13 @@ def _pick(words: list[str], n: Column) -> Column:
     return F.get(F.array(*[F.lit(w.lower()) for w in words]), n)
 
 
-def surrogate(key: str, kind: Column, form: Column, gender: Column, attempt: Column) -> Column:
-    """The keyed surrogate of a canonical form, of the same type, length of numbers, gender and script."""
-    digest = F.sha2(F.concat_ws("\x1f", F.lit(key), kind, form, attempt.cast("string")), 256)
-    mail = F.concat(_letters(digest, F.substring_index(form, "@", 1)), F.lit("@"), F.substring_index(form, "@", -1))
+def surrogate(key: str, kind: Column, form: Column, gender: Column, attempt: int) -> Column:
+    """The keyed surrogate of a canonical form, of the same type, length of numbers, gender and script. Attempts after the first
+    few make local parts and numbers longer, as all short ones may be taken."""
+    longer = max(0, attempt - EQUALLY_LONG + 1) * 2
+    digest = F.sha2(F.concat_ws("\x1f", F.lit(key), kind, form, F.lit(str(attempt))), 256)
+    local = F.concat(F.substring_index(form, "@", 1), F.lit("a" * longer))
+    mail = F.concat(_letters(digest, local), F.lit("@"), F.substring_index(form, "@", -1))
     address = F.concat_ws(".", *[(F.lit(1) + _number(digest, 8 * i, 254)).cast("string") for i in range(4)])
     script = F.when(form.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
     family, given = F.lit(None), F.lit(None)
@@ -118,10 +124,10 @@ def surrogate(key: str, kind: Column, form: Column, gender: Column, attempt: Col
         for g in GIVEN:
             given = F.when((script == s) & (gender == g), _pick(GIVEN[g][s], _number(digest, 16, len(GIVEN[g][s])))).otherwise(given)
     # Later attempts add an initial, so that names never run out: the lists are short, the entities are not.
-    tail = F.when(attempt > 0, F.concat(F.lit("-"), _letters(digest, F.lit("aaaaaa")))).otherwise("")
+    tail = F.concat(F.lit("-"), _letters(digest, F.lit("aaaaaa"))) if attempt else F.lit("")
     name = F.when(form.contains(" "), F.concat_ws(" ", given, F.concat(family, tail))).otherwise(F.concat(family, tail))
     # The country code of a phone number and the kind of a card stay, as do a secret's prefix and an address's host.
-    number = F.concat(F.substring(form, 1, 1), _letters(digest, F.expr("substring(_form, 2)")))
+    number = F.concat(F.substring(form, 1, 1), _letters(digest, F.concat(F.expr("substring(_form, 2)"), F.lit("0" * longer))))
     return (
         F.when(kind == "email", mail)
         .when(kind == "ip", address)
@@ -142,6 +148,8 @@ def formatted(kind: Column, found: Column, replacement: Column) -> Column:
         ),
         "",
     )
+    # A number that had to be longer goes on behind the place's last digit.
+    digits = F.concat(digits, F.when(kind.isin("phone", "card"), F.substring(replacement, F.length(F.regexp_replace(found, r"\D", "")) + F.lit(1), F.lit(64))).otherwise(""))
     title = F.regexp_extract(found, r"^\p{L}+\.? ", 0)
     rest = F.regexp_replace(found, r"^\p{L}+\.? ", "")
     name = F.concat(title, F.when(F.upper(rest) == rest, F.upper(replacement)).otherwise(F.initcap(replacement)))
@@ -163,7 +171,7 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
     forms = todo.select("_kind", F.col("_form").alias("_surrogate"))
     settled, attempt = None, 0
     while True:
-        drawn = todo.withColumn("_surrogate", surrogate(key, F.col("_kind"), F.col("_form"), F.col("_gender"), F.lit(attempt)))
+        drawn = todo.withColumn("_surrogate", surrogate(key, F.col("_kind"), F.col("_form"), F.col("_gender"), attempt))
         free = drawn.join(forms, ["_kind", "_surrogate"], "left_anti")
         if settled is not None:
             free = free.join(settled.select("_kind", "_surrogate"), ["_kind", "_surrogate"], "left_anti")
@@ -174,6 +182,8 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
         if todo.isEmpty():
             return settled
         attempt += 1
+        if attempt == ATTEMPTS:
+            raise RuntimeError(f"No free surrogates were found for some entities in {ATTEMPTS} attempts")
 
 
 def replace_private_data(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
