@@ -49,6 +49,17 @@ TEMPLATES = (
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
 )
 _WORD = re.compile(r"\w+(?:[.-]\w+)*")
+#: Words that name a licence, a version or a condition: a text and a template that differ in one of them are not of one licence.
+_DECIDING = frozenset(
+    """mit bsd isc x11 apache mozilla mpl gnu gpl lgpl agpl lesser library affero eclipse epl boost zlib unlicense cddl eupl artistic python
+    postgresql openssl microsoft academic cc cc0 creative commons attribution noncommercial non-commercial sharealike share-alike
+    noderivatives no-derivatives noderivs nc nd sa 2-clause 3-clause 4-clause""".split()
+)
+_DECIDING_FORM = re.compile(r"v?\d+(?:\.\d+)*|by(?:-(?:nc|nd|sa))*")
+
+
+def is_deciding(word: str) -> bool:
+    return word in _DECIDING or _DECIDING_FORM.fullmatch(word) is not None
 
 
 def _words(text: str) -> list[str]:
@@ -115,6 +126,16 @@ class Scanner:
                 self.seeds.setdefault(w, []).append(i)
         self.any = re.compile("|".join(sorted(map(re.escape, self.seeds), key=len, reverse=True)))
 
+    @staticmethod
+    def _agrees(words: list[str], own: list[str], pairs: list[tuple[int, int]], least: float) -> bool:
+        """Is all that tells the licence aligned, and is little inserted between the aligned words?"""
+        first, last = pairs[0][0], pairs[-1][0]
+        if len(pairs) < least * (last + 1 - first):
+            return False
+        here, there = {i for i, _ in pairs}, {j for _, j in pairs}
+        left = [w for i, w in enumerate(words[first : last + 1], first) if i not in here] + [w for j, w in enumerate(own) if j not in there]
+        return not any(map(is_deciding, left))
+
     def find(self, text: str, least: float) -> list[tuple[str, float, int, int, int, int]]:
         """(name, coverage, first and last word, first and last character) of each place; where places overlap the one with
         the most aligned words, then the highest coverage, then the first template."""
@@ -135,7 +156,7 @@ class Scanner:
                     tried.add((i, x, y))
                     pairs = patience_align(words[x:y], own)
                     share = len(pairs) / len(own)
-                    if share >= least:
+                    if share >= least and self._agrees(words[x:y], own, pairs, least):
                         found.append((-len(pairs), -share, i, x + pairs[0][0], x + pairs[-1][0]))
         out, taken = [], []
         for _, share, i, a, b in sorted(found):
@@ -148,7 +169,8 @@ class Scanner:
 def find_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text", templates=TEMPLATES, least: float = 0.8) -> DataFrame:
     """One row per place of a licence in a row of docs: key, license, coverage, first_word, last_word, first_char, last_char.
 
-    A place counts from a coverage of `least` on. Null and empty texts have none; repeated rows and repeated mentions
+    A place counts from a coverage of `least` on, if words that name a licence, a version or a condition are the same on both sides
+    and as many of the place's words are aligned. Long texts are searched whole; an empty table gives an empty one. Null and empty texts have none; repeated rows and repeated mentions
     give a row each; places of one text do not overlap. The templates (names and texts) are a parameter of fixed size.
     """
     def run(texts):
