@@ -162,6 +162,28 @@ def test_surrogates_stay_apart(spark):
     assert not {(r._kind, r._surrogate) for r in rows} & {(r._kind, r._form) for r in rows}
 
 
+def test_long_runs_do_not_overflow(spark):
+    """Every pattern on texts that repeat what it repeats, 100 kB each."""
+    texts = [f"x@{'ab.' * 33_000}com", "a." * 50_000 + "@b.com", "x@" + "a-" * 50_000, "1.2.3." * 17_000, "+49 12 " * 14_000, "1234-" * 20_000, "Dr Ab " * 17_000,
+             "Dr " + "A'" * 50_000, "sk-" + "a" * 100_000, "0" * 100_000, "(12) 345 " * 11_000, "ab1" * 33_000]
+    rows = pii.replace_private_data(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), "k").collect()
+    assert len(rows) == len(texts) and all(r.text for r in rows)
+    assert "ab.ab.com" in next(r.text for r in rows if r.doc_id == 0) and next(r.text for r in rows if r.doc_id == 0) != texts[0]
+
+
+def test_surrogates_where_all_short_ones_are_taken(spark):
+    """All one-letter addresses of a host, and all numbers of a short form, still get surrogates that no one else has."""
+    mails = [(f"{c}@x.org",) for c in "abcdefghijklmnopqrstuvwxyz"]
+    rows = pii.replace_private_data(spark.createDataFrame([(i, f"write to {m}") for i, (m,) in enumerate(mails)], "doc_id int, text string"), "k").collect()
+    new = {r.text.removeprefix("write to ") for r in rows}
+    assert len(new) == 26 and not new & {m for (m,) in mails} and all(re.fullmatch(r"[a-z]+@x\.org", m) for m in new)
+    forms = spark.createDataFrame([("phone", f"1{i}", None) for i in range(10)], "_kind string, _form string, _gender string")
+    got = pii.surrogates(forms, "k").collect()
+    assert len({r._surrogate for r in got}) == 10 and not {r._surrogate for r in got} & {r._form for r in got}
+    shown = spark.createDataFrame([("phone", "(12) 3", "1945678")], "k string, found string, new string")
+    assert shown.select(pii.formatted(F.col("k"), F.col("found"), F.col("new"))).first()[0] == "(19) 45678"
+
+
 def test_no_private_data_left(spark, sf_dir, documents):
     found = re.compile(r"[\w.]+@mail\S*\.com|\+1 \(\d{3}\) 555-\d{4}|(?<![\w.])\d{16}(?!\w)|(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d.])|(?<=\")[0-9a-fA-F]{40}(?=\")")
     got = {r.doc_id: r for r in queries.QUERIES["op3_private_data"](spark, sf_dir).collect()}
@@ -199,6 +221,11 @@ def test_licenses(spark, sf_dir, odd, empty, documents):
     (row,) = scanner.find("intro words\n" + changed + "\nend", 0.8)
     assert row[0] == "MIT" and 0.8 < row[1] < 1
     assert not scanner.find("we work under pressure, by a version of the license", 0.8)
+    for line in ("Licensed under the BSD License.", "Released under the ISC License.", "licensed under the Mozilla Public License.", "Licensed under the Apache License, Version 1.1.",
+                 "This work is licensed under the GNU Lesser General Public License, version 3.", "This work is licensed under the GNU General Public License, version 2.",
+                 "Licensed under CC BY-ND 4.0.", "Licensed under CC BY-NC-SA 4.0.", "Licensed under CC BY 3.0.", "This work is licensed under a Creative Commons Attribution 3.0 International License.",
+                 licenses._GPL.replace("version 3", "version 2"), licenses._GPL.replace("GNU", "GNU Lesser"), licenses._APACHE.replace("2.0", "1.1")):
+        assert scanner.find(line, 0.8) == [], line
     rows = licenses.find_licenses(odd.drop("license")).collect()
     assert [(r.doc_id, r.license) for r in rows] == [(14, "MIT")] and licenses.find_licenses(empty).count() == 0
 
