@@ -93,11 +93,11 @@ def generation_requests(spark, sf_dir):
 @query(
     "request_bodies",
     S.with_(S.SFT_CONV)
-    + """SELECT id, '{"model":"llama-3.2-1b-instruct","messages":[{"role":"user","content":"' || id
-      || '"}],"temperature":0.7,"max_tokens":256,"top_p":0.9}' AS body FROM sft_conv""",
+    + """SELECT id, '{"model":"llama-3.2-1b-instruct","messages":[{"role":"user","content":' || CAST(to_json(instruction) AS VARCHAR)
+      || '}],"temperature":0.7,"max_tokens":256,"top_p":0.9}' AS body FROM sft_conv""",
 )
 def request_bodies(spark, sf_dir):
-    body = F.to_json(G.request(F.col("id").cast("string"), SMOKE_REQUEST))
+    body = F.to_json(G.request(F.col("instruction"), SMOKE_REQUEST))
     return sft_conv(spark, sf_dir).select("id", body.alias("body"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-# The operating defaults that results depend on.
+# The operating defaults that results depend on, here and as defaults of the classes below.
 DEFAULT_SYSTEM = "You are a helpful assistant."
 SELECTION_SEED = 42
 TRAINING_SEED = 18072005
