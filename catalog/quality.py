@@ -192,7 +192,7 @@ def curation_job(spark, sf_dir):
     source, kind = scratch_path(spark, "instructions.jsonl"), F.col("id") % 9
     output = F.when(kind == 1, "  ").otherwise(F.col("output"))
     instruction = F.when(kind != 2, F.col("instruction"))
-    record = F.to_json(F.struct("id", instruction.alias("instruction"), output.alias("output")))
+    record = F.to_json(F.struct("id", instruction.alias("instruction"), output.alias("output")), {"ignoreNullFields": "false"})
     broken = F.concat(F.lit("{bad "), F.col("id").cast("string"))
     sft_docs(spark, sf_dir).select(F.when(kind == 0, broken).otherwise(record).alias("value")).write.text(source)
     log = responses(spark, sf_dir).withColumn("id", F.col("id").cast("string"))
