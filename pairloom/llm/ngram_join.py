@@ -36,7 +36,7 @@ from pairloom.llm.words import mix, shingles_of, steps, words_of
 DEALINGS = 6
 #: Signatures that a task gathers before it packs them, and that a bucket gets on average.
 GATHERED = 1 << 18
-BUCKET = 1_000_000
+BUCKET = 1 << 19
 #: Classes of a signature that are compared pair by pair at once, at most.
 FEW = 24
 #: From this size on, similar sets share two signatures.
@@ -192,7 +192,7 @@ def packed_signatures(docs: DataFrame, text: str, size: int, p: int, q: int, buc
 
 
 def _shared(pdf: pd.DataFrame) -> pd.DataFrame:
-    """(sign, class) of the signatures that several classes have, of one bucket."""
+    """(sign, class) of the signatures that several classes have, of one bucket; of a negative one, of all."""
     signs, owners = _unpacked(pdf)
     bucket = int(pdf["bucket"].iloc[0])
     if bucket >= 0:
@@ -209,16 +209,9 @@ def _shared(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def sharing_classes(packed: DataFrame) -> DataFrame:
-    """(sign, class) of all signatures that several classes have. What tasks have told at once needs no bucket."""
-    def told(batches):
-        for pdf in batches:
-            for i in range(len(pdf)):
-                yield _shared(pdf.iloc[i : i + 1])
-
-    schema = "sign long, class long"
-    return (
-        packed.where("bucket >= 0").groupBy("bucket").applyInPandas(_shared, schema).unionByName(packed.where("bucket < 0").mapInPandas(told, schema))
-    )
+    """(sign, class) of all signatures that several classes have. What tasks have told already goes through the same shuffle, in
+    groups of its own, so that signatures are made once and a task runs one Python worker."""
+    return packed.groupBy("bucket").applyInPandas(_shared, "sign long, class long")
 
 
 def class_sets(docs: DataFrame, text: str, size: int, wanted: DataFrame) -> DataFrame:
