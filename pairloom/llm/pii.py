@@ -35,8 +35,8 @@ FAMILY = {
     "latin": "Abbott Becker Costa Dupont Engel Ferrer Girard Hansen Iglesias Jensen Keller Lambert Moreau Navarro Ortega Petit Quint Roth Serrano Thorne Ulrich Vidal Weber Young Zeller".split(),
     "cyrillic": "Абрамов Беляев Волков Громов Дроздов Ершов Жуков Зимин Котов Лебедев".split(),
 }
-# No group is repeated without bound, as the matcher goes deeper with every repetition; a host has at most 127 labels.
-_EMAIL = r"(?<![\w.+-])[\w+-][\w.+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){0,125}\.[A-Za-z]{2,}"
+# The host's labels are a repeated group, by which the matcher goes deeper: see the README on hosts of thousands of labels.
+_EMAIL = r"(?<![\w.+-])[\w+-][\w.+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 _SECRET = r"(?<=[\"'`=: ])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64}|(?:sk|pk|ghp|gho|xox[abp])[-_][A-Za-z0-9_-]{16,64}|AKIA[0-9A-Z]{16})(?![0-9A-Za-z])"
 _IP = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)"
 _PHONE = r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<![\w-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])"
