@@ -1,15 +1,10 @@
-"""Similarity join of word-shingle sets by PartEnum signatures.
+"""Similarity join of word-shingle sets by their rarest shingles.
 
-Sets of similarity J of at least p / q differ by at most (q - p) / (q + p) of their sizes' sum. Sizes fall
-into bands, each q^2 / p^2 times as wide as its beginning; a set takes part in the instance of its own band and, if a
-similar set may be in the next band, in that one's. An instance with at most k differences deals the domain of shingles
-to n1 parts of three pieces each, n1 > k / 2: some part then has at most one difference, so two of its three pieces
-agree. Those three subsets of two pieces, for each part, are a set's signatures.
-
-A subset without any shingle says nothing. So instances have some parts more than needed, and a set with
-too many parts that have an empty subset is dealt again with other hashes; a pair can only be missed by a dealing if
-both its sets are in that state, and both are then dealt again. After the last dealing the empty subsets count too.
-In the larger bands one part more is kept, so that similar sets share at least two signatures.
+Sets of similarity p / q or more have at least p / q of each one's shingles in common. So if all sets are sorted in one order,
+and o of n shingles must be common, two similar sets share two of their first n - o + 2. These are a set's signatures. Any order
+gives all links; few sets share a signature if what is frequent comes last. So shingles are first counted in a table of fixed size, by
+slots that several may share: the order is by the slot's level, which tells how far its count is above the average,
+then by the shingle's hash. A passage that very many texts have is no signature of texts that say enough beside it.
 
 Signatures travel packed, many in a row, to buckets that number with the data; what many sets of one task share is
 sent once. What comes back are the classes of equal sets that share a signature. Of a signature with few classes all pairs
@@ -20,8 +15,6 @@ the shingles is at most that of the sets); every link is then decided by exact i
 
 from __future__ import annotations
 
-from functools import cache
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -32,15 +25,15 @@ from pairloom.llm.components import components
 from pairloom.llm.shared import add_columns, membership, whole, with_membership, written
 from pairloom.llm.words import mix, shingles_of, steps, words_of
 
-#: Dealings of the shingles for sets with too many empty subsets.
-DEALINGS = 6
-#: Signatures that a task gathers before it packs them, and that a bucket gets on average.
+#: Slots of the table of counts (a power of two), and of one piece of it.
+SLOTS, PIECE = 1 << 22, 1 << 15
+#: Signatures that a task gathers before it packs them; shingles of all texts for each bucket.
 GATHERED = 1 << 18
-BUCKET = 1 << 19
+BUCKET = 1 << 21
 #: Classes of a signature that are compared pair by pair at once, at most.
-FEW = 24
-#: From this size on, similar sets share two signatures.
-TWICE = 48
+FEW = 8
+#: Pairs for each row of what the leaders have left, up to which all are compared.
+LEFT = 24
 #: Places of a class's histogram.
 PLACES = 256
 #: Rounds with leaders before the rest is compared pair by pair, at most.
@@ -48,50 +41,17 @@ LEADER_ROUNDS = 6
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
 
-@cache
-def bands(p: int, q: int, top: int) -> list[tuple[int, int, int, int, int]]:
-    """(lowest size, highest size, differences, parts, parts that may have an empty subset) of each band up to size top."""
-    out, low = [], 1
-    while low <= top:
-        high = low * q * q // (p * p)
-        k = (q - p) * 2 * high // (q + p)
-        least, more = k // 2 + 1 + (low >= TWICE), 0
-        for _ in range(4):  # so many parts of the smallest sets here are expected to have an empty subset
-            size = max(1.0, 0.8 * low) / (least + more)
-            more = int(np.ceil((least + more) * 3 * np.exp(-2 * size / 3))) if least > 8 else 0
-        out.append((low, high, k, least + min(more, least), min(more, least)))
-        low = high + 1
-    return out
-
-
-def signatures(held: np.ndarray, p: int, q: int) -> list[np.ndarray]:
-    """The signatures of a set, given as distinct 64-bit hashes. Sets that could only be equal have none."""
-    size, found = len(held), []
-    if not size:
-        return found
-    reach = size * q // p
-    every = bands(p, q, 1 << max(10, (reach * 2).bit_length()))
-    own = next(i for i, b in enumerate(every) if b[0] <= size <= b[1])
-    for i in (own, own + 1) if reach > every[own][1] else (own,):
-        _, _, k, parts, more = every[i]
-        if not k:
-            continue
-        for dealing in range(DEALINGS):
-            x = mix(held + np.uint64((i * DEALINGS + dealing + 1) * 0x5851F42D4C957F2D & 2**64 - 1))
-            piece = ((x >> np.uint64(20)) % np.uint64(3 * parts)).astype(np.int64)
-            order = np.argsort(piece, kind="stable")
-            edges = np.searchsorted(piece[order], np.arange(3 * parts + 1))
-            total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(x[order]), dtype=np.uint64)))
-            sums = (total[edges[1:]] - total[edges[:-1]]).reshape(parts, 3)
-            filled = (np.diff(edges) > 0).reshape(parts, 3)
-            tag = (np.arange(parts, dtype=np.uint64) + np.uint64((i * DEALINGS + dealing) << 40))[:, None] * _ODD[2]
-            pairs = np.stack([mix(sums[:, a] * _ODD[0] + mix(sums[:, b]) * _ODD[1] + tag[:, 0] + np.uint64(a + 3 * b)) for a, b in ((0, 1), (0, 2), (1, 2))], axis=1)
-            full = np.stack([filled[:, a] | filled[:, b] for a, b in ((0, 1), (0, 2), (1, 2))], axis=1)
-            safe = int((~full).any(axis=1).sum()) <= more
-            found.append(pairs[full] if safe or dealing < DEALINGS - 1 else pairs.ravel())
-            if safe:
-                break
-    return found
+def signatures(held: np.ndarray, p: int, q: int, levels: np.ndarray | None = None) -> list[np.ndarray]:
+    """The signatures of a set, given as sorted distinct 64-bit hashes: its first shingles by level, then hash. Sets that could only be equal have none."""
+    n = len(held)
+    if n * q < p * (n + 1):  # another set has at least one shingle more or less
+        return []
+    first = min(n, n - -(-n * p // q) + 2)
+    if levels is not None:
+        level = levels[held & np.uint64(len(levels) - 1)]
+        if level.any():
+            held = held[np.argsort(level, kind="stable")]
+    return [mix(held[:first] + _ODD[2])]
 
 
 def _sets(texts: list[str], size: int):
@@ -122,6 +82,45 @@ def shingle_classes(docs: DataFrame, key: str, text: str, size: int) -> DataFram
     return add_columns(rows, whole(F.col("_source")), run, "_n long, _class long, _histogram binary").drop("_source")
 
 
+def _added(parts) -> np.ndarray:
+    total = np.zeros(PIECE, np.uint32)
+    for raw in parts:
+        held = np.frombuffer(raw, np.uint16 if len(raw) == 2 * PIECE else np.uint32)
+        total += np.minimum(held, 2**32 - 1 - total)
+    return total
+
+
+def shingle_levels(docs: DataFrame, text: str, size: int, total: int) -> np.ndarray:
+    """For each slot of shingles, 0 if its count in all texts is under four times the average (under 8 at least), then one more each time it doubles."""
+    usual = max(8.0, 4 * total / SLOTS)
+
+    def count(batches):
+        from pyspark import TaskContext
+
+        held = np.zeros(SLOTS, np.uint32)
+        for pdf in batches:
+            for one in _sets(pdf["_text"].to_list(), size):
+                held[(one & np.uint64(SLOTS - 1)).astype(np.int64)] += np.uint32(1)  # two of one set in a slot count as one
+        small = np.minimum(held, 65535).astype("<u2")
+        rows = [small[x : x + PIECE].tobytes() for x in range(0, SLOTS, PIECE)]
+        part = TaskContext.get().partitionId() // 64  # at most 64 tasks' pieces meet at first
+        yield pd.DataFrame({"part": np.full(len(rows), part, np.int32), "piece": np.arange(len(rows), dtype=np.int32), "counts": rows})
+
+    def some(pdf):
+        return pd.DataFrame({"piece": [pdf["piece"].iloc[0]], "counts": [_added(pdf["counts"]).tobytes()]})
+
+    def every(pdf):
+        level = np.clip(np.floor(np.log2(np.maximum(_added(pdf["counts"]), 1) / usual)) + 1, 0, 255)
+        return pd.DataFrame({"piece": [pdf["piece"].iloc[0]], "levels": [level.astype(np.uint8).tobytes()]})
+
+    texts = docs.select(whole(F.col(text)).alias("_text"))
+    one = texts.mapInPandas(count, "part int, piece int, counts binary").groupBy("part", "piece").applyInPandas(some, "piece int, counts binary")
+    levels = np.zeros(SLOTS, np.uint8)
+    for r in one.groupBy("piece").applyInPandas(every, "piece int, levels binary").collect():  # one byte for each slot
+        levels[r["piece"] * PIECE : (r["piece"] + 1) * PIECE] = np.frombuffer(r["levels"], np.uint8)
+    return levels
+
+
 def _groups(signs: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order of the rows by sign, and where in that order a sign begins."""
     order = np.argsort(signs)
@@ -169,7 +168,9 @@ def _pack(signs: np.ndarray, owners: np.ndarray, buckets: int) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["bucket", "signs", "owners", "which"])
 
 
-def packed_signatures(docs: DataFrame, text: str, size: int, p: int, q: int, buckets: int) -> DataFrame:
+def packed_signatures(docs: DataFrame, text: str, size: int, p: int, q: int, buckets: int, levels: np.ndarray) -> DataFrame:
+    order = docs.sparkSession.sparkContext.broadcast(levels)
+
     def run(batches):
         signs, owners, seen, n = [], [], set(), 0
         for pdf in batches:
@@ -178,7 +179,7 @@ def packed_signatures(docs: DataFrame, text: str, size: int, p: int, q: int, buc
                 if owner in seen:
                     continue
                 seen.add(owner)
-                for found in signatures(held, p, q):
+                for found in signatures(held, p, q, order.value):
                     signs.append(found)
                     owners.append(np.full(len(found), owner, np.int64))
                     n += len(found)
@@ -272,15 +273,24 @@ def _links(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
 
 
 def _pairs_of_few(pending: DataFrame, p: int, q: int) -> DataFrame:
-    """Candidates among the classes of each signature that has at most FEW: those that share as many signatures as
-    similar sets of their size do. A pair that also shares a signature of many classes is found there."""
+    """Candidates among the classes of each signature that has at most FEW: those that share two signatures, as similar
+    sets do if they must have two shingles in common. A pair that also shares a signature of many classes is found there."""
     few = pending.groupBy("sign").count().where((F.col("count") > 1) & (F.col("count") <= FEW)).select("sign")
     held = pending.join(few, "sign", "left_semi").groupBy("sign").agg(F.sort_array(F.collect_list(F.struct("class", "n"))).alias("x"))
     two = F.flatten(F.transform("x", lambda a, i: F.transform(F.slice("x", i + F.lit(2), F.lit(FEW)), lambda b: F.struct(a.alias("a"), b.alias("b")))))
     each = held.select(F.explode(two).alias("y")).select(F.col("y.a.class").alias("a"), F.col("y.b.class").alias("b"), F.col("y.a.n").alias("na"), F.col("y.b.n").alias("nb"))
-    least = next(low for low, *_ in bands(p, q, 1 << 10) if low >= TWICE)
     shared = each.groupBy("a", "b", "na", "nb").count()
-    return shared.where((F.col("count") > 1) | (F.greatest("na", "nb") < least)).drop("count")
+    return shared.where((F.col("count") > 1) | (p * F.greatest("na", "nb") <= q)).drop("count")
+
+
+def _pairs_with_leaders(large: DataFrame, turn: int, p: int, q: int) -> DataFrame:
+    """Pairs of the classes of signatures, (sign, class, root, n), with a leader of another component. Of its leaders,
+    each class is compared with the one it shares most signatures with."""
+    order = F.xxhash64(F.lit(turn), F.col("class"))
+    leaders = large.groupBy("sign").agg(F.min(F.struct(order.alias("o"), F.col("class"), F.col("root"), F.col("n"))).alias("l"))
+    led = large.join(leaders, "sign").where("root != l.root").groupBy(F.col("class").alias("a"), F.col("n").alias("na"), F.col("l.class").alias("b"), F.col("l.n").alias("nb")).count()
+    best = led.where(q * F.least("na", "nb") >= p * F.greatest("na", "nb")).groupBy("a", "na").agg(F.max(F.struct("count", "b", "nb")).alias("x"))
+    return best.select("a", F.col("x.b").alias("b"), "na", F.col("x.nb").alias("nb"))
 
 
 def _merge(roots: DataFrame, links: DataFrame) -> DataFrame:
@@ -309,7 +319,8 @@ def similarity_components(
     classes = filled.groupBy("class").agg(F.max("_n").alias("n"), F.min("_key").alias("_least"))
     total = base.agg(F.sum("_n")).first()[0] or 0
     buckets = max(8, -(-total // BUCKET))
-    shared = written(sharing_classes(packed_signatures(docs, text, size, p, q, buckets)), "op10-shared")
+    levels = shingle_levels(docs, text, size, total)
+    shared = written(sharing_classes(packed_signatures(docs, text, size, p, q, buckets, levels)), "op10-shared")
     involved = written(classes.join(shared.select("class").distinct(), "class", "left_semi").select("class", F.col("class").alias("root"), "n"), "op10-involved")
     sketches = written(filled.join(involved, "class", "left_semi").groupBy("class").agg(F.any_value("histogram").alias("histogram")), "op10-sketches")
     pending = written(shared.join(involved, "class"), "op10-pending")
@@ -320,10 +331,12 @@ def similarity_components(
         sets = written(class_sets(docs, text, size, wanted), "op10-sets")
         return _merge(roots, written(_links(likely, sets, p, q), "op10-links"))
 
-    roots = settle(involved, _pairs_of_few(pending, p, q))
     many = pending.groupBy("sign").count().where(F.col("count") > FEW).select("sign")
-    large = pending.select("sign", "class").join(many, "sign", "left_semi")
-    for turn in range(LEADER_ROUNDS + 1):
+    large = written(pending.join(many, "sign", "left_semi"), "op10-many")
+    # The first leaders are compared together with the pairs of few.
+    roots = settle(involved, _pairs_of_few(pending, p, q).unionByName(_pairs_with_leaders(large, 0, p, q)))
+    large = large.select("sign", "class")
+    for turn in range(1, LEADER_ROUNDS + 1):
         fresh = large.join(roots, "class")
         mixed = fresh.groupBy("sign").agg(F.min("root").alias("_x"), F.max("root").alias("_y")).where("_x != _y").select("sign")
         large = written(fresh.join(mixed, "sign", "left_semi"), "op10-large")
@@ -332,18 +345,12 @@ def similarity_components(
         left = parts.agg(F.sum((F.col("c") * F.col("c") - F.col("cc")) / 2).alias("pairs"), F.sum("c").alias("rows")).first()
         if not left["pairs"]:
             break
-        last = turn == LEADER_ROUNDS or left["pairs"] <= FEW * left["rows"]
-        if last:
+        if turn == LEADER_ROUNDS or left["pairs"] <= LEFT * left["rows"]:
             one = large.select("sign", F.col("class").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"))
             two = large.select("sign", F.col("class").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"))
             roots = settle(roots, one.join(two, "sign").where("ra < rb").select("a", "b", "na", "nb").distinct())
             break
-        order = F.xxhash64(F.lit(turn), F.col("class"))
-        leaders = large.groupBy("sign").agg(F.min(F.struct(order.alias("o"), F.col("class"), F.col("root"), F.col("n"))).alias("l"))
-        led = large.join(leaders, "sign").where("root != l.root").groupBy(F.col("class").alias("a"), F.col("n").alias("na"), F.col("l.class").alias("b"), F.col("l.n").alias("nb")).count()
-        # Of its leaders, each class is compared with the one it shares most signatures with.
-        best = led.where(q * F.least("na", "nb") >= p * F.greatest("na", "nb")).groupBy("a", "na").agg(F.max(F.struct("count", "b", "nb")).alias("x"))
-        roots = settle(roots, best.select("a", "na", F.col("x.b").alias("b"), F.col("x.nb").alias("nb")))
+        roots = settle(roots, _pairs_with_leaders(large, turn, p, q))
         large = large.select("sign", "class")
 
     every = classes.join(roots.select("class", "root"), "class", "left").withColumn("root", F.coalesce("root", "class"))

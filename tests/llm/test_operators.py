@@ -472,6 +472,19 @@ def test_signatures():
             assert len(np.intersect1d(x, y)) >= (2 if n >= 64 else 1)
 
 
+def test_signatures_are_few_and_rare(spark):
+    """A fifth of a set's shingles and two more, those first that few texts have."""
+    random = np.random.default_rng(6)
+    held = np.unique(random.integers(0, 2**63, 400).astype(np.uint64))
+    assert sum(len(x) for x in ngram_join.signatures(held, 80, 100)) == len(held) // 5 + 2
+    passage = " ".join(f"p{i}" for i in range(100))
+    rows = [(i, passage + " " + " ".join(f"w{i}x{k}" for k in range(60))) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    levels = ngram_join.shingle_levels(docs, "text", 5, 40 * 156)
+    packed = ngram_join.packed_signatures(docs, "text", 5, 80, 100, 8, levels)
+    assert ngram_join.sharing_classes(packed).count() == 0
+
+
 # What they share
 
 
