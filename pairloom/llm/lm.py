@@ -95,8 +95,11 @@ def slots(stream: np.ndarray, begins: np.ndarray, code, order: np.ndarray | None
     pair = twos(stream, begins) & np.int32(len(lengths) - 1)  # of one code for all bytes, the byte alone
     pair = pair if order is None else pair[order]
     sizes = lengths[pair]
-    of_bytes = np.empty((len(stream), len(ORDERS) + 1), np.uint32)
-    of_bytes[:, -1] = pair.astype(np.uint32) * np.uint32(nodes.shape[1]) - (np.cumsum(sizes) - sizes).astype(np.uint32)
+    nth = pair.astype(np.uint32) * np.uint32(nodes.shape[1]) - (np.cumsum(sizes) - sizes).astype(np.uint32)
+    nth = np.repeat(nth, sizes)
+    nth += np.arange(len(nth), dtype=np.uint32)
+    node, bit = nodes.ravel().take(nth), bits.ravel().take(nth)
+    out = np.empty((len(ORDERS), len(nth)), np.uint32)
     context = np.zeros(len(stream), np.uint32)
     for back in range(1, max(ORDERS) + 1):
         last = np.full(len(stream), 10, np.uint32)
@@ -105,15 +108,10 @@ def slots(stream: np.ndarray, begins: np.ndarray, code, order: np.ndarray | None
         context = (context ^ last) * _ODD
         context ^= context >> np.uint32(15)
         if back in ORDERS:
-            of_bytes[:, ORDERS.index(back)] = context if order is None else context[order]
-    of_bits = np.repeat(of_bytes, sizes, axis=0)
-    nth = np.arange(len(of_bits), dtype=np.uint32) + of_bits[:, -1]
-    node, bit = nodes.ravel().take(nth), bits.ravel().take(nth)
-    out = np.empty((len(ORDERS), len(nth)), np.uint32)
-    for i in range(len(ORDERS)):
-        h = of_bits[:, i] + node
-        h *= np.uint32(0xC2B2AE35)
-        np.right_shift(h, np.uint32(32 - SLOTS_LOG), out=out[i])
+            h = np.repeat(context if order is None else context[order], sizes)
+            h += node
+            h *= np.uint32(0xC2B2AE35)
+            np.right_shift(h, np.uint32(32 - SLOTS_LOG), out=out[ORDERS.index(back)])
     return out, bit, sizes
 
 
@@ -240,13 +238,14 @@ def context_tables(texts: DataFrame, code) -> np.ndarray:
             for a, b in steps(texts, STEP):
                 stream, begins, _ = stream_of(texts[a:b])
                 slot, bit, _ = slots(stream, begins, code)
-                slot += bit.astype(np.uint32) << np.uint32(SLOTS_LOG)
+                slot <<= np.uint32(1)  # a slot's zeros and ones lie side by side
+                slot += bit
                 for i in range(len(ORDERS)):
                     np.add.at(total[i], slot[i], np.int32(1))
         rows = []
         for i in range(len(ORDERS)):
             for x in range(0, SLOTS, PIECE):
-                rows.append((i * (SLOTS // PIECE) + x // PIECE, _sparse(total[i, x : x + PIECE], total[i, SLOTS + x : SLOTS + x + PIECE])))
+                rows.append((i * (SLOTS // PIECE) + x // PIECE, _sparse(total[i, 2 * x : 2 * (x + PIECE) : 2], total[i, 2 * x + 1 : 2 * (x + PIECE) : 2])))
         part = TaskContext.get().partitionId() // 64  # at most 64 tasks' pieces meet at first
         yield pd.DataFrame({"part": np.full(len(rows), part, np.int32), "piece": [r[0] for r in rows], "counts": [r[1] for r in rows]})
 
