@@ -17,10 +17,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.sources.paths import require_path
+from pairloom.sources.paths import path_size, require_path
 
 #: Read splits of one input: their states, some 100 bytes each, are broadcast.
 MOST_SPLITS = 1 << 20
+#: Bytes that one task reads on average where splits are smaller.
+TASK_BYTES = 1 << 25
 #: Above any depth: no bracket is closed.
 _NEVER = 1 << 40
 _ESCAPE = re.compile(r"\\.", re.DOTALL)
@@ -146,8 +148,10 @@ def _runs(batches) -> Iterator[tuple[str, int, int, Iterator[str]]]:
 
 
 def _chunks(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of all splits. Small splits are read many by a task: what a task costs by itself would take longer than their text."""
     text = spark.read.option("lineSep", "}").text(path)
-    return text.select("_metadata.file_path", "_metadata.file_block_start", "_metadata.file_block_length", "value")
+    tasks = max(4 * spark.sparkContext.defaultParallelism, -(-path_size(spark, path) // TASK_BYTES))
+    return text.select("_metadata.file_path", "_metadata.file_block_start", "_metadata.file_block_length", "value").coalesce(tasks)
 
 
 _EFFECTS = "file string, block long, out_string boolean, out_depth long, out_least long, in_string boolean, in_depth long, in_least long"
@@ -162,9 +166,9 @@ def _described(batches):
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[f.split()[0] for f in _EFFECTS.split(", ")])
 
 
-def _states(spark: SparkSession, path: str) -> dict[tuple[str, int], _State]:
+def _states(path: str, chunks: DataFrame) -> dict[tuple[str, int], _State]:
     """The state that each range begins in. One row per range comes to the driver."""
-    ranges = _chunks(spark, path).mapInArrow(_described, _EFFECTS).collect()
+    ranges = chunks.mapInArrow(_described, _EFFECTS).collect()
     if len(ranges) > MOST_SPLITS:
         raise ValueError(f"{path} is read in {len(ranges)} splits, more than {MOST_SPLITS}; write JSON lines, or read larger splits")
     states, file, now = {}, None, _State(closed=True)
@@ -198,7 +202,7 @@ def array_records(spark: SparkSession, path: str) -> DataFrame:
     records of a file. An input that is not an array of objects, or not closed, ends the job; files without text hold
     nothing, and what is behind the closing bracket is passed over."""
     chunks = _chunks(spark, require_path(spark, path))
-    states = spark.sparkContext.broadcast(_states(spark, path))
+    states = spark.sparkContext.broadcast(_states(path, chunks))
     names = [f.split()[0] for f in _PARTS.split(", ")]
 
     def reading(whole: bool):

@@ -10,6 +10,7 @@ from pairloom.operators.sampling import head_n
 from pairloom.operators.validate import FieldMappingError
 from pairloom.sources import sinks
 from pairloom.sources.criteria import read_criteria
+from pairloom.sources import arrays
 from pairloom.sources.records import (
     POSITION, _head_of_arrays, is_json_array, read_json_array, read_jsonl, read_pairs, read_records, read_table, require_fields, spread_small,
 )
@@ -112,6 +113,20 @@ def test_arrays_split_anywhere(spark, tmp_path, split_bytes, indent):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+def test_small_splits_of_arrays_share_tasks(spark, tmp_path):
+    path = write(tmp_path / "a.json", json.dumps([{"a": "x" * 50}] * 1000))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        chunks = arrays._chunks(spark, path)
+        assert chunks.select("file_block_start").distinct().count() > 200
+        assert chunks.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+        assert read_json_array(spark, path, "a string").count() == 1000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_fields_are_checked_on_the_first_records_alone(spark, tmp_path):
     """An empty first file checks the next one; a record may be longer than what is read at first; nothing is read whole."""
     folder = tmp_path / "arrays"
