@@ -7,10 +7,12 @@ slots that several may share: the order is by the slot's level, which tells how
 then by the shingle's hash. A passage that very many texts have is no signature of texts that say enough beside it.
 
 Signatures travel packed, many in a row, to buckets that number with the data; what many sets of one task share is
-sent once. What comes back are the classes of equal sets that share a signature. Of a signature with few classes all pairs
-are candidates; the classes of one with many are compared with a leader, by rounds, and merged, and only what is
-then still in different components is compared pair by pair. Candidates pass a bound (the distance of two histograms of
-the shingles is at most that of the sets); every link is then decided by exact intersection of whole sets.
+sent once. What comes back are the classes of equal sets that share a signature, with the signature's place in each one's order. At
+the first signature that two sets share, neither has anything in common with the other before it: the places bound
+what can be common. Each class is first compared with a leader, the class with the least place of a signature, as what stands before
+it is the class's own; linked classes are merged. Only classes in different components are then compared with each other, at the
+signatures whose places allow it and before which they do not visibly share another. Candidates pass a bound (the distance of two
+histograms of the shingles is at most that of the sets); every link is then decided by exact intersection of whole sets.
 """
 
 from __future__ import annotations
@@ -30,14 +32,10 @@ SLOTS, PIECE = 1 << 22, 1 << 15
 #: Signatures that a task gathers before it packs them; shingles of all texts for each bucket.
 GATHERED = 1 << 18
 BUCKET = 1 << 21
-#: Classes of a signature that are compared pair by pair at once, at most.
-FEW = 8
-#: Pairs for each row of what the leaders have left, up to which all are compared.
-LEFT = 24
 #: Places of a class's histogram.
 PLACES = 256
-#: Rounds with leaders before the rest is compared pair by pair, at most.
-LEADER_ROUNDS = 6
+#: Bytes beside each signature: its place (65535 at most), and 40 bits of each of the two signatures before it.
+BESIDE = 12
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
 
@@ -91,8 +89,9 @@ def _added(parts) -> np.ndarray:
 
 
 def shingle_levels(docs: DataFrame, text: str, size: int, total: int) -> np.ndarray:
-    """For each slot of shingles, 0 if its count in all texts is under four times the average (under 8 at least), then one more each time it doubles."""
-    usual = max(8.0, 4 * total / SLOTS)
+    """For each slot of shingles, 0 if its count in all texts is about the average, then one more each time what it has above that doubles."""
+    usual = total / SLOTS
+    spread = max(1.0, usual**0.5)  # of counts of rare shingles alone
 
     def count(batches):
         from pyspark import TaskContext
@@ -110,7 +109,8 @@ def shingle_levels(docs: DataFrame, text: str, size: int, total: int) -> np.ndar
         return pd.DataFrame({"piece": [pdf["piece"].iloc[0]], "counts": [_added(pdf["counts"]).tobytes()]})
 
     def every(pdf):
-        level = np.clip(np.floor(np.log2(np.maximum(_added(pdf["counts"]), 1) / usual)) + 1, 0, 255)
+        above = np.maximum(_added(pdf["counts"]) - (usual + 3 * spread + 2), 0)
+        level = np.clip(np.floor(np.log2(above / spread + 1)), 0, 255)
         return pd.DataFrame({"piece": [pdf["piece"].iloc[0]], "levels": [level.astype(np.uint8).tobytes()]})
 
     texts = docs.select(whole(F.col(text)).alias("_text"))
@@ -121,58 +121,73 @@ def shingle_levels(docs: DataFrame, text: str, size: int, total: int) -> np.ndar
     return levels
 
 
-def _groups(signs: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _bytes(numbers: np.ndarray, n: int) -> np.ndarray:
+    """The n lowest bytes of each number."""
+    return numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :n]
+
+
+def _numbers(held: np.ndarray) -> np.ndarray:
+    wide = np.zeros((len(held), 8), np.uint8)
+    wide[:, : held.shape[1]] = held
+    return wide.reshape(-1).view("<u8")
+
+
+def _beside(signs: np.ndarray, owner: int) -> np.ndarray:
+    """What goes with each signature of a class; where none is before it, bits of the class, which no other one has."""
+    before = np.concatenate((mix(np.array([owner, ~owner], np.int64).view(np.uint64)), signs))
+    place = np.minimum(np.arange(len(signs)), 65535)
+    return np.concatenate((_bytes(place, 2), _bytes(before[1:-1], 5), _bytes(before[:-2], 5)), axis=1)
+
+
+def _groups(signs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order of the rows by sign, and where in that order a sign begins."""
     order = np.argsort(signs)
     held = signs[order]
     return order, np.concatenate(([True], held[1:] != held[:-1]))
 
 
-def _packed(bucket: int, signs: np.ndarray, owners: np.ndarray) -> tuple:
-    """A row: 40 bits of each sign as bytes, the owners, and which of them each sign has."""
+def _packed(bucket: int, signs: np.ndarray, owners: np.ndarray, beside: np.ndarray) -> tuple:
+    """A row: 40 bits of each sign as bytes, the owners, which of them each sign has, and what is beside the signs."""
     table, which = np.unique(owners, return_inverse=True)
-    small = signs.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
-    return bucket, small.tobytes(), table.tobytes(), which.astype(np.uint32 if len(table) > 65535 else np.uint16).tobytes()
+    return bucket, _bytes(signs, 5).tobytes(), table.tobytes(), which.astype(np.uint32 if len(table) > 65535 else np.uint16).tobytes(), beside.tobytes()
 
 
-def _unpacked(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def _unpacked(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     signs, owners = [], []
     for small, table, which in zip(pdf["signs"], pdf["owners"], pdf["which"]):
         n = len(small) // 5
-        wide = np.zeros((n, 8), np.uint8)
-        wide[:, :5] = np.frombuffer(small, np.uint8).reshape(n, 5)
-        signs.append(wide.reshape(-1).view("<u8"))
+        signs.append(_numbers(np.frombuffer(small, np.uint8).reshape(n, 5)))
         owners.append(np.frombuffer(table, np.int64)[np.frombuffer(which, np.uint16 if len(which) == 2 * n else np.uint32)])
-    return np.concatenate(signs), np.concatenate(owners)
+    return np.concatenate(signs), np.concatenate(owners), np.concatenate([np.frombuffer(x, np.uint8).reshape(-1, BESIDE) for x in pdf["beside"]])
 
 
-def _pack(signs: np.ndarray, owners: np.ndarray, buckets: int) -> pd.DataFrame:
-    """Rows (bucket, signs, owners, which) of what was gathered. A signature of several classes here is told at once, in
+def _pack(signs: np.ndarray, owners: np.ndarray, beside: np.ndarray, buckets: int) -> pd.DataFrame:
+    """Rows (bucket, signs, owners, which, beside) of what was gathered. A signature of several classes here is told at once, in
     a row whose bucket is negative, and sent on with one of them only, marked by its lowest bit."""
     home = ((signs >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
     signs = (signs & np.uint64((1 << 40) - 2)) | home.astype(np.uint64) << np.uint64(40)
-    order, first = _groups(signs, owners)
-    signs, owners = signs[order], owners[order]
+    order, first = _groups(signs)
+    signs, owners, beside = signs[order], owners[order], beside[order]
     several = np.diff(np.append(np.flatnonzero(first), len(signs))) > 1
     told = several[np.cumsum(first) - 1]
     rows = []
 
-    def add(signs, owners, sign):
+    def add(signs, owners, beside, sign):
         home = (signs >> np.uint64(40)).astype(np.int64)
         edges = np.flatnonzero(np.concatenate(([True], home[1:] != home[:-1], [True]))) if len(home) else []
         for x, y in zip(edges[:-1], edges[1:]):
-            rows.append(_packed(int(home[x]) if sign > 0 else -1 - int(home[x]), signs[x:y], owners[x:y]))
+            rows.append(_packed(int(home[x]) if sign > 0 else -1 - int(home[x]), signs[x:y], owners[x:y], beside[x:y]))
 
-    add(signs[told], owners[told], -1)
-    add((signs | told.astype(np.uint64))[first], owners[first], 1)
-    return pd.DataFrame(rows, columns=["bucket", "signs", "owners", "which"])
+    add(signs[told], owners[told], beside[told], -1)
+    add((signs | told.astype(np.uint64))[first], owners[first], beside[first], 1)
+    return pd.DataFrame(rows, columns=["bucket", "signs", "owners", "which", "beside"])
 
 
 def packed_signatures(docs: DataFrame, text: str, size: int, p: int, q: int, buckets: int, levels: np.ndarray) -> DataFrame:
     order = docs.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches):
-        signs, owners, seen, n = [], [], set(), 0
+        signs, owners, beside, seen, n = [], [], [], set(), 0
         for pdf in batches:
             for held in _sets(pdf["_text"].to_list(), size):
                 owner = _class(held)
@@ -182,37 +197,40 @@ def packed_signatures(docs: DataFrame, text: str, size: int, p: int, q: int, buc
                 for found in signatures(held, p, q, order.value):
                     signs.append(found)
                     owners.append(np.full(len(found), owner, np.int64))
+                    beside.append(_beside(found, owner))
                     n += len(found)
                 if n >= GATHERED:
-                    yield _pack(np.concatenate(signs), np.concatenate(owners), buckets)
-                    signs, owners, seen, n = [], [], set(), 0
+                    yield _pack(np.concatenate(signs), np.concatenate(owners), np.concatenate(beside), buckets)
+                    signs, owners, beside, seen, n = [], [], [], set(), 0
         if n:
-            yield _pack(np.concatenate(signs), np.concatenate(owners), buckets)
+            yield _pack(np.concatenate(signs), np.concatenate(owners), np.concatenate(beside), buckets)
 
-    return docs.select(whole(F.col(text)).alias("_text")).mapInPandas(run, "bucket int, signs binary, owners binary, which binary")
+    return docs.select(whole(F.col(text)).alias("_text")).mapInPandas(run, "bucket int, signs binary, owners binary, which binary, beside binary")
 
 
 def _shared(pdf: pd.DataFrame) -> pd.DataFrame:
-    """(sign, class) of the signatures that several classes have, of one bucket; of a negative one, of all."""
-    signs, owners = _unpacked(pdf)
+    """(sign, class, place, last, other) of the signatures that several classes have, of one bucket; of a negative one, of all."""
+    signs, owners, beside = _unpacked(pdf)
     bucket = int(pdf["bucket"].iloc[0])
     if bucket >= 0:
         told, plain = (signs & np.uint64(1)).astype(bool), signs & ~np.uint64(1)
-        order, first = _groups(plain, owners)
+        order, first = _groups(plain)
         group = np.cumsum(first) - 1
         # Told classes have others beside them in their own task already.
         many = (np.bincount(group) > 1) | (np.bincount(group, weights=told[order]) > 0)
         keep = order[many[group] & ~told[order]]
-        signs, owners = plain[keep], owners[keep]
+        signs, owners, beside = plain[keep], owners[keep], beside[keep]
     else:
         bucket = -1 - bucket
-    return pd.DataFrame({"sign": (signs | np.uint64(bucket) << np.uint64(40)).astype(np.int64), "class": owners}).drop_duplicates()
+    sign, place = (signs | np.uint64(bucket) << np.uint64(40)).astype(np.int64), _numbers(beside[:, :2]).astype(np.int32)
+    last, other = (_numbers(beside[:, x : x + 5]).astype(np.int64) for x in (2, 7))
+    return pd.DataFrame({"sign": sign, "class": owners, "place": place, "last": last, "other": other}).drop_duplicates(["sign", "class", "place"])
 
 
 def sharing_classes(packed: DataFrame) -> DataFrame:
-    """(sign, class) of all signatures that several classes have. What tasks have told already goes through the same shuffle, in
+    """(sign, class, place, last, other) of all signatures that several classes have; last and other are the two before it. What tasks have told already goes through the same shuffle, in
     groups of its own, so that signatures are made once and a task runs one Python worker."""
-    return packed.groupBy("bucket").applyInPandas(_shared, "sign long, class long")
+    return packed.groupBy("bucket").applyInPandas(_shared, "sign long, class long, place int, last long, other long")
 
 
 def class_sets(docs: DataFrame, text: str, size: int, wanted: DataFrame) -> DataFrame:
@@ -272,27 +290,39 @@ def _links(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
     return common.where(F.col("c") * q >= (F.col("na") + F.col("nb") - F.col("c")) * p).select("a", "b")
 
 
-def _pairs_of_few(pending: DataFrame, p: int, q: int) -> DataFrame:
-    """Candidates among the classes of each signature that has at most FEW: those that share two signatures, as similar
-    sets do if they must have two shingles in common. A pair that also shares a signature of many classes is found there."""
-    few = pending.groupBy("sign").count().where((F.col("count") > 1) & (F.col("count") <= FEW)).select("sign")
-    held = pending.join(few, "sign", "left_semi").groupBy("sign").agg(F.sort_array(F.collect_list(F.struct("class", "n"))).alias("x"))
-    two = F.flatten(F.transform("x", lambda a, i: F.transform(F.slice("x", i + F.lit(2), F.lit(FEW)), lambda b: F.struct(a.alias("a"), b.alias("b")))))
-    each = held.select(F.explode(two).alias("y")).select(F.col("y.a.class").alias("a"), F.col("y.b.class").alias("b"), F.col("y.a.n").alias("na"), F.col("y.b.n").alias("nb"))
-    shared = each.groupBy("a", "b", "na", "nb").count()
-    return shared.where((F.col("count") > 1) | (p * F.greatest("na", "nb") <= q)).drop("count")
-
-
-def _pairs_with_leaders(large: DataFrame, turn: int, p: int, q: int) -> DataFrame:
-    """Pairs of the classes of signatures, (sign, class, root, n), with a leader of another component. Of its leaders,
-    each class is compared with the one it shares most signatures with."""
-    order = F.xxhash64(F.lit(turn), F.col("class"))
-    leaders = large.groupBy("sign").agg(F.min(F.struct(order.alias("o"), F.col("class"), F.col("root"), F.col("n"))).alias("l"))
-    led = large.join(leaders, "sign").where("root != l.root").groupBy(F.col("class").alias("a"), F.col("n").alias("na"), F.col("l.class").alias("b"), F.col("l.n").alias("nb")).count()
-    best = led.where(q * F.least("na", "nb") >= p * F.greatest("na", "nb")).groupBy("a", "na").agg(F.max(F.struct("count", "b", "nb")).alias("x"))
+def _possible(p: int, q: int):
+    """That sets of na and nb shingles whose first common ones are at places ia and ib may be similar: no more than what follows is common."""
+    needed = (F.col("na") + F.col("nb")) * p
+    return ((F.col("na") - F.col("ia")) * (p + q) >= needed) & ((F.col("nb") - F.col("ib")) * (p + q) >= needed)
+
+
+def _side(shared: DataFrame, x: str) -> DataFrame:
+    named = {"class": x, "n": f"n{x}", "place": f"i{x}", "last": f"l{x}", "other": f"o{x}", "root": f"r{x}"}
+    return shared.select("sign", *[F.col(c).alias(named[c]) for c in shared.columns if c != "sign"])
+
+
+def _pairs_with_leaders(shared: DataFrame, p: int, q: int) -> DataFrame:
+    """Pairs of each class with a leader: of a signature, the class that has it at the least place. Of its leaders, a
+    class is compared with the one it shares most signatures with."""
+    leader = F.struct(F.col("place").alias("ib"), F.xxhash64("class").alias("o"), F.col("class").alias("b"), F.col("n").alias("nb"))
+    leaders = shared.groupBy("sign").agg(F.min(leader).alias("l")).select("sign", "l.ib", "l.b", "l.nb")
+    led = _side(shared.select("sign", "class", "n", "place"), "a").join(leaders, "sign").where(F.col("a") != F.col("b")).where(_possible(p, q))
+    best = led.groupBy("a", "na", "b", "nb").count().groupBy("a", "na").agg(F.max(F.struct("count", "b", "nb")).alias("x"))
     return best.select("a", F.col("x.b").alias("b"), "na", F.col("x.nb").alias("nb"))
 
 
+def _pairs_across(shared: DataFrame, roots: DataFrame, p: int, q: int) -> DataFrame:
+    """Pairs of classes of different components, (sign, class, n, place, last, other), by the signatures that may be the first
+    they share. It is not the first if one of the two before it is the same: then the pair comes from an earlier one."""
+    fresh = written(shared.join(roots.select("class", "root"), "class"), "op10-fresh")
+    mixed = fresh.groupBy("sign").agg(F.min("root").alias("_x"), F.max("root").alias("_y")).where("_x != _y").select("sign")
+    large = written(fresh.join(mixed, "sign", "left_semi"), "op10-mixed")
+    first = (F.col("la") != F.col("lb")) & (F.col("la") != F.col("ob")) & (F.col("oa") != F.col("lb")) & (F.col("oa") != F.col("ob"))
+    one, two = _side(large, "a"), _side(large, "b").withColumnRenamed("sign", "_sign")
+    met = one.join(two, (F.col("sign") == F.col("_sign")) & (F.col("ra") < F.col("rb")) & _possible(p, q) & first)
+    return met.select("a", "b", "na", "nb").distinct()
+
+
 def _merge(roots: DataFrame, links: DataFrame) -> DataFrame:
     """Roots (class, root) after links between classes."""
     ends = links.join(roots.select(F.col("class").alias("a"), F.col("root").alias("ra")), "a")
@@ -323,7 +353,7 @@ def similarity_components(
     shared = written(sharing_classes(packed_signatures(docs, text, size, p, q, buckets, levels)), "op10-shared")
     involved = written(classes.join(shared.select("class").distinct(), "class", "left_semi").select("class", F.col("class").alias("root"), "n"), "op10-involved")
     sketches = written(filled.join(involved, "class", "left_semi").groupBy("class").agg(F.any_value("histogram").alias("histogram")), "op10-sketches")
-    pending = written(shared.join(involved, "class"), "op10-pending")
+    pending = written(shared.join(involved.drop("root"), "class"), "op10-pending")
 
     def settle(roots: DataFrame, pairs: DataFrame) -> DataFrame:
         likely = written(_likely(pairs, sketches, p, q), "op10-likely")
@@ -331,27 +361,8 @@ def similarity_components(
         sets = written(class_sets(docs, text, size, wanted), "op10-sets")
         return _merge(roots, written(_links(likely, sets, p, q), "op10-links"))
 
-    many = pending.groupBy("sign").count().where(F.col("count") > FEW).select("sign")
-    large = written(pending.join(many, "sign", "left_semi"), "op10-many")
-    # The first leaders are compared together with the pairs of few.
-    roots = settle(involved, _pairs_of_few(pending, p, q).unionByName(_pairs_with_leaders(large, 0, p, q)))
-    large = large.select("sign", "class")
-    for turn in range(1, LEADER_ROUNDS + 1):
-        fresh = large.join(roots, "class")
-        mixed = fresh.groupBy("sign").agg(F.min("root").alias("_x"), F.max("root").alias("_y")).where("_x != _y").select("sign")
-        large = written(fresh.join(mixed, "sign", "left_semi"), "op10-large")
-        # How many pairs of different components are there, signature by signature?
-        parts = large.groupBy("sign", "root").count().groupBy("sign").agg(F.sum("count").alias("c"), F.sum(F.col("count") * F.col("count")).alias("cc"))
-        left = parts.agg(F.sum((F.col("c") * F.col("c") - F.col("cc")) / 2).alias("pairs"), F.sum("c").alias("rows")).first()
-        if not left["pairs"]:
-            break
-        if turn == LEADER_ROUNDS or left["pairs"] <= LEFT * left["rows"]:
-            one = large.select("sign", F.col("class").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"))
-            two = large.select("sign", F.col("class").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"))
-            roots = settle(roots, one.join(two, "sign").where("ra < rb").select("a", "b", "na", "nb").distinct())
-            break
-        roots = settle(roots, _pairs_with_leaders(large, turn, p, q))
-        large = large.select("sign", "class")
+    roots = settle(involved, _pairs_with_leaders(pending, p, q))
+    roots = settle(roots, _pairs_across(pending, roots, p, q))
 
     every = classes.join(roots.select("class", "root"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     least = every.groupBy("root").agg(F.min("_least").alias("_component"))

@@ -485,6 +485,27 @@ def test_signatures_are_few_and_rare(spark):
     assert ngram_join.sharing_classes(packed).count() == 0
 
 
+def test_join_compares_few_of_a_family(spark, monkeypatch):
+    """Of copies that are too different to link, few pairs are compared, and what links is found."""
+    random = np.random.default_rng(12)
+    base, rows, pairs = [f"b{i}" for i in range(150)], [], []
+    for i in range(300):
+        t = list(base)
+        for k in random.choice(150, 1 + i % 9, replace=False):
+            t[k] = f"e{i}x{k}"
+        rows.append((i, " ".join(t)))
+    likely = ngram_join._likely
+
+    def counted(candidates, *more):
+        pairs.append(candidates.count())
+        return likely(candidates, *more)
+
+    monkeypatch.setattr(ngram_join, "_likely", counted)
+    got = ngram_join.similarity_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_components(rows)
+    assert len(pairs) == 2 and sum(pairs) < 6000
+
+
 # What they share
 
 
