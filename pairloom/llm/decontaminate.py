@@ -14,11 +14,12 @@ import re
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm.shared import add_rows, whole, written
-from pairloom.llm.words import mix, steps, words_of
+from pairloom.llm.shared import TEXTS, add_rows, texts_of, whole, written
+from pairloom.llm.words import SHORT_STEP, mix, steps, words_of
 
 FEATURES = 1 << 17
 #: Words of a window and from one window to the next.
@@ -40,18 +41,17 @@ def document_frequency(docs: DataFrame, text: str = "text") -> tuple[np.ndarray,
 
     def count(batches):
         held, rows = np.zeros(FEATURES + 1, np.int64), 0
-        for pdf in batches:
-            texts = pdf["_text"].to_list()
-            for a, b in steps(texts):
+        for texts in texts_of(batches):
+            for a, b in steps(texts, SHORT_STEP):
                 hashes, offsets, _, _, _ = words_of(texts[a:b])
                 row = np.repeat(np.arange(b - a), np.diff(offsets))
                 held[:FEATURES] += np.bincount(np.unique(row * FEATURES + _terms(hashes)) % FEATURES, minlength=FEATURES)
             rows += len(texts)
         held[FEATURES] = rows
         there = np.flatnonzero(held)
-        yield pd.DataFrame({"term": there.astype(np.int32), "n": held[there]})
+        yield pa.RecordBatch.from_arrays([pa.array(there.astype(np.int32)), pa.array(held[there])], names=["term", "n"])
 
-    counted = docs.select(whole(F.col(text)).alias("_text")).mapInPandas(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toPandas()
+    counted = docs.select(whole(F.col(text)).alias("_text")).mapInArrow(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toPandas()
     held = np.zeros(FEATURES + 1, np.int64)
     held[counted["term"]] = counted["n"]
     return held[:FEATURES], int(held[FEATURES])
@@ -197,7 +197,7 @@ def _item_block(rows: list, idf, place, matrix) -> dict:
 
 def _search(texts: list[str], block: dict, idf, place, matrix, cosine: float):
     """(text, item, cosine, share in common order, answer's share, first and last word) of the best place of each candidate pair."""
-    for a, b in steps(texts):
+    for a, b in steps(texts, SHORT_STEP):
         hashes, offsets, _, _, _ = words_of(texts[a:b])
         terms = _terms(hashes)
         weight = idf[terms].astype(np.float64)
@@ -281,7 +281,7 @@ def find_leaks(
             at, *columns = zip(*found) if found else ([],) * 8
             return at, columns
 
-        one = add_rows(rows, whole(F.col("_source")), run, added).join(F.broadcast(names), ["_block", "_n"]).drop("_block", "_n", "_source")
+        one = add_rows(rows, whole(F.col("_source")), run, added, keep=[key], rows=TEXTS).join(F.broadcast(names), ["_block", "_n"]).drop("_block", "_n")
         out = one if out is None else out.unionByName(one)
     if out is None:
         out = spark.createDataFrame([], f"`{key}` {dict(docs.dtypes)[key]}, {added}").withColumn(item, F.lit(None).cast(kind)).drop("_block", "_n")

@@ -19,13 +19,14 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pairloom.llm.components import components
-from pairloom.llm.shared import add_columns, membership, whole, with_membership, written
-from pairloom.llm.words import mix, shingles_of, steps, words_of
+from pairloom.llm.shared import TEXTS, add_columns, membership, texts_of, whole, with_membership, written
+from pairloom.llm.words import SHORT_STEP, mix, shingles_of, steps, words_of
 
 #: Slots of the table of counts (a power of two), and of one piece of it.
 SLOTS, PIECE = 1 << 22, 1 << 15
@@ -53,7 +54,7 @@ def signatures(held: np.ndarray, p: int, q: int, levels: np.ndarray | None = Non
 
 
 def _sets(texts: list[str], size: int):
-    for a, b in steps(texts):
+    for a, b in steps(texts, SHORT_STEP):
         hashes, offsets, _, _, _ = words_of(texts[a:b])
         yield from shingles_of(hashes, offsets, size)
 
@@ -77,7 +78,7 @@ def shingle_classes(docs: DataFrame, key: str, text: str, size: int) -> DataFram
         return [list(column) for column in zip(*made)] if made else [[], [], []]
 
     rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_source"))
-    return add_columns(rows, whole(F.col("_source")), run, "_n long, _class long, _histogram binary").drop("_source")
+    return add_columns(rows, whole(F.col("_source")), run, "_n long, _class long, _histogram binary", keep=["_key"], rows=TEXTS)
 
 
 def _added(parts) -> np.ndarray:
@@ -97,13 +98,14 @@ def shingle_levels(docs: DataFrame, text: str, size: int, total: int) -> np.ndar
         from pyspark import TaskContext
 
         held = np.zeros(SLOTS, np.uint32)
-        for pdf in batches:
-            for one in _sets(pdf["_text"].to_list(), size):
+        for texts in texts_of(batches):
+            for one in _sets(texts, size):
                 held[(one & np.uint64(SLOTS - 1)).astype(np.int64)] += np.uint32(1)  # two of one set in a slot count as one
         small = np.minimum(held, 65535).astype("<u2")
         rows = [small[x : x + PIECE].tobytes() for x in range(0, SLOTS, PIECE)]
         part = TaskContext.get().partitionId() // 64  # at most 64 tasks' pieces meet at first
-        yield pd.DataFrame({"part": np.full(len(rows), part, np.int32), "piece": np.arange(len(rows), dtype=np.int32), "counts": rows})
+        columns = [np.full(len(rows), part, np.int32), np.arange(len(rows), dtype=np.int32), rows]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["part", "piece", "counts"])
 
     def some(pdf):
         return pd.DataFrame({"piece": [pdf["piece"].iloc[0]], "counts": [_added(pdf["counts"]).tobytes()]})
@@ -114,7 +116,7 @@ def shingle_levels(docs: DataFrame, text: str, size: int, total: int) -> np.ndar
         return pd.DataFrame({"piece": [pdf["piece"].iloc[0]], "levels": [level.astype(np.uint8).tobytes()]})
 
     texts = docs.select(whole(F.col(text)).alias("_text"))
-    one = texts.mapInPandas(count, "part int, piece int, counts binary").groupBy("part", "piece").applyInPandas(some, "piece int, counts binary")
+    one = texts.mapInArrow(count, "part int, piece int, counts binary").groupBy("part", "piece").applyInPandas(some, "piece int, counts binary")
     levels = np.zeros(SLOTS, np.uint8)
     for r in one.groupBy("piece").applyInPandas(every, "piece int, levels binary").collect():  # one byte for each slot
         levels[r["piece"] * PIECE : (r["piece"] + 1) * PIECE] = np.frombuffer(r["levels"], np.uint8)
@@ -161,7 +163,7 @@ def _unpacked(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(signs), np.concatenate(owners), np.concatenate([np.frombuffer(x, np.uint8).reshape(-1, BESIDE) for x in pdf["beside"]])
 
 
-def _pack(signs: np.ndarray, owners: np.ndarray, beside: np.ndarray, buckets: int) -> pd.DataFrame:
+def _pack(signs: np.ndarray, owners: np.ndarray, beside: np.ndarray, buckets: int) -> pa.RecordBatch:
     """Rows (bucket, signs, owners, which, beside) of what was gathered. A signature of several classes here is told at once, in
     a row whose bucket is negative, and sent on with one of them only, marked by its lowest bit."""
     home = ((signs >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
@@ -180,7 +182,8 @@ def _pack(signs: np.ndarray, owners: np.ndarray, beside: np.ndarray, buckets: in
 
     add(signs[told], owners[told], beside[told], -1)
     add((signs | told.astype(np.uint64))[first], owners[first], beside[first], 1)
-    return pd.DataFrame(rows, columns=["bucket", "signs", "owners", "which", "beside"])
+    kinds = [pa.int32()] + [pa.binary()] * 4
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["bucket", "signs", "owners", "which", "beside"])
 
 
 def packed_signatures(docs: DataFrame, text: str, size: int, p: int, q: int, buckets: int, levels: np.ndarray) -> DataFrame:
@@ -188,8 +191,8 @@ def packed_signatures(docs: DataFrame, text: str, size: int, p: int, q: int, buc
 
     def run(batches):
         signs, owners, beside, seen, n = [], [], [], set(), 0
-        for pdf in batches:
-            for held in _sets(pdf["_text"].to_list(), size):
+        for texts in texts_of(batches):
+            for held in _sets(texts, size):
                 owner = _class(held)
                 if owner in seen:
                     continue
@@ -205,7 +208,7 @@ def packed_signatures(docs: DataFrame, text: str, size: int, p: int, q: int, buc
         if n:
             yield _pack(np.concatenate(signs), np.concatenate(owners), np.concatenate(beside), buckets)
 
-    return docs.select(whole(F.col(text)).alias("_text")).mapInPandas(run, "bucket int, signs binary, owners binary, which binary, beside binary")
+    return docs.select(whole(F.col(text)).alias("_text")).mapInArrow(run, "bucket int, signs binary, owners binary, which binary, beside binary")
 
 
 def _shared(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -236,20 +239,23 @@ def sharing_classes(packed: DataFrame) -> DataFrame:
 def class_sets(docs: DataFrame, text: str, size: int, wanted: DataFrame) -> DataFrame:
     """(class, set) of the classes wanted: sorted hashes as bytes. A fixed-size filter keeps the others from the shuffle."""
 
+    def rows(one):
+        return pa.RecordBatch.from_arrays([pa.array(list(one), pa.int64()), pa.array(list(one.values()), pa.binary())], names=["class", "set"])
+
     def run(batches):
-        for pdf in batches:
-            one, n = {}, 0
-            for held in _sets(pdf["_text"].to_list(), size):
+        one, n = {}, 0
+        for texts in texts_of(batches):
+            for held in _sets(texts, size):
                 if len(held):
                     one[_class(held)] = held.tobytes()
                     n += len(held)
-                if n >= GATHERED:  # a batch's sets are not held all at once
-                    yield pd.DataFrame({"class": list(one), "set": list(one.values())})
+                if n >= GATHERED:  # a task's sets are not held all at once
+                    yield rows(one)
                     one, n = {}, 0
-            if one:
-                yield pd.DataFrame({"class": list(one), "set": list(one.values())})
+        if one:
+            yield rows(one)
 
-    every = docs.select(whole(F.col(text)).alias("_text")).mapInPandas(run, "class long, set binary")
+    every = docs.select(whole(F.col(text)).alias("_text")).mapInArrow(run, "class long, set binary")
     some = with_membership(every, "class", membership(wanted, "class"), "_hit").where("_hit").drop("_hit")
     return some.groupBy("class").agg(F.any_value("set").alias("set")).join(wanted, "class", "left_semi")
 

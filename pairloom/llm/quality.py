@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pairloom.llm.shared import fold_of, whole, written
-from pairloom.llm.words import mix, steps, words_of
+from pairloom.llm.words import SHORT_STEP, mix, steps, words_of
 
 #: Hashed n-grams of 3 and 4 bytes, and 64 patterns of repetition among six words in a row.
 _GRAMS = 1 << 16
@@ -30,7 +30,7 @@ LABEL_ROWS = 200_000
 
 def indicators(texts: list[str]):
     """For each text the sorted numbers of the features it has."""
-    for a, b in steps(texts):
+    for a, b in steps(texts, SHORT_STEP):
         part = texts[a:b]
         hashes, offsets, _, _, _ = words_of(part, lower=False)
         same = np.concatenate(([False], hashes[1:] == hashes[:-1])).astype(np.int64)
@@ -85,19 +85,25 @@ def log_ratios(bad: np.ndarray, good: np.ndarray, alpha: float = 1.0) -> np.ndar
 
 def dual_coordinate_descent(rows: list, signs: np.ndarray, ratios: np.ndarray, cost: np.ndarray, epochs: int = 12) -> np.ndarray:
     """Weights (the last is the bias) of the hinge-loss model over rows of feature numbers scaled by ratios;
-    cost: the upper bound of each row's dual variable."""
+    cost: the upper bound of each row's dual variable. The scaled rows are made anew each time, so that only
+    their numbers are in memory."""
     weights = np.zeros(len(ratios) + 1)
-    values = [np.append(ratios[ids], 1.0) for ids in rows]
-    places = [np.append(ids, len(ratios)) for ids in rows]
-    norms = [float(v @ v) for v in values]
+    scales = np.append(ratios, 1.0)
+
+    def row(i):
+        place = np.append(rows[i], len(ratios))
+        return place, scales[place]
+
+    norms = [float(v @ v) for _, v in map(row, range(len(rows)))]
     dual = np.zeros(len(rows))
     order = np.random.default_rng(7)
     for _ in range(epochs):
         for i in order.permutation(len(rows)):
-            gradient = signs[i] * float(weights[places[i]] @ values[i]) - 1
+            place, value = row(i)
+            gradient = signs[i] * float(weights[place] @ value) - 1
             new = min(max(dual[i] - gradient / norms[i], 0.0), cost[i])
             if new != dual[i]:
-                weights[places[i]] += (new - dual[i]) * signs[i] * values[i]
+                weights[place] += (new - dual[i]) * signs[i] * value
                 dual[i] = new
     return weights
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +16,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 BLANKS = " \t\n\x0b\x0c\r"
 #: Bits of a membership filter: 2 MB in 512 pieces, whatever the input's size.
 FILTER_BITS = 1 << 24
+#: Texts that a task makes Python strings of at once; an Arrow batch has up to 10,000.
+TEXTS = 500
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
@@ -103,31 +105,49 @@ def _fields(added: str) -> list[T.StructField]:
     return T._parse_datatype_string(added).fields
 
 
-def add_columns(df: DataFrame, text: Column, compute: Callable[[list], list], added: str) -> DataFrame:
-    """df with the columns that compute(texts) gives for each batch of texts, a list of values per column.
-    All other columns pass as Arrow arrays: nulls and large numbers stay as they are."""
-    schema = T.StructType(df.schema.fields + _fields(added))
-    kinds = list(to_arrow_schema(schema))[len(df.columns) :]
+def parts_of(batches, rows: int | None = TEXTS) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most that many rows, which share the batch's memory; None: the batches as they are."""
+    for batch in batches:
+        yield from (batch.slice(x, rows) for x in range(0, batch.num_rows, rows)) if rows else [batch]
+
+
+def texts_of(batches) -> Iterator[list]:
+    """The last column of the batches, TEXTS values at a time."""
+    return (part.column(part.num_columns - 1).to_pylist() for part in parts_of(batches))
+
+
+def add_columns(
+    df: DataFrame, text: Column, compute: Callable[[list], list], added: str, keep: list[str] | None = None, rows: int | None = None
+) -> DataFrame:
+    """df with the columns that compute(texts) gives for each batch of texts (at most `rows` of them), a list of values per column.
+    All other columns, or only those of `keep`, pass as Arrow arrays: nulls and large numbers stay as they are."""
+    keep = df.columns if keep is None else keep
+    schema = T.StructType([df.schema[c] for c in keep] + _fields(added))
+    kinds = list(to_arrow_schema(schema))[len(keep) :]
 
     def run(batches):
-        for batch in batches:
+        for batch in parts_of(batches, rows):
             made = compute(batch.column(batch.num_columns - 1).to_pylist())
             columns = batch.columns[:-1] + [pa.array(v, k.type) for v, k in zip(made, kinds)]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return df.select(*[F.col(f"`{c}`") for c in df.columns], text.alias("_whole_text")).mapInArrow(run, schema)
+    return df.select(*[F.col(f"`{c}`") for c in keep], text.alias("_whole_text")).mapInArrow(run, schema)
 
 
-def add_rows(df: DataFrame, text: Column, compute: Callable[[list], tuple], added: str) -> DataFrame:
-    """For each batch of texts compute(texts) gives (numbers of rows, columns): df's columns of those rows beside the new ones."""
-    schema = T.StructType(df.schema.fields + _fields(added))
-    kinds = list(to_arrow_schema(schema))[len(df.columns) :]
+def add_rows(
+    df: DataFrame, text: Column, compute: Callable[[list], tuple], added: str, keep: list[str] | None = None, rows: int | None = None
+) -> DataFrame:
+    """For each batch of texts (at most `rows` of them) compute(texts) gives (numbers of rows, columns): df's columns of those rows, or
+    only those of `keep`, beside the new ones."""
+    keep = df.columns if keep is None else keep
+    schema = T.StructType([df.schema[c] for c in keep] + _fields(added))
+    kinds = list(to_arrow_schema(schema))[len(keep) :]
 
     def run(batches):
-        for batch in batches:
-            rows, made = compute(batch.column(batch.num_columns - 1).to_pylist())
-            at = pa.array(rows, pa.int64())
+        for batch in parts_of(batches, rows):
+            numbers, made = compute(batch.column(batch.num_columns - 1).to_pylist())
+            at = pa.array(numbers, pa.int64())
             columns = [c.take(at) for c in batch.columns[:-1]] + [pa.array(v, k.type) for v, k in zip(made, kinds)]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return df.select(*[F.col(f"`{c}`") for c in df.columns], text.alias("_whole_text")).mapInArrow(run, schema)
+    return df.select(*[F.col(f"`{c}`") for c in keep], text.alias("_whole_text")).mapInArrow(run, schema)

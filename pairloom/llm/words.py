@@ -8,6 +8,8 @@ import numpy as np
 
 #: Characters that one step holds in memory; a longer text is a step of its own.
 STEP_CHARS = 1 << 20
+#: The same where a task's memory counts more: words_of takes about 40 bytes for each.
+SHORT_STEP = 1 << 18
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True

@@ -5,10 +5,12 @@ import hashlib
 import html
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from compare import connect, difference
 from pyspark.sql import functions as F
@@ -17,7 +19,7 @@ pytest.importorskip("pairloom.llm")
 from pairloom.llm import bpe, decontaminate, html_text, licenses, line_dedup, lm, ngram_join, pii, quality, queries  # noqa: E402
 from pairloom.llm.components import components  # noqa: E402
 from pairloom.llm.exact_dedup import exact_duplicates  # noqa: E402
-from pairloom.llm.shared import membership, with_membership, without  # noqa: E402
+from pairloom.llm.shared import TEXTS, add_rows, membership, texts_of, with_membership, without  # noqa: E402
 
 BLANK = re.compile(rb"[\x20\x09-\x0D]+")
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -364,6 +366,21 @@ def test_leaks_in_blocks(spark, sf_dir):
     assert Counter(one) == Counter(several)
 
 
+def test_texts_go_to_tasks_once(spark, sf_dir):
+    """Leaks and shingle sets send a text to Python once, not beside itself, and make strings of some rows of a batch at a time."""
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, None)], "doc_id long, text string")
+    for made in (decontaminate.find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")), ngram_join.shingle_classes(docs, "doc_id", "text", 5)):
+        assert "_source#" not in made._jdf.queryExecution().optimizedPlan().toString()
+    batch = pa.RecordBatch.from_pydict({"k": list(range(2 * TEXTS + 1)), "t": [str(i) if i % 3 else None for i in range(2 * TEXTS + 1)]})
+    parts = list(texts_of([batch, batch.slice(0, 0)]))
+    assert [len(p) for p in parts] == [TEXTS, TEXTS, 1] and sum(parts, []) == batch.column(1).to_pylist()
+    many = spark.range(0, 2500, 1, 1).select("id", F.lit("x").alias("other"), F.col("id").cast("string").alias("t"))
+    odd_ones = lambda ts: ([i for i, t in enumerate(ts) if int(t) % 2], [[t for t in ts if int(t) % 2], [len(ts)] * sum(int(t) % 2 for t in ts)])
+    got = add_rows(many, F.col("t"), odd_ones, "same string, n int", keep=["id"], rows=TEXTS)
+    assert got.columns == ["id", "same", "n"]
+    assert {(r.id, r.same) for r in got.collect()} == {(i, str(i)) for i in range(1, 2500, 2)} and got.agg(F.max("n")).first()[0] <= TEXTS
+
+
 # 9 quality
 
 
@@ -383,6 +400,16 @@ def test_quality(spark, sf_dir, odd, empty):
     assert quality.with_quality(empty, quality.fit(empty, labels)).count() == 0
 
 
+def test_descent_holds_no_scaled_rows():
+    rows = [np.arange(i, i + 2000, dtype=np.int32) for i in range(500)]
+    signs = np.where(np.arange(500) % 2, 1.0, -1.0)
+    tracemalloc.start()
+    quality.dual_coordinate_descent(rows, signs, np.linspace(-1, 1, 2500), np.full(500, 0.02), epochs=1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2 * 10**6  # all rows scaled would take 16 bytes for each of a million features
+
+
 def test_dual_coordinate_descent():
     """On a separable set every row ends on its side, at a distance."""
     rows = [np.array([0, 2]), np.array([0, 3]), np.array([1, 2]), np.array([1, 3])]
