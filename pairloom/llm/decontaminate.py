@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm.shared import TEXTS, add_rows, texts_of, whole, written
+from pairloom.llm.shared import add_rows, texts_of, whole, written
 from pairloom.llm.words import SHORT_STEP, mix, steps, words_of
 
 FEATURES = 1 << 17
@@ -197,7 +197,7 @@ def _item_block(rows: list, idf, place, matrix) -> dict:
 
 def _search(texts: list[str], block: dict, idf, place, matrix, cosine: float):
     """(text, item, cosine, share in common order, answer's share, first and last word) of the best place of each candidate pair."""
-    for a, b in steps(texts, SHORT_STEP):
+    for a, b in steps(texts):
         hashes, offsets, _, _, _ = words_of(texts[a:b])
         terms = _terms(hashes)
         weight = idf[terms].astype(np.float64)
@@ -281,7 +281,7 @@ def find_leaks(
             at, *columns = zip(*found) if found else ([],) * 8
             return at, columns
 
-        one = add_rows(rows, whole(F.col("_source")), run, added, keep=[key], rows=TEXTS).join(F.broadcast(names), ["_block", "_n"]).drop("_block", "_n")
+        one = add_rows(rows, whole(F.col("_source")), run, added, keep=[key]).join(F.broadcast(names), ["_block", "_n"]).drop("_block", "_n")
         out = one if out is None else out.unionByName(one)
     if out is None:
         out = spark.createDataFrame([], f"`{key}` {dict(docs.dtypes)[key]}, {added}").withColumn(item, F.lit(None).cast(kind)).drop("_block", "_n")

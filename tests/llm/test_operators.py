@@ -367,7 +367,7 @@ def test_leaks_in_blocks(spark, sf_dir):
 
 
 def test_texts_go_to_tasks_once(spark, sf_dir):
-    """Leaks and shingle sets send a text to Python once, not beside itself, and make strings of some rows of a batch at a time."""
+    """Leaks and shingle sets send a text to Python once, not beside itself; batches are worked on in parts."""
     docs = spark.createDataFrame([(1, "a b c d e f"), (2, None)], "doc_id long, text string")
     for made in (decontaminate.find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")), ngram_join.shingle_classes(docs, "doc_id", "text", 5)):
         assert "_source#" not in made._jdf.queryExecution().optimizedPlan().toString()
