@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm.shared import add_rows, texts_of, whole, written
-from pairloom.llm.words import SHORT_STEP, mix, steps, words_of
+from pairloom.llm.shared import add_rows, giving_back, texts_of, whole, written
+from pairloom.llm.words import SHORT_STEP, STEP_CHARS, hashes_of, mix, steps, words_of
 
 FEATURES = 1 << 17
 #: Words of a window and from one window to the next.
@@ -51,7 +51,7 @@ def document_frequency(docs: DataFrame, text: str = "text") -> tuple[np.ndarray,
         there = np.flatnonzero(held)
         yield pa.RecordBatch.from_arrays([pa.array(there.astype(np.int32)), pa.array(held[there])], names=["term", "n"])
 
-    counted = docs.select(whole(F.col(text)).alias("_text")).mapInArrow(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toPandas()
+    counted = docs.select(whole(F.col(text)).alias("_text")).mapInArrow(giving_back(count), "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toPandas()
     held = np.zeros(FEATURES + 1, np.int64)
     held[counted["term"]] = counted["n"]
     return held[:FEATURES], int(held[FEATURES])
@@ -101,7 +101,7 @@ def _sums(items: DataFrame, text: str, idf, basis) -> dict[int, np.ndarray]:
         order = pdf.groupby("term")["v"].agg(lambda vs: sum(np.frombuffer(v) for v in vs).tobytes())
         return pd.DataFrame({"term": order.index.astype(np.int32), "v": order.to_list()})
 
-    one = items.select(whole(F.col(text)).alias("_text")).mapInPandas(run, "term int, v binary")
+    one = items.select(whole(F.col(text)).alias("_text")).mapInPandas(giving_back(run), "term int, v binary")
     got = one.withColumn("_part", F.pmod("term", F.lit(256))).groupBy("_part").applyInPandas(lambda pdf: add(pdf), "term int, v binary").toPandas()
     return {int(t): np.frombuffer(v) for t, v in zip(got["term"], got["v"])}
 
@@ -146,7 +146,7 @@ def latent_space(items: DataFrame, text: str, idf: np.ndarray, rank: int = RANK,
                 total, n = total + y.T @ y, n + len(y)
         yield pd.DataFrame({"g": [total.tobytes()], "n": [n]})
 
-    parts = items.select(whole(F.col(text)).alias("_text")).mapInPandas(gram, "g binary, n long").withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(16)))
+    parts = items.select(whole(F.col(text)).alias("_text")).mapInPandas(giving_back(gram), "g binary, n long").withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(16)))
     merge = lambda pdf: pd.DataFrame({"g": [sum(np.frombuffer(g) for g in pdf["g"]).tobytes()], "n": [int(pdf["n"].sum())]})
     rows = parts.groupBy("_part").applyInPandas(lambda pdf: merge(pdf), "g binary, n long").collect()
     total = sum(np.frombuffer(r["g"]) for r in rows).reshape(basis[1].shape[1], -1)
@@ -198,7 +198,7 @@ def _item_block(rows: list, idf, place, matrix) -> dict:
 def _search(texts: list[str], block: dict, idf, place, matrix, cosine: float):
     """(text, item, cosine, share in common order, answer's share, first and last word) of the best place of each candidate pair."""
     for a, b in steps(texts):
-        hashes, offsets, _, _, _ = words_of(texts[a:b])
+        hashes, offsets = hashes_of(texts[a:b])
         terms = _terms(hashes)
         weight = idf[terms].astype(np.float64)
         known = place[terms] >= 0
@@ -281,7 +281,7 @@ def find_leaks(
             at, *columns = zip(*found) if found else ([],) * 8
             return at, columns
 
-        one = add_rows(rows, whole(F.col("_source")), run, added, keep=[key]).join(F.broadcast(names), ["_block", "_n"]).drop("_block", "_n")
+        one = add_rows(rows, whole(F.col("_source")), run, added, keep=[key], chars=STEP_CHARS).join(F.broadcast(names), ["_block", "_n"]).drop("_block", "_n")
         out = one if out is None else out.unionByName(one)
     if out is None:
         out = spark.createDataFrame([], f"`{key}` {dict(docs.dtypes)[key]}, {added}").withColumn(item, F.lit(None).cast(kind)).drop("_block", "_n")

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pairloom.llm.components import components
-from pairloom.llm.shared import TEXTS, add_columns, membership, texts_of, whole, with_membership, written
+from pairloom.llm.shared import TEXTS, add_columns, giving_back, membership, texts_of, whole, with_membership, written
 from pairloom.llm.words import SHORT_STEP, mix, shingles_of, steps, words_of
 
 #: Slots of the table of counts (a power of two), and of one piece of it.
@@ -116,7 +116,7 @@ def shingle_levels(docs: DataFrame, text: str, size: int, total: int) -> np.ndar
         return pd.DataFrame({"piece": [pdf["piece"].iloc[0]], "levels": [level.astype(np.uint8).tobytes()]})
 
     texts = docs.select(whole(F.col(text)).alias("_text"))
-    one = texts.mapInArrow(count, "part int, piece int, counts binary").groupBy("part", "piece").applyInPandas(some, "piece int, counts binary")
+    one = texts.mapInArrow(giving_back(count), "part int, piece int, counts binary").groupBy("part", "piece").applyInPandas(some, "piece int, counts binary")
     levels = np.zeros(SLOTS, np.uint8)
     for r in one.groupBy("piece").applyInPandas(every, "piece int, levels binary").collect():  # one byte for each slot
         levels[r["piece"] * PIECE : (r["piece"] + 1) * PIECE] = np.frombuffer(r["levels"], np.uint8)
@@ -208,7 +208,7 @@ def packed_signatures(docs: DataFrame, text: str, size: int, p: int, q: int, buc
         if n:
             yield _pack(np.concatenate(signs), np.concatenate(owners), np.concatenate(beside), buckets)
 
-    return docs.select(whole(F.col(text)).alias("_text")).mapInArrow(run, "bucket int, signs binary, owners binary, which binary, beside binary")
+    return docs.select(whole(F.col(text)).alias("_text")).mapInArrow(giving_back(run), "bucket int, signs binary, owners binary, which binary, beside binary")
 
 
 def _shared(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -255,7 +255,7 @@ def class_sets(docs: DataFrame, text: str, size: int, wanted: DataFrame) -> Data
         if one:
             yield rows(one)
 
-    every = docs.select(whole(F.col(text)).alias("_text")).mapInArrow(run, "class long, set binary")
+    every = docs.select(whole(F.col(text)).alias("_text")).mapInArrow(giving_back(run), "class long, set binary")
     some = with_membership(every, "class", membership(wanted, "class"), "_hit").where("_hit").drop("_hit")
     return some.groupBy("class").agg(F.any_value("set").alias("set")).join(wanted, "class", "left_semi")
 

@@ -9,13 +9,15 @@ class, by hash order), so it fits one task. Scoring is one narrow pass.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pairloom.llm.shared import fold_of, whole, written
+from pairloom.llm.shared import TEXTS, fold_of, give_back, giving_back, parts_of, whole
 from pairloom.llm.words import SHORT_STEP, mix, steps, words_of
 
 #: Hashed n-grams of 3 and 4 bytes, and 64 patterns of repetition among six words in a row.
@@ -67,13 +69,13 @@ def class_counts(rows: DataFrame) -> DataFrame:
 
     def count(batches):
         held = np.zeros((2, FEATURES), np.int64)
-        for pdf in batches:
-            for y, ids in zip(pdf["_label"].to_numpy(), indicators(pdf["_text"].to_list())):
+        for part in parts_of(batches):
+            for y, ids in zip(part.column(0).to_pylist(), indicators(part.column(1).to_pylist())):
                 held[y, ids] += 1
         there = np.flatnonzero(held.any(axis=0))
-        yield pd.DataFrame({"feature": there.astype(np.int32), "bad": held[0, there], "good": held[1, there]})
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (there.astype(np.int32), held[0, there], held[1, there])], names=["feature", "bad", "good"])
 
-    one = rows.select("_label", "_text").mapInPandas(count, "feature int, bad long, good long")
+    one = rows.select("_label", "_text").mapInArrow(giving_back(count), "feature int, bad long, good long")
     return one.groupBy("feature").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
 
 
@@ -159,10 +161,10 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     def learn(batches):
         ratios, sizes, cost = held.value
         drawn, y, ids = [], [], []
-        for pdf in batches:
-            drawn += pdf["_draw"].to_list()
-            y += pdf["_label"].to_list()
-            ids += [i.astype(np.int32) for i in indicators(pdf["_text"].to_list())]
+        for part in parts_of(batches):
+            drawn += part.column(0).to_pylist()
+            y += part.column(1).to_pylist()
+            ids += [i.astype(np.int32) for i in indicators(part.column(2).to_pylist())]
         order = np.argsort(np.array(drawn, np.int64), kind="stable")
         y = np.array(y, np.int64)[order]
         ids = [ids[i] for i in order]
@@ -178,9 +180,10 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         real = np.array([sizes.get(c, 0) / max(1, (y[other] == c).sum()) for c in (0, 1)])
         real *= len(other) / max(1e-9, (real[y[other]]).sum())
         slope, intercept = calibration(margins, y[other].astype(float), real[y[other]])
-        yield pd.DataFrame({"weights": [scaled.astype(np.float32).tobytes()], "bias": [float(weights[-1])], "slope": [slope], "intercept": [intercept]})
+        made = {"weights": scaled.astype(np.float32).tobytes(), "bias": float(weights[-1]), "slope": float(slope), "intercept": float(intercept)}
+        yield pa.RecordBatch.from_pylist([made])
 
-    model = sample.select("_draw", "_label", "_text").repartition(1).mapInPandas(learn, "weights binary, bias double, slope double, intercept double").first()
+    model = sample.select("_draw", "_label", "_text").repartition(1).mapInArrow(giving_back(learn), "weights binary, bias double, slope double, intercept double").first()
     return {"weights": np.frombuffer(model["weights"], np.float32), "bias": model["bias"], "slope": model["slope"], "intercept": model["intercept"], "prior": share}
 
 
@@ -189,10 +192,13 @@ def with_quality(docs: DataFrame, model: dict, text: str = "text", score: str =
     texts have no feature and get the score of the bias. All columns stay; the score's name must be new."""
     held = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def scored(texts: pd.Series) -> pd.Series:
+    @F.arrow_udf("double")
+    def scored(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = held.value
-        margins = np.array([m["weights"][ids].sum(dtype=np.float64) for ids in indicators(texts.to_list())]) + m["bias"]
-        return pd.Series(_sigmoid(m["slope"] * margins + m["intercept"]))
+        for texts in columns:
+            parts = (texts.slice(x, TEXTS).to_pylist() for x in range(0, len(texts), TEXTS))
+            margins = np.array([m["weights"][ids].sum(dtype=np.float64) for part in parts for ids in indicators(part)]) + m["bias"]
+            yield pa.array(_sigmoid(m["slope"] * margins + m["intercept"]))
+        give_back()
 
     return docs.withColumn(score, scored(whole(F.col(text))))

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import ctypes
 import string
 import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from pairloom.llm.words import steps_of
+
 #: The characters of `[\x20\x09-\x0D]`.
 BLANKS = " \t\n\x0b\x0c\r"
 #: Bits of a membership filter: 2 MB in 512 pieces, whatever the input's size.
@@ -105,10 +109,35 @@ def _fields(added: str) -> list[T.StructField]:
     return T._parse_datatype_string(added).fields
 
 
-def parts_of(batches, rows: int | None = TEXTS) -> Iterator[pa.RecordBatch]:
-    """The batches in parts of at most that many rows, which share the batch's memory; None: the batches as they are."""
+def give_back() -> None:
+    """Freed memory goes back to the system where the allocators can: Spark's Python workers live on, and what they keep counts
+    beside all later tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):  # not glibc
+        pass
+
+
+def giving_back(run: Callable) -> Callable:
+    """run, a function from batches to batches, with give_back at the end of each task."""
+
+    def whole_task(batches):
+        yield from run(batches)
+        give_back()
+
+    return whole_task
+
+
+def parts_of(batches, rows: int | None = TEXTS, chars: int | None = None) -> Iterator[pa.RecordBatch]:
+    """The batches in parts, which share the batch's memory: of at most that many rows; with chars, those of steps over the texts of
+    the last column; with neither, the batches as they are."""
     for batch in batches:
-        yield from (batch.slice(x, rows) for x in range(0, batch.num_rows, rows)) if rows else [batch]
+        if chars:
+            sizes = pc.fill_null(pc.utf8_length(batch.column(batch.num_columns - 1)), 0).to_pylist()
+            yield from (batch.slice(a, b - a) for a, b in steps_of(sizes, chars))
+        else:
+            yield from (batch.slice(x, rows) for x in range(0, batch.num_rows, rows)) if rows else [batch]
 
 
 def texts_of(batches) -> Iterator[list]:
@@ -131,23 +160,23 @@ def add_columns(
             columns = batch.columns[:-1] + [pa.array(v, k.type) for v, k in zip(made, kinds)]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return df.select(*[F.col(f"`{c}`") for c in keep], text.alias("_whole_text")).mapInArrow(run, schema)
+    return df.select(*[F.col(f"`{c}`") for c in keep], text.alias("_whole_text")).mapInArrow(giving_back(run), schema)
 
 
 def add_rows(
-    df: DataFrame, text: Column, compute: Callable[[list], tuple], added: str, keep: list[str] | None = None, rows: int | None = None
+    df: DataFrame, text: Column, compute: Callable[[list], tuple], added: str, keep: list[str] | None = None, rows: int | None = None, chars: int | None = None
 ) -> DataFrame:
-    """For each batch of texts (at most `rows` of them) compute(texts) gives (numbers of rows, columns): df's columns of those rows, or
-    only those of `keep`, beside the new ones."""
+    """For each batch of texts (at most `rows` of them, or a step of so many characters) compute(texts) gives (numbers of rows, columns):
+    df's columns of those rows, or only those of `keep`, beside the new ones."""
     keep = df.columns if keep is None else keep
     schema = T.StructType([df.schema[c] for c in keep] + _fields(added))
     kinds = list(to_arrow_schema(schema))[len(keep) :]
 
     def run(batches):
-        for batch in parts_of(batches, rows):
+        for batch in parts_of(batches, rows, chars):
             numbers, made = compute(batch.column(batch.num_columns - 1).to_pylist())
             at = pa.array(numbers, pa.int64())
             columns = [c.take(at) for c in batch.columns[:-1]] + [pa.array(v, k.type) for v, k in zip(made, kinds)]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return df.select(*[F.col(f"`{c}`") for c in keep], text.alias("_whole_text")).mapInArrow(run, schema)
+    return df.select(*[F.col(f"`{c}`") for c in keep], text.alias("_whole_text")).mapInArrow(giving_back(run), schema)

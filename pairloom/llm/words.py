@@ -39,14 +39,19 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 def steps(texts: list, limit: int = STEP_CHARS) -> Iterator[tuple[int, int]]:
     """Ranges of texts with at most that many characters together, at least one text each."""
+    yield from steps_of([len(t) for t in texts], limit)
+
+
+def steps_of(sizes: list[int], limit: int = STEP_CHARS) -> Iterator[tuple[int, int]]:
+    """The ranges that steps gives for texts of these sizes."""
     start, held = 0, 0
-    for i, t in enumerate(texts):
-        if i > start and held + len(t) > limit:
+    for i, n in enumerate(sizes):
+        if i > start and held + n > limit:
             yield start, i
             start, held = i, 0
-        held += len(t)
-    if start < len(texts):
-        yield start, len(texts)
+        held += n
+    if start < len(sizes):
+        yield start, len(sizes)
 
 
 def byte_ranges(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
@@ -77,6 +82,14 @@ def words_of(texts: list[str], lower: bool = True) -> tuple[np.ndarray, np.ndarr
     return hashes, offsets, starts, ends, data
 
 
+def hashes_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes and offsets of words_of, made in short steps: all that lies beside them is held for one step only."""
+    made = [words_of(texts[a:b])[:2] for a, b in steps(texts, SHORT_STEP)]
+    hashes = np.concatenate([np.zeros(0, np.uint64)] + [h for h, _ in made])
+    counts = np.concatenate([np.zeros(1, np.int64)] + [np.diff(o) for _, o in made])
+    return hashes, np.cumsum(counts)
+
+
 def shingles_of(hashes: np.ndarray, offsets: np.ndarray, size: int = 5) -> Iterator[np.ndarray]:
     """For each text its set of word shingles, as sorted distinct hashes; a text with fewer words gives its
     whole sequence as one, a text without words none."""

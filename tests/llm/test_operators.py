@@ -19,7 +19,8 @@ pytest.importorskip("pairloom.llm")
 from pairloom.llm import bpe, decontaminate, html_text, licenses, line_dedup, lm, ngram_join, pii, quality, queries  # noqa: E402
 from pairloom.llm.components import components  # noqa: E402
 from pairloom.llm.exact_dedup import exact_duplicates  # noqa: E402
-from pairloom.llm.shared import TEXTS, add_rows, membership, texts_of, with_membership, without  # noqa: E402
+from pairloom.llm.shared import TEXTS, add_rows, membership, parts_of, texts_of, with_membership, without  # noqa: E402
+from pairloom.llm.words import hashes_of, steps, words_of  # noqa: E402
 
 BLANK = re.compile(rb"[\x20\x09-\x0D]+")
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -381,6 +382,38 @@ def test_texts_go_to_tasks_once(spark, sf_dir):
     assert {(r.id, r.same) for r in got.collect()} == {(i, str(i)) for i in range(1, 2500, 2)} and got.agg(F.max("n")).first()[0] <= TEXTS
 
 
+def test_leaks_hash_words_in_short_steps():
+    """The search holds what lies beside the hashes for a short step only, and batches are cut where its steps end."""
+    texts = [" ".join(f"word{i}x{k}" for k in range(100)) for i in range(900)]
+    place = np.full(decontaminate.FEATURES, -1, np.int64)
+    list(decontaminate._search(texts, {}, np.ones(len(place), np.float32), place, np.zeros((0, 1)), 0.3))  # powers are kept
+    tracemalloc.start()
+    assert not list(decontaminate._search(texts, {}, np.ones(len(place), np.float32), place, np.zeros((0, 1)), 0.3))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 12 * 10**6  # all at once, it took 20.5 MB
+    odd = ["", " ", "é ü", "x" * 300_000 + " y", "", *texts, "A b\tC"]
+    for some in (odd, [], [""]):
+        assert all((x == y).all() and x.dtype == y.dtype for x, y in zip(hashes_of(some), words_of(some)))
+    batch = pa.RecordBatch.from_pydict({"k": list(range(len(odd) + 1)), "t": odd + [None]})
+    parts = list(parts_of([batch, batch.slice(0, 0)], chars=5000))
+    assert [p.num_rows for p in parts] == [b - a for a, b in steps(odd + [""], 5000)] and pa.Table.from_batches(parts).column(1).to_pylist() == odd + [None]
+
+
+def test_workers_keep_no_vocabulary(spark):
+    """After a task the vocabulary and the cached merges are gone from Spark's Python workers, which live on for other stages."""
+    rows = spark.range(0, 64, 1, 4).select(F.col("id").alias("doc_id"), F.concat(F.lit("some text "), "id").alias("text"))
+    assert bpe.encode(rows, queries.bpe_ranks()).agg(F.sum("n_tokens")).first()[0] > 64
+
+    def held(batches):
+        import gc
+
+        list(batches)
+        yield pa.RecordBatch.from_pydict({"n": [sum(type(x).__name__ == "Vocabulary" for x in gc.get_objects())]})
+
+    assert [r.n for r in spark.range(0, 64, 1, 4).mapInArrow(held, "n long").collect()] == [0] * 4
+
+
 # 9 quality
 
 
